@@ -121,7 +121,7 @@ def included_stems(includes: Column) -> Column:
                     F.sequence(F.lit(1), F.length(line)),
                     lambda i: F.substr(line, i, F.lit(2)) == ".h",
                 ),
-                lambda i: F.regexp_extract(F.left(line, i - 1), "([^/]*)$", 1),
+                lambda i: F.substring_index(F.left(line, i - 1), "/", -1),
             ),
         )
     )
@@ -140,7 +140,11 @@ def called_names(line: Column) -> Column:
     Endings of the run before '(' that start at a word boundary or at a symbol, so names
     such as '~Foo' and 'operator+' are found as well as plain ones.
     """
-    runs = F.regexp_extract_all(line, F.lit(rf"([^{tx.WHITESPACE}(]+)[{tx.WHITESPACE}]*\("), F.lit(1))
+    pieces = F.split(tx.spaced(line), r"\(")
+    runs = F.transform(
+        F.slice(pieces, F.lit(1), F.size(pieces) - 1),
+        lambda p: F.substring_index(F.rtrim(p), " ", -1),
+    )
     local = F.transform(runs, lambda r: F.substring_index(r, "::", -1))
     endings = F.transform(
         F.filter(local, lambda r: r != ""),
@@ -179,10 +183,8 @@ def qualifier_endings(stripped: Column, name: Column) -> Column:
     runs = F.transform(
         F.slice(pieces, F.lit(1), F.size(pieces) - 1),
         lambda piece, i: F.substring_index(
-            F.regexp_extract(
-                F.concat(F.when(i > 0, name).otherwise(F.lit("")), piece),
-                f"([^{tx.WHITESPACE}(]*)$",
-                1,
+            F.substring_index(
+                tx.last_token(F.concat(F.when(i > 0, name).otherwise(F.lit("")), piece)), "(", -1
             ),
             "::",
             -1,

@@ -64,10 +64,24 @@ def universal_newlines(c: Column) -> Column:
 
 
 def split_lines(c: Column) -> Column:
-    """Whole text → array of lines that keep their terminator."""
-    return F.regexp_extract_all(
-        universal_newlines(c), F.lit(f"[^{LINE_ENDS}]*[{LINE_ENDS}]|[^{LINE_ENDS}]+"), F.lit(0)
+    """Whole text → array of lines that keep their terminator.
+
+    Texts whose only line end is the line feed, nearly all, take a plain split.
+    """
+    text = universal_newlines(c)
+    unusual = F.lit(False)
+    for end in LINE_ENDS[1:]:
+        unusual = unusual | F.contains(c, F.lit(end))
+    parts = F.split(text, "\n")
+    ended = F.transform(
+        F.slice(parts, F.lit(1), F.size(parts) - 1), lambda p: F.concat(p, F.lit("\n"))
     )
+    rest = F.substring_index(text, "\n", -1)
+    plain = F.when(rest == "", ended).otherwise(F.array_append(ended, rest))
+    careful = F.regexp_extract_all(
+        text, F.lit(f"[^{LINE_ENDS}]*[{LINE_ENDS}]|[^{LINE_ENDS}]+"), F.lit(0)
+    )
+    return F.when(unusual, careful).otherwise(plain)
 
 
 def drop_line_end(c: Column) -> Column:
@@ -96,9 +110,14 @@ def indent_whitespace(c: Column) -> Column:
     return F.length(c) - F.length(lstrip(c))
 
 
+def spaced(c: Column) -> Column:
+    """Every white-space character as a blank."""
+    return F.translate(c, WHITESPACE, " " * len(WHITESPACE))
+
+
 def last_token(c: Column) -> Column:
     """Text after the last white space."""
-    return F.regexp_extract(c, f"([^{WHITESPACE}]+)$", 1)
+    return F.substring_index(spaced(c), " ", -1)
 
 
 def expand_tabs(c: Column) -> Column:

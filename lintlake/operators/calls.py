@@ -26,19 +26,25 @@ from lintlake.functions import code
 from lintlake.functions import text as tx
 from lintlake.operators.context import window_text
 from lintlake.operators.skew import spread_join
+from lintlake.operators.staging import cut_lineage
 
 PROFILE = ("name", "class_name", "def_dir", "stem")
 OPEN, UNCLASSED = "any", "none"
 
 
 def profiles(anchors: DataFrame) -> DataFrame:
-    """Anchors (name, class_name, def_file) → distinct rows the call search depends on."""
-    return anchors.select(
-        "name",
-        F.coalesce("class_name", F.lit("")).alias("class_name"),
-        tx.dir_name(F.col("def_file")).alias("def_dir"),
-        tx.file_stem(F.col("def_file")).alias("stem"),
-    ).distinct()
+    """Anchors (name, class_name, def_file) → what the call search depends on, with `count`."""
+    return (
+        anchors.where(F.col("name").isNotNull())
+        .select(
+            "name",
+            F.coalesce("class_name", F.lit("")).alias("class_name"),
+            tx.dir_name(F.col("def_file")).alias("def_dir"),
+            tx.file_stem(F.col("def_file")).alias("stem"),
+        )
+        .groupBy(*PROFILE)
+        .count()
+    )
 
 
 def call_lines(sources: DataFrame) -> DataFrame:
@@ -69,12 +75,17 @@ def call_lines(sources: DataFrame) -> DataFrame:
 
 
 def _tokens(files: DataFrame, names: DataFrame) -> DataFrame:
-    """(file, line, code, name): call lines of the wanted names, definitions left out."""
+    """(file, line, code, name): call lines of the wanted names, definitions left out.
+
+    Outer explodes keep the optimizer from adding a size filter that would compute the
+    call arrays twice.
+    """
     return (
         files.select("file", *[c for c in files.columns if c not in ("file", "calls", "includes")],
-                     F.explode("calls").alias("c"))
+                     F.explode_outer("calls").alias("c"))
+        .where("c is not null")
         .select("*", F.col("c.line").alias("line"), F.col("c.code").alias("code"),
-                F.explode("c.names").alias("name"))
+                F.explode_outer("c.names").alias("name"))
         .drop("c")
         .join(names, "name", "left_semi")
         .where(~code.defines(F.col("code"), F.col("name")))
@@ -95,7 +106,7 @@ def _scoped(tokens: DataFrame) -> DataFrame:
             )
         )
     )
-    return tokens.withColumn("scope", F.explode(scopes))
+    return tokens.withColumn("scope", F.explode_outer(scopes))
 
 
 def _key(name: Column, scope: Column, area: Column, stem: Column) -> Column:
@@ -122,7 +133,19 @@ def rank_call_sites(
     `max_call_sites=None` keeps every call site: the result then is as large as the number
     of pairs, so ask for it only where that is wanted.
     """
-    wanted = profiles(anchors.where(F.col("name").isNotNull()))
+    return rank_for_profiles(
+        cut_lineage(profiles(anchors)), sources, max_call_sites, context_window, with_context
+    )
+
+
+def rank_for_profiles(
+    wanted: DataFrame,
+    sources: DataFrame,
+    max_call_sites: int | None,
+    context_window: int,
+    with_context: bool = True,
+) -> DataFrame:
+    """`rank_call_sites` for profiles that are already a table: they are read several times."""
     files = call_lines(sources)
     top = (
         _all_pairs(wanted, files)
@@ -138,7 +161,9 @@ def _relevant_stems(files: DataFrame, wanted: DataFrame) -> DataFrame:
     The list of a file is bounded by its own include block.
     """
     return (
-        files.select("file", F.explode(code.included_stems(F.col("includes"))).alias("stem"))
+        files.select(
+            "file", F.explode_outer(code.included_stems(F.col("includes"))).alias("stem")
+        )
         .join(wanted.select("stem").where("stem <> ''").distinct(), "stem", "left_semi")
         .groupBy("file")
         .agg(F.collect_set("stem").alias("stems"))
@@ -289,8 +314,9 @@ def attach_call_sites(
     `rank_call_sites`.
     """
     anchors = bugs.where("anchor is not null").select("anchor.*")
+    wanted = cut_lineage(profiles(anchors))
     nested = (
-        rank_call_sites(anchors, sources, max_call_sites, context_window)
+        rank_for_profiles(wanted, sources, max_call_sites, context_window)
         .groupBy(*PROFILE)
         .agg(F.array_sort(F.collect_list(F.struct("rank", *CALL_SITE))).alias("_sites"))
         .select(
@@ -309,7 +335,8 @@ def attach_call_sites(
         }
     )
     keys = [f"_{c}" for c in PROFILE]
-    joined = spread_join(keyed, nested, keys, ["issue_key"])
+    counts = wanted.select(*[F.col(c).alias(f"_{c}") for c in PROFILE], "count")
+    joined = spread_join(keyed, nested, keys, ["issue_key"], counts=counts)
     sites_type = dict(joined.dtypes)["_sites"]
     sites = F.coalesce("_sites", F.array().cast(sites_type))
     full = F.struct(

@@ -19,12 +19,16 @@ FILE_ROWS_PER_SLICE = 20_000
 
 def source_lines(sources: DataFrame) -> DataFrame:
     """(file_path, text) → one row per line: (file_path, line_no, text without its end)."""
-    return sources.select(
-        "file_path", F.posexplode(tx.split_lines(F.col("text"))).alias("pos", "line")
-    ).select(
-        "file_path",
-        (F.col("pos") + 1).alias("line_no"),
-        tx.drop_line_end(F.col("line")).alias("text"),
+    return (
+        sources.select(
+            "file_path", F.posexplode_outer(tx.split_lines(F.col("text"))).alias("pos", "line")
+        )
+        .where("line is not null")
+        .select(
+            "file_path",
+            (F.col("pos") + 1).alias("line_no"),
+            tx.drop_line_end(F.col("line")).alias("text"),
+        )
     )
 
 

@@ -1,6 +1,8 @@
 """Dependency edges and symbols read from source text.
 
-Each file is handled inside its own row; only counting shuffles.
+Each file is handled inside its own row; only counting shuffles. Computed arrays are
+exploded with the outer form and filtered after it, because for the inner form the
+optimizer adds a size filter that would compute the array a second time.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ def include_edges(sources: DataFrame) -> DataFrame:
     names = F.transform("_bare", lambda t: F.regexp_extract(t, INCLUDE, 1))
     return (
         _lines(sources)
-        .select(F.col("file_path").alias("src"), F.explode(names).alias("dst"))
+        .select(F.col("file_path").alias("src"), F.explode_outer(names).alias("dst"))
         .where("dst <> ''")
     )
 
@@ -38,7 +40,7 @@ def include_edges(sources: DataFrame) -> DataFrame:
 def inherit_edges(sources: DataFrame) -> DataFrame:
     """Class → base class, for class heads and bases on one line; template arguments kept."""
     heads = F.filter("_bare", lambda t: F.regexp_extract(t, BASES, 1) != "")
-    rows = _lines(sources).select(F.explode(heads).alias("t")).select(
+    rows = _lines(sources).select(F.explode_outer(heads).alias("t")).select(
         F.regexp_extract("t", CLASS_HEAD, 1).alias("src"),
         F.explode(F.split(F.regexp_extract("t", BASES, 1), ",")).alias("base"),
     )
@@ -99,8 +101,8 @@ def symbols(sources: DataFrame) -> DataFrame:
         "file_path", F.size("_bare").alias("_n"), _symbol_array().alias("_s")
     )
     return listed.select(
-        F.col("file_path").alias("file"), F.inline(_with_extent(F.col("_s"), F.col("_n")))
-    )
+        F.col("file_path").alias("file"), F.inline_outer(_with_extent(F.col("_s"), F.col("_n")))
+    ).where("line is not null")
 
 
 def call_edges(sources: DataFrame) -> DataFrame:
@@ -115,20 +117,24 @@ def call_edges(sources: DataFrame) -> DataFrame:
         ),
     )
     return (
-        headed.where(F.size("_h") > 0)
-        .select(F.inline(spans))
-        .select("src", F.explode("body").alias("t"))
+        headed.select(F.inline_outer(spans))
+        .select("src", F.explode_outer("body").alias("t"))
         .where(F.contains("t", F.lit("(")))
-        .select("src", F.explode(plain_calls(F.col("t"))).alias("dst"))
+        .select("src", F.explode_outer(plain_calls(F.col("t"))).alias("dst"))
+        .where("dst is not null")
     )
 
 
 def plain_calls(line: Column) -> Column:
     """Every word before a '(' in the line, repeats kept."""
-    return F.filter(
-        F.regexp_extract_all(line, F.lit(rf"({code.WORD}+)\s*\("), F.lit(1)),
-        lambda w: ~w.isin(*code.NOT_FUNCTIONS),
+    pieces = F.split(tx.spaced(line), r"\(")
+    words = F.transform(
+        F.slice(pieces, F.lit(1), F.size(pieces) - 1),
+        lambda p: F.regexp_extract(
+            F.substring_index(F.rtrim(p), " ", -1), rf"(?<!{code.WORD})({code.WORD}+)$", 1
+        ),
     )
+    return F.filter(words, lambda w: (w != "") & ~w.isin(*code.NOT_FUNCTIONS))
 
 
 def all_edges(sources: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lintlake.operators.staging import spread_small_scan
+
 ISSUES = {
     "seq": "o_orderkey",
     "issue_key": "concat('ISS-', o_orderkey)",
@@ -177,7 +179,8 @@ GATES_WHERE = "n_nationkey < 14 AND n_nationkey <> 11"
 def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file_path, text): every document as a source file."""
     line = CODE_LINE.format(b="b", i="(i0 + 1)")
-    return _load(spark, sf_dir, "documents").selectExpr(
+    documents = _load(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_small_scan(documents, "doc_id").selectExpr(
         f"{PATH.format(d='doc_id')} AS file_path",
         f"array_join(transform(split(text, '\\n'), (b, i0) -> {line}), '\\n') AS text",
     )
