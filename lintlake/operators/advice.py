@@ -57,7 +57,7 @@ def attach_advice(
     """Join replies by issue key and add the advice struct of the level.
 
     `prompt_error` names a column that, where set, means the prompt could not be built.
-    Context blocks are dropped, all else is kept; `status` is ok, prompt_error or
+    Context blocks are dropped, all else is kept; `advice_status` is ok, prompt_error or
     model_error.
     """
     joined = spread_join(
@@ -75,15 +75,15 @@ def attach_advice(
         .when(F.col("_raw_reply").isNull(), "model_error")
         .otherwise("ok")
     )
-    ready = joined.withColumn("status", status).withColumn("_parts", parts)
-    good = F.col("status") == "ok"
+    ready = joined.withColumn("advice_status", status).withColumn("_parts", parts)
+    good = F.col("advice_status") == "ok"
     advice = F.struct(
         F.coalesce("_model", F.lit(model)).alias("model"),
         F.when(good, F.col("_parts.explanation")).alias("explanation"),
         F.when(good, F.col("_parts.code_update")).alias("code_update"),
         F.when(good, F.col("_parts.raw")).alias("raw"),
-        F.when(F.col("status") == "prompt_error", F.concat(F.lit("prompt_build_error: "), broken))
-        .when(F.col("status") == "model_error", F.lit(NO_REPLY))
+        F.when(F.col("advice_status") == "prompt_error", F.concat(F.lit("prompt_build_error: "), broken))
+        .when(F.col("advice_status") == "model_error", F.lit(NO_REPLY))
         .alias("error"),
     )
     gone = [c for c in (*drop, prompt_error) if c and c in prompts.columns]
@@ -95,9 +95,9 @@ def attach_advice(
 def run_counters(read: DataFrame, filtered: DataFrame, written: DataFrame) -> DataFrame:
     """One row: read, filtered, processed, written, errors."""
     done = written.agg(
-        F.count_if(F.col("status") != "prompt_error").alias("processed"),
+        F.count_if(F.col("advice_status") != "prompt_error").alias("processed"),
         F.count("*").alias("written"),
-        F.count_if(F.col("status") != "ok").alias("errors"),
+        F.count_if(F.col("advice_status") != "ok").alias("errors"),
     )
     return done.select(
         read.agg(F.count("*")).scalar().alias("read"),

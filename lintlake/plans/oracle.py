@@ -567,19 +567,19 @@ _ADVISED = f"""
 ordered AS (SELECT *, seq % 29 <> 0 AS ok, {WEIGHT} AS w, {_epoch('creation_date')} AS made FROM issues),
 running AS (SELECT *, coalesce(sum(ok::int) OVER (ORDER BY w DESC, made DESC, seq
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done FROM ordered),
-advised AS (SELECT *, CASE WHEN NOT ok THEN 'prompt_error' WHEN seq % 4 = 0 THEN 'model_error' ELSE 'ok' END AS status
+advised AS (SELECT *, CASE WHEN NOT ok THEN 'prompt_error' WHEN seq % 4 = 0 THEN 'model_error' ELSE 'ok' END AS advice_status
   FROM running WHERE done < 500)"""
 SQL["advice_join"] = f"""
-WITH {ISSUES}, {_ADVISED} SELECT issue_key, status, w * 1e9 + made AS priority_score,
+WITH {ISSUES}, {_ADVISED} SELECT issue_key, advice_status, w * 1e9 + made AS priority_score,
   CASE WHEN seq % 4 <> 0 AND seq % 2 = 0 THEN 'm-2' ELSE 'm-1' END AS model,
-  CASE WHEN status = 'ok' THEN concat('Explain ', seq) END AS explanation,
-  CASE WHEN status = 'ok' THEN concat('```', {NL}, 'fix ', seq, {NL}, '```') END AS code_update,
-  CASE status WHEN 'prompt_error' THEN 'prompt_build_error: no hole' WHEN 'model_error' THEN 'model_call_error: no reply' END AS error
+  CASE WHEN advice_status = 'ok' THEN concat('Explain ', seq) END AS explanation,
+  CASE WHEN advice_status = 'ok' THEN concat('```', {NL}, 'fix ', seq, {NL}, '```') END AS code_update,
+  CASE advice_status WHEN 'prompt_error' THEN 'prompt_build_error: no hole' WHEN 'model_error' THEN 'model_call_error: no reply' END AS error
 FROM advised"""
 SQL["run_counters"] = f"""
 WITH {ISSUES}, {_ADVISED} SELECT (SELECT count(*) FROM issues) AS read,
   (SELECT count(*) FROM issues WHERE {_epoch('creation_date')} >= epoch(timestamp '1996-01-01')) AS filtered,
-  count(*) FILTER (status <> 'prompt_error') AS processed, count(*) AS written, count(*) FILTER (status <> 'ok') AS errors
+  count(*) FILTER (advice_status <> 'prompt_error') AS processed, count(*) AS written, count(*) FILTER (advice_status <> 'ok') AS errors
 FROM advised"""
 
 # --- text and export ---------------------------------------------------------------------------

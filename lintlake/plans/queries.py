@@ -578,7 +578,7 @@ def advice_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best 500 promptable issues (and the unpromptable ones among them) with their reply."""
     advice = F.col("copilot_advice")
     return _advised(spark, sf_dir).select(
-        "issue_key", "status", "priority_score",
+        "issue_key", "advice_status", "priority_score",
         advice["model"].alias("model"),
         advice["explanation"].alias("explanation"),
         advice["code_update"].alias("code_update"),
