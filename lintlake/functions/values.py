@@ -63,13 +63,12 @@ def colon_offset(c: Column) -> Column:
 
 
 def parse_stamp(c: Column) -> Column:
-    """ISO date or date-time text → timestamp; no offset means UTC; bad text → null."""
-    zoned = (
-        F.when(F.length(c) == 10, F.concat(c, F.lit("T00:00:00Z")))
-        .when(c.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & (F.length(c) > 10), colon_offset(c))
-        .otherwise(F.concat(c, F.lit("Z")))
-    )
-    return F.when(c.rlike(_STAMP), zoned.try_cast("timestamp"))
+    """ISO date or date-time text → timestamp; bad text → null.
+
+    Text without an offset is read in the session zone, which `session.tune` sets to UTC.
+    The pattern keeps out texts that only the cast accepts, such as a bare year.
+    """
+    return F.when(c.rlike(_STAMP), c.try_cast("timestamp"))
 
 
 def format_stamp(ts: Column) -> Column:
@@ -100,11 +99,8 @@ def bound_seconds(value: object) -> float | None:
 
 
 def severity_weight(c: Column) -> Column:
-    name = F.upper(c)
-    out = None
-    for key, weight in SEVERITY_WEIGHT.items():
-        out = (F if out is None else out).when(name == key, F.lit(weight))
-    return out.otherwise(F.lit(0))
+    weights = F.create_map(*[F.lit(x) for pair in SEVERITY_WEIGHT.items() for x in pair])
+    return F.coalesce(F.try_element_at(weights, F.upper(c)), F.lit(0))
 
 
 def priority_score(severity: Column, creation: Column) -> Column:

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lintlake.functions.markup import advice_parts
-from lintlake.operators.skew import spread_join
 
 # Name of the advice column at each depth.
 ADVICE_COLUMN = {
@@ -56,17 +55,18 @@ def attach_advice(
 ) -> DataFrame:
     """Join replies by issue key and add the advice struct of the level.
 
+    Both sides have one row per issue, so no key is hot.
+
     `prompt_error` names a column that, where set, means the prompt could not be built.
     Context blocks are dropped, all else is kept; `advice_status` is ok, prompt_error or
     model_error.
     """
-    joined = spread_join(
-        prompts,
+    joined = prompts.join(
         replies.select(
             "issue_key", F.col("raw").alias("_raw_reply"), F.col("model").alias("_model")
         ),
-        ["issue_key"],
-        list(prompts.columns[:1]),
+        "issue_key",
+        "left",
     )
     parts = advice_parts(F.col("_raw_reply"))
     broken = F.col(prompt_error) if prompt_error else F.lit(None).cast("string")

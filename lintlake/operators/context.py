@@ -80,14 +80,17 @@ def snippets(
         .when(start.isNull(), "missing_start_line")
         .when(F.col("_lines").isNull(), "file_read_error")
     )
-    found = joined.withColumn("error", F.coalesce(error, prior))
+    # The body has a column of its own, so that cutting it does not build it repeatedly.
+    found = joined.withColumns(
+        {
+            "error": F.coalesce(error, prior),
+            "_body": F.when(n > 0, body).when(n == 0, F.lit("")),
+        }
+    )
     return found.withColumn(
         "code_snippet",
-        F.when(
-            F.col("error").isNull(),
-            F.when(n == 0, F.lit("")).otherwise(tx.cut_with_mark(body, max_chars)),
-        ),
-    ).drop("_lines")
+        F.when(F.col("error").isNull(), tx.cut_with_mark(F.col("_body"), max_chars)),
+    ).drop("_lines", "_body")
 
 
 # --- nested blocks ---------------------------------------------------------

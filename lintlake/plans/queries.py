@@ -20,6 +20,7 @@ from lintlake.operators import (
     kpi,
     prompts,
 )
+from lintlake.operators.staging import spread_small_scan
 from lintlake.plans import chains, views
 from lintlake.session import tune
 from lintlake.sources import jsonl, sinks
@@ -599,7 +600,8 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "pages").select(
+    pages = spread_small_scan(_table(spark, sf_dir, "pages"), "page_id")
+    return pages.select(
         "page_id", markup.strip_html(F.col("html")).alias("plain")
     )
 

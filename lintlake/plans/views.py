@@ -142,14 +142,15 @@ def _load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _view(spark: SparkSession, sf_dir: str, table: str, columns: dict[str, str],
-          where: str | None = None) -> DataFrame:
+          where: str | None = None, spread: str | None = None) -> DataFrame:
     df = _load(spark, sf_dir, table)
+    df = spread_small_scan(df, spread) if spread else df
     df = df.where(where) if where else df
     return df.selectExpr(*[f"{e} AS {n}" for n, e in columns.items()])
 
 
 def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, "orders", ISSUES)
+    return _view(spark, sf_dir, "orders", ISSUES, spread="o_orderkey")
 
 
 def analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,8 +214,9 @@ HOT_BUG = {
 
 
 def bugs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _load(spark, sf_dir, "documents").selectExpr(
-        "doc_id", "size(split(text, '\\n')) AS n"
+    docs = spread_small_scan(
+        _load(spark, sf_dir, "documents").selectExpr("doc_id", "size(split(text, '\\n')) AS n"),
+        "doc_id",
     )
     own = docs.selectExpr(*[f"{e} AS {c}" for c, e in OWN_BUG.items()])
     hot = docs.where("doc_id % 3 = 0").selectExpr(*[f"{e} AS {c}" for c, e in HOT_BUG.items()])
@@ -239,7 +241,7 @@ LOCATED = {
 
 
 def located_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, "orders", LOCATED)
+    return _view(spark, sf_dir, "orders", LOCATED, spread="o_orderkey")
 
 
 # Measure documents, one per part: value; history; value with periods; period object; nameless.
