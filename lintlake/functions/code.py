@@ -29,16 +29,16 @@ WORD = r"[\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]"
 NOT_WORD = r"[^\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]"
 
 
+# No limit: larger than any text.
+MAX_ARRAY = 2_000_000_000
+
+
 def _has_parens(c: Column) -> Column:
     return F.contains(c, F.lit("(")) & F.contains(c, F.lit(")"))
 
 
 def is_control_flow(stripped: Column) -> Column:
-    low = F.lower(stripped)
-    out = F.startswith(low, F.lit(CONTROL_FLOW_STARTS[0]))
-    for start in CONTROL_FLOW_STARTS[1:]:
-        out = out | F.startswith(low, F.lit(start))
-    return out
+    return F.lower(stripped).rlike("^(?:" + "|".join(CONTROL_FLOW_STARTS) + ")")
 
 
 def is_header(stripped: Column) -> Column:
@@ -67,34 +67,40 @@ def class_name(signature: Column) -> Column:
 
 
 def headers(lines: Column) -> Column:
-    """Bare lines → array of struct(line, indent, name, signature), in line order."""
-    found = F.transform(
-        lines,
-        lambda text, i: F.when(
-            is_header(tx.strip(text)),
-            F.struct(
-                (i + 1).alias("line"),
-                tx.indent_whitespace(text).alias("indent"),
-                function_name(tx.strip(text)).alias("name"),
-                tx.strip(text).alias("signature"),
-            ),
+    """Bare lines → array of struct(line, indent, name, signature), in line order.
+
+    Each pass over the array narrows it and keeps what it computed in a field, since an
+    expression repeated inside a lambda is evaluated repeatedly.
+    """
+    bracketed = F.filter(
+        F.transform(lines, lambda t, i: F.struct((i + 1).alias("line"), t.alias("text"))),
+        lambda c: _has_parens(c["text"]),
+    )
+    stripped = F.transform(
+        bracketed,
+        lambda c: F.struct(
+            c["line"].alias("line"),
+            tx.indent_whitespace(c["text"]).alias("indent"),
+            tx.strip(c["text"]).alias("signature"),
+        ),
+    )
+    heads = F.filter(stripped, lambda c: is_header(c["signature"]))
+    named = F.transform(
+        heads,
+        lambda h: F.struct(
+            h["line"].alias("line"),
+            h["indent"].alias("indent"),
+            function_name(h["signature"]).alias("name"),
+            h["signature"].alias("signature"),
         ),
     )
-    return F.filter(found, lambda h: h["name"].isNotNull())
+    return F.filter(named, lambda h: h["name"].isNotNull())
 
 
 def include_block(lines: Column) -> Column:
     """Leading run of blank, comment and include lines."""
-
-    def is_code(text: Column) -> Column:
-        t = tx.lstrip(text)
-        return (t != "") & ~(
-            F.startswith(t, F.lit("//"))
-            | F.startswith(t, F.lit("/*"))
-            | F.startswith(t, F.lit("#include"))
-        )
-
-    first_code = F.array_position(F.transform(lines, is_code), True)
+    head = rf"^[{tx.WHITESPACE}]*+(?://|/\*|#include|\z)"
+    first_code = F.array_position(F.transform(lines, lambda t: ~t.rlike(head)), True)
     return F.when(first_code == 0, lines).otherwise(
         F.slice(lines, F.lit(1), (first_code - 1).cast("int"))
     )
@@ -107,11 +113,12 @@ def includes_header(includes: Column, stem: Column) -> Column:
     )
 
 
-def included_stems(includes: Column) -> Column:
+def included_stems(includes: Column, longest: int = MAX_ARRAY) -> Column:
     """Every text that `includes_header` would accept as a stem for these lines.
 
     That is, each non-empty ending of the slash-free run before any '.h'. It turns the
-    substring test into an equality, so it can be a join key.
+    substring test into an equality, so it can be a join key. Endings over `longest`
+    characters, the length of the longest stem looked for, are left out.
     """
     runs = F.flatten(
         F.transform(
@@ -128,32 +135,41 @@ def included_stems(includes: Column) -> Column:
     endings = F.transform(
         F.filter(runs, lambda run: run != ""),
         lambda run: F.transform(
-            F.sequence(F.lit(1), F.length(run)), lambda n: F.right(run, n)
+            F.sequence(F.lit(1), F.least(F.length(run), F.lit(longest))),
+            lambda n: F.right(run, n),
         ),
     )
     return F.array_distinct(F.flatten(endings))
 
 
-def called_names(line: Column) -> Column:
+def called_names(line: Column, longest: int = MAX_ARRAY) -> Column:
     """Distinct texts `f` with `f\\s*\\(` in the line and no word character before `f`.
 
     Endings of the run before '(' that start at a word boundary or at a symbol, so names
-    such as '~Foo' and 'operator+' are found as well as plain ones.
+    such as '~Foo' and 'operator+' are found as well as plain ones. With `longest`, the
+    length of the longest name looked for, a very long run (minified or encoded text)
+    costs no more than a name: only its last `longest` characters can match, and one more
+    is kept to see what stands before them.
     """
     pieces = F.split(tx.spaced(line), r"\(")
     runs = F.transform(
         F.slice(pieces, F.lit(1), F.size(pieces) - 1),
         lambda p: F.substring_index(F.rtrim(p), " ", -1),
     )
-    local = F.transform(runs, lambda r: F.substring_index(r, "::", -1))
+    local = F.transform(
+        runs, lambda r: F.right(F.substring_index(r, "::", -1), F.lit(longest + 1))
+    )
+    # A plain word, by far the usual run, has itself as its only ending.
     endings = F.transform(
         F.filter(local, lambda r: r != ""),
-        lambda r: F.transform(
-            F.filter(
-                F.sequence(F.lit(1), F.length(r)),
-                lambda i: (i == 1) | F.substr(r, i - 1, F.lit(1)).rlike(NOT_WORD),
-            ),
-            lambda i: F.substr(r, i),
+        lambda r: F.when(r.rlike(rf"^{WORD}+$"), F.array(r)).otherwise(
+            F.transform(
+                F.filter(
+                    F.sequence(F.lit(1), F.length(r)),
+                    lambda i: (i == 1) | F.substr(r, i - 1, F.lit(1)).rlike(NOT_WORD),
+                ),
+                lambda i: F.substr(r, i),
+            )
         ),
     )
     return F.array_distinct(F.flatten(endings))

@@ -55,7 +55,7 @@ def rstrip(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return strip(c) == ""
+    return c.rlike(rf"^[{WHITESPACE}]*+\z")
 
 
 def universal_newlines(c: Column) -> Column:
@@ -142,9 +142,9 @@ def base_name(path: Column) -> Column:
 
 
 def dir_name(path: Column) -> Column:
-    return F.when(F.contains(path, F.lit("/")), F.regexp_replace(path, "/+[^/]*$", "")).otherwise(
-        F.lit("")
-    )
+    """Text before the last '/', empty if there is none."""
+    folder = F.left(path, F.length(path) - F.length(base_name(path)) - 1)
+    return F.when(F.contains(path, F.lit("/")), F.rtrim(folder, F.lit("/"))).otherwise(F.lit(""))
 
 
 def file_suffix(path: Column) -> Column:

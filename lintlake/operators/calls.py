@@ -47,7 +47,7 @@ def profiles(anchors: DataFrame) -> DataFrame:
     )
 
 
-def call_lines(sources: DataFrame) -> DataFrame:
+def call_lines(sources: DataFrame, longest_name: int = code.MAX_ARRAY) -> DataFrame:
     """Per searched file: path, include block and array of struct(line, code, names)."""
     searched = sources.where(code.is_searched_file(F.col("file_path"))).select(
         F.col("file_path").alias("file"),
@@ -61,7 +61,7 @@ def call_lines(sources: DataFrame) -> DataFrame:
                 F.struct(
                     (i + 1).alias("line"),
                     tx.strip(t).alias("code"),
-                    code.called_names(t).alias("names"),
+                    code.called_names(t, longest_name).alias("names"),
                 ),
             ),
         ),
@@ -146,23 +146,25 @@ def rank_for_profiles(
     with_context: bool = True,
 ) -> DataFrame:
     """`rank_call_sites` for profiles that are already a table: they are read several times."""
-    files = call_lines(sources)
+    # Two numbers; they bound the work on very long tokens.
+    longest = wanted.agg(F.max(F.length("name")), F.max(F.length("stem"))).first()
+    files = call_lines(sources, longest[0] or 0)
     top = (
         _all_pairs(wanted, files)
         if max_call_sites is None
-        else _top_pairs(wanted, files, max_call_sites)
+        else _top_pairs(wanted, files, max_call_sites, longest[1] or 0)
     )
     return _attach_context(top, sources, context_window) if with_context else top
 
 
-def _relevant_stems(files: DataFrame, wanted: DataFrame) -> DataFrame:
+def _relevant_stems(files: DataFrame, wanted: DataFrame, longest: int) -> DataFrame:
     """(file, stems): header stems of wanted profiles the file includes.
 
     The list of a file is bounded by its own include block.
     """
     return (
         files.select(
-            "file", F.explode_outer(code.included_stems(F.col("includes"))).alias("stem")
+            "file", F.explode_outer(code.included_stems(F.col("includes"), longest)).alias("stem")
         )
         .join(wanted.select("stem").where("stem <> ''").distinct(), "stem", "left_semi")
         .groupBy("file")
@@ -170,9 +172,11 @@ def _relevant_stems(files: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def _top_pairs(wanted: DataFrame, files: DataFrame, limit: int) -> DataFrame:
+def _top_pairs(
+    wanted: DataFrame, files: DataFrame, limit: int, longest_stem: int
+) -> DataFrame:
     no_stems = F.array().cast("array<string>")
-    located = files.join(_relevant_stems(files, wanted), "file", "left").select(
+    located = files.join(_relevant_stems(files, wanted, longest_stem), "file", "left").select(
         "file", "calls", F.coalesce("stems", no_stems).alias("stems")
     )
     tokens = _scoped(_tokens(located, wanted.select("name").distinct()))

@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 # Runtime settings only: safe to apply to a session somebody else created.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # A repeated key in a landed object: the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -69,6 +69,22 @@ def test_read_jsonl_variants(spark, tmp_path):
     assert sorted(r["issue_key"] for r in jsonl.read_records(spark, str(array), "issue_key string").collect()) == ["A", "B"]
 
 
+def test_lines_with_trailing_text_are_malformed(spark):
+    texts = ['{"key":"a"} x', '{"key":"a"},{"key":"b"}', '{"key":"a"}]', '{"key":"a","key":"b"}', '{"key":"a"', "{'key':1}",
+             '{"issues":[{"key":"c"}]} ,']
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = [(r["issue_key"], r["error"]) for r in issues.normalize(jsonl.landed_issues(df)).collect()]
+    bad = (None, "json_parse_error")
+    assert got == [bad, bad, bad, ("b", None), bad, bad, bad]
+
+
+def test_issue_shape_can_go_first(spark):
+    df = spark.createDataFrame([('{"key":"own","issues":[{"key":"c"}]}',)], "value string")
+    page = issues.normalize(jsonl.landed_issues(df)).collect()
+    own = issues.normalize(jsonl.landed_issues(df, issue_first=True)).collect()
+    assert [r["issue_key"] for r in page] == ["c"] and [r["issue_key"] for r in own] == ["own"]
+
+
 def test_component_globs(spark):
     pattern = components.glob_pattern(components.DEFAULT_EXCLUDES)
     df = spark.createDataFrame([("a/obj/b",), ("obj/b",), ("x/.NETFramework,Version=v4/y",), ("a/objx/b",)], "p string")
