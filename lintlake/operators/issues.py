@@ -311,14 +311,16 @@ def order_by_date(df: DataFrame, field: str = "creation_date", asc: bool = True)
     return df.orderBy(F.col(field).asc() if asc else F.col(field).desc())
 
 
-def example_messages(df: DataFrame, per_type: int = 3, chars: int = 100) -> DataFrame:
-    """Up to `per_type` messages of each type, in issue-key order, cut to `chars`."""
-    first = Window.partitionBy("type").orderBy("issue_key")
+def example_messages(
+    df: DataFrame, per_type: int = 3, chars: int = 100, by: Sequence[str] = ()
+) -> DataFrame:
+    """Up to `per_type` messages of each type (per `by`), in issue-key order, cut to `chars`."""
+    first = Window.partitionBy(*by, "type").orderBy("issue_key")
     return (
-        df.select("type", "issue_key", "message")
+        df.select(*by, "type", "issue_key", "message")
         .withColumn("n", F.row_number().over(first))
         .where(F.col("n") <= per_type)
-        .select("type", "n", "issue_key", F.left("message", F.lit(chars)).alias("message"))
+        .select(*by, "type", "n", "issue_key", F.left("message", F.lit(chars)).alias("message"))
     )
 
 

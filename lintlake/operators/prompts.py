@@ -74,3 +74,13 @@ def callsite_prompts(
         .withColumn("callsite_limit", F.col("_pick.n"))
         .drop("_a", "_sig", "_texts", "_ctx", "_fixed", "_sections", "_fit", "_pick")
     )
+
+
+def project_prompts(documents: DataFrame, template: str, compact: bool = True) -> DataFrame:
+    """(project, text of a JSON document) → prompt with {project} and {json} filled in."""
+    parsed = F.try_parse_json("text")
+    shown = F.to_json(parsed) if compact else F.to_json(parsed, {"pretty": "true"})
+    return documents.withColumn(
+        "user_prompt",
+        rd.render(template, {"project": F.col("project"), "json": F.coalesce(shown, "text")}),
+    )

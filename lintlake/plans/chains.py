@@ -133,10 +133,15 @@ def bi_tables(measures: DataFrame, gate: DataFrame, issue_docs: DataFrame) -> di
 
 def kpi_audits(measures: DataFrame, gate: DataFrame, issue_docs: DataFrame) -> dict[str, DataFrame]:
     """Project documents → measures, issue and gate audits by name."""
-    flat = issue_docs.select(F.explode("issues").alias("i")).select("i.*")
+    # The folder names the project; an issue's own project field may differ.
+    flat = issue_docs.select("project", F.explode("issues").alias("i")).select(
+        "project", "i.key", "i.issue_key", "i.type", "i.severity", "i.message"
+    )
+    keyed = flat.withColumn("issue_key", F.coalesce("key", "issue_key"))
     return {
         "measures_audit": kpi.kpi_audit(kpi.measures_long(measures)),
-        "issues_audit": kpi.issue_matrix(flat),
+        "issues_audit": kpi.issue_matrix(flat, by=["project"]),
+        "issue_examples": issues.example_messages(keyed, by=["project"]),
         "gate_audit": kpi.gate_audit(kpi.quality_conditions(gate)),
     }
 
@@ -144,4 +149,8 @@ def kpi_audits(measures: DataFrame, gate: DataFrame, issue_docs: DataFrame) -> d
 def project_report(root: str, spark: SparkSession, out_dir: str, project: str | None = None) -> dict:
     """Read the project folders under `root`, write BI tables and audits; name → path."""
     documents = files.read_project_documents(spark, root, project)
-    return sinks.write_tables({**bi_tables(*documents), **kpi_audits(*documents)}, out_dir)
+    audits = kpi_audits(*documents)
+    written = sinks.write_tables({**bi_tables(*documents), **audits}, out_dir)
+    texts = f"{out_dir.rstrip('/')}/measures_audit_text"
+    sinks.write_project_texts(kpi.audit_texts(audits["measures_audit"]), texts)
+    return {**written, "measures_audit_text": texts}

@@ -235,6 +235,15 @@ WITH {ISSUES} SELECT type, sev AS severity, count(*) AS n,
   CASE WHEN type IN ('BUG', 'VULNERABILITY') AND grouping(sev) = 1 THEN
     CASE WHEN count(*) FILTER (sev IN ('BLOCKER', 'CRITICAL')) = 0 THEN 'PASS' ELSE 'FAIL' END END AS status
 FROM (SELECT type, upper(severity) AS sev FROM issues) GROUP BY ROLLUP (type, sev)"""
+SQL["project_issue_matrix"] = f"""
+WITH {ISSUES} SELECT project, type, sev AS severity, count(*) AS n,
+  CASE WHEN type IN ('BUG', 'VULNERABILITY') AND grouping(sev) = 1 THEN
+    CASE WHEN count(*) FILTER (sev IN ('BLOCKER', 'CRITICAL')) = 0 THEN 'PASS' ELSE 'FAIL' END END AS status
+FROM (SELECT project, type, upper(severity) AS sev FROM issues)
+GROUP BY GROUPING SETS ((project, type, sev), (project, type), (project))"""
+SQL["project_issue_examples"] = f"""
+WITH {ISSUES} SELECT project, type, row_number() OVER (PARTITION BY project, type ORDER BY issue_key) AS n,
+  issue_key, left(message, 12) AS message FROM issues QUALIFY n <= 2"""
 SQL["batch_summary"] = f"""
 WITH {ISSUES}, {GATES}, counts AS (SELECT project, count(*) FILTER (upper(severity) IN
   ('BLOCKER', 'CRITICAL') AND resolution IS NULL) AS total_severe FROM issues GROUP BY project)
@@ -290,6 +299,12 @@ SELECT *, CASE WHEN value IS NULL THEN 'MISSING' WHEN op IS NULL THEN 'INFO' WHE
   CASE WHEN value IS NULL THEN 'not measured' WHEN op IS NULL THEN printf('Actual %.2f', value)
   ELSE printf('Actual %.2f, required %s %.2f', value, op, threshold) END AS reason FROM audited"""
 
+SQL["kpi_audit_texts"] = f"""
+WITH audit AS ({SQL['kpi_audit']}) SELECT project_key AS project,
+  string_agg('- ' || metric || ': ' || status || ' (' || reason || ')', {NL} ORDER BY metric)
+  || {NL} || 'Overall: ' || CASE WHEN count(*) FILTER (status IN ('FAIL', 'MISSING')) = 0 THEN 'all KPIs are met.'
+  ELSE count(*) FILTER (status IN ('FAIL', 'MISSING')) || ' KPIs are not met.' END AS text FROM audit GROUP BY project_key"""
+
 SQL["gate_audit"] = f"""
 WITH {_CONDITIONS}, ruled AS (SELECT *,
   CASE metric_key WHEN 'new_coverage' THEN '>=' WHEN 'duplicated_lines_density' THEN '<' WHEN 'new_security_rating' THEN '=' END AS op,

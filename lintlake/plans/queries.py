@@ -322,6 +322,24 @@ def issue_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def project_issue_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi.issue_matrix(
+        views.issues(spark, sf_dir).select("project", "type", F.upper("severity").alias("severity")),
+        by=["project"],
+    )
+
+
+@query
+def project_issue_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return issues.example_messages(views.issues(spark, sf_dir), 2, 12, by=["project"])
+
+
+@query
+def kpi_audit_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi.audit_texts(kpi.kpi_audit(views.measures(spark, sf_dir)))
+
+
 @query
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.batch_summary(

@@ -75,7 +75,15 @@ def test_project_folders(spark, tmp_path):
     audits = chains.kpi_audits(*documents)
     assert {r["metric_key"]: r["kpi_status"] for r in audits["gate_audit"].collect()} == {"bugs": "FAIL"}
     out = chains.project_report(str(tmp_path), spark, str(tmp_path / "out"))
-    assert set(out) == {"measures", "quality_gate", "severe_issues", "measures_audit", "issues_audit", "gate_audit"}
+    assert set(out) == {"measures", "quality_gate", "severe_issues", "measures_audit", "issues_audit",
+                        "issue_examples", "gate_audit", "measures_audit_text"}
+    assert "- coverage: PASS (Actual 81.00" in _read_all(tmp_path / "out" / "measures_audit_text" / "project=p1")
+
+
+def test_project_prompts(spark):
+    df = spark.createDataFrame([("p", '{"a": [1, {"b": null}]}'), ("q", "{broken")], "project string, text string")
+    got = [r["user_prompt"] for r in prompts.project_prompts(df, "{project}: {{{json}}}").collect()]
+    assert got == ['p: {{"a":[1,{"b":null}]}}', "q: {{broken}"]
 
 
 def test_source_tree(spark, tmp_path):
