@@ -75,15 +75,16 @@ def snippets(
     if normalize_tabs:
         body = tx.expand_tabs(body)
     error = (
-        F.when(F.coalesce("file_path", F.lit("")) == "", "missing_path")
-        .when(prior == "invalid_line_numbers", prior)
+        F.when(prior != "invalid_line_numbers", prior)
+        .when(F.coalesce("file_path", F.lit("")) == "", "missing_path")
+        .when(prior.isNotNull(), prior)
         .when(start.isNull(), "missing_start_line")
         .when(F.col("_lines").isNull(), "file_read_error")
     )
     # The body has a column of its own, so that cutting it does not build it repeatedly.
     found = joined.withColumns(
         {
-            "error": F.coalesce(error, prior),
+            "error": error,
             "_body": F.when(n > 0, body).when(n == 0, F.lit("")),
         }
     )

@@ -36,14 +36,27 @@ def best_row(df: DataFrame, key: Sequence[str], order: Sequence[Column], last: b
     )
 
 
-def dedup_issues(df: DataFrame, key: str = "issue_key", page: Sequence[str] = ()) -> DataFrame:
-    """One row per issue key: newest update, then latest page; rows without a key are kept."""
+def dedup_issues(
+    df: DataFrame,
+    key: str = "issue_key",
+    page: Sequence[str] = (),
+    row_id: Sequence[str] = (),
+) -> DataFrame:
+    """One row per issue key: newest update, then latest page; rows without a key are kept.
+
+    `row_id` names columns that identify a landed row. With them keyless rows pass through
+    the same aggregation as groups of their own; without them they take a second pass.
+    """
     newest = [
         values.epoch_seconds(F.col("creation_date"), F.col("update_date"), "update"),
         *[F.col(c) for c in page],
     ]
-    keyed = best_row(df.where(F.col(key).isNotNull()), [key], newest, last=True)
-    return keyed.unionByName(df.where(F.col(key).isNull()))
+    keyless = F.col(key).isNull()
+    if row_id:
+        own = {f"_own_{c}": F.when(keyless, F.col(c)) for c in row_id}
+        return best_row(df.withColumns(own), [key, *own], newest, last=True).drop(*own)
+    keyed = best_row(df.where(~keyless), [key], newest, last=True)
+    return keyed.unionByName(df.where(keyless))
 
 
 def resolve_path(own: Column, page_path: Column, component: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lintlake.operators import advice as adv
 from lintlake.operators import calls, context, flatten, issues, kpi, prompts
+from lintlake.operators.staging import cut_lineage
 from lintlake.sources import files, jsonl, sinks
 
 
@@ -20,12 +21,17 @@ def issue_snippets(
 ) -> DataFrame:
     """Landed lines + source files → issue records with snippet, bad lines as error rows.
 
-    Overlapping fetches land an issue more than once; `dedup` keeps its newest copy.
+    Overlapping fetches land an issue more than once; `dedup` keeps its newest copy. The
+    thin records are handed over as a checkpointed table, because the join below reads them
+    twice and parsing the landed pages again would cost more.
     """
     order = [c for c in lines.columns if c != "value"]
     records = issues.normalize(jsonl.landed_issues(lines))
     if dedup:
-        records = issues.dedup_issues(records, page=[*order, "pos"])
+        place = [*order, "pos"]
+        known = {"file", "line_no"} <= set(order)
+        records = issues.dedup_issues(records, page=place, row_id=place if known else ())
+    records = cut_lineage(records)
     return context.snippets(records, sources, context_lines, max_chars, normalize_tabs)
 
 
