@@ -149,7 +149,8 @@ def dedup_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = first.where("seq % 4 = 0").selectExpr(
         "issue_key", "'MAJOR' AS severity", "creation_date", "update_date", "2 AS page_no", "seq"
     )
-    return issues.dedup_issues(first.unionByName(again), page=["page_no", "seq"])
+    place = ["page_no", "seq"]
+    return issues.dedup_issues(first.unionByName(again), page=place, row_id=place)
 
 
 @query
