@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lintlake.session import tune
 
@@ -47,3 +48,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         finish=packing.ids_crc32,
         finished="ids_crc32 long",
     )
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lintlake.llm import simhash
+
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_code(F.col("code")).alias("fingerprint"), "component_id")
