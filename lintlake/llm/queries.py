@@ -56,3 +56,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_code(F.col("code")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lintlake.llm import minhash
+
+    return minhash.with_next(table(spark, sf_dir, "documents"), minhash.describe_edited, minhash.EDITED)
