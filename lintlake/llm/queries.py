@@ -63,3 +63,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lintlake.llm import minhash
 
     return minhash.with_next(table(spark, sf_dir, "documents"), minhash.describe_edited, minhash.EDITED)
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lintlake.llm import quality
+
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
