@@ -70,3 +70,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lintlake.llm import quality
 
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents after removal; spans as text, in code points of the original."""
+    from lintlake.llm import line_dedup
+
+    found = line_dedup.without_repeats(table(spark, sf_dir, "documents"), details=True)
+    return found.select("doc_id", "text", F.to_json("removed").alias("removed"))
