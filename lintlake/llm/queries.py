@@ -79,3 +79,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = line_dedup.without_repeats(table(spark, sf_dir, "documents"), details=True)
     return found.select("doc_id", "text", F.to_json("removed").alias("removed"))
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lintlake.llm import warc
+
+    found = warc.archive_and_read(table(spark, sf_dir, "pages"), revisit_min_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
