@@ -87,3 +87,15 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = warc.archive_and_read(table(spark, sf_dir, "pages"), revisit_min_bytes=0)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: The registered query's key; a caller brings a secret one.
+PSEUDONYM_KEY = "registered query"
+
+
+@query
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lintlake.llm import pii
+
+    found = pii.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    return found.select("doc_id", "text", "n_replaced")
