@@ -99,3 +99,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = pii.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
     return found.select("doc_id", "text", "n_replaced")
+
+
+@query
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lintlake.llm import embedding_dedup
+
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
