@@ -106,3 +106,10 @@ def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lintlake.llm import embedding_dedup
 
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lintlake.llm import lm
+
+    return lm.score(table(spark, sf_dir, "documents"))
