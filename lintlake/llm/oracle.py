@@ -2,8 +2,59 @@
 
 from __future__ import annotations
 
-_SQL: dict[str, str] = {}
+from lintlake.llm import mixing
+
+
+def _mixing() -> str:
+    """Raking as a chain of windows over the cell table, one per fit."""
+
+    def classed(column: str, axis: str) -> str:
+        names = ", ".join(f"'{n}'" for n in mixing.TARGETS[axis])
+        return f"CASE WHEN {column} IN ({names}) THEN {column} ELSE '{mixing.OTHER}' END AS {axis}_class"
+
+    def shares(axis: str) -> str:
+        named = mixing.TARGETS[axis]
+        named = named | {mixing.OTHER: named.get(mixing.OTHER, max(0.0, 1.0 - sum(named.values())))}
+        return ", ".join(f"('{n}', {s!r}::DOUBLE)" for n, s in named.items())
+
+    topic = (
+        "CASE WHEN contains(body, ' | ') THEN 'table' WHEN regexp_matches(body, '[0-9]{3}') THEN 'figures' "
+        "ELSE 'prose' END"
+    )
+    keys = ", ".join(f"{a}_class" for a in mixing.AXES)
+    steps = [
+        f"""WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS body FROM documents),
+classed AS (SELECT doc_id, {classed("source", "source")}, {classed("lang", "lang")},
+    {classed(f"({topic})", "topic")},
+    len(list_filter(string_split_regex(body, '[\\x09-\\x0D\\x20]+'), lambda w: w <> ''))::BIGINT AS tokens FROM d),
+cells AS (SELECT {keys}, sum(tokens)::DOUBLE AS t FROM classed GROUP BY ALL HAVING sum(tokens) > 0)"""
+    ]
+    joins, last = "", "w0"
+    for axis in mixing.AXES:
+        steps.append(f"{axis}_raw(n, s) AS (VALUES {shares(axis)})")
+        steps.append(
+            f"{axis}_share AS (SELECT n, s / sum(s) OVER () AS s FROM {axis}_raw "
+            f"WHERE n IN (SELECT {axis}_class FROM cells))"
+        )
+        joins += f" JOIN {axis}_share AS j_{axis} ON j_{axis}.n = {axis}_class"
+    given = ", ".join(f"j_{a}.s AS {a}_s" for a in mixing.AXES)
+    steps.append(f"w0 AS MATERIALIZED (SELECT cells.*, {given}, {mixing.KEEP!r}::DOUBLE AS w, "
+        f"{mixing.KEEP!r}::DOUBLE * sum(t) OVER () AS budget FROM cells{joins})")
+    for i in range(mixing.ROUNDS):
+        for axis in mixing.AXES:
+            name = f"w{i}_{axis}"
+            steps.append(
+                f"{name} AS MATERIALIZED (SELECT * REPLACE (least(1.0, coalesce({axis}_s * budget / nullif(sum(w * t) "
+                f"OVER (PARTITION BY {axis}_class), 0), 0) * w) AS w) FROM {last})"
+            )
+            last = name
+    steps.append(f"p AS (SELECT {keys}, w AS chance FROM {last})")
+    draw = "('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0"
+    return ",\n".join(steps) + (
+        f"\nSELECT doc_id, {keys}, tokens, round(coalesce(chance, 1.0), 9) AS probability, "
+        f"{draw} < coalesce(chance, 1.0) AS kept FROM classed LEFT JOIN p USING ({keys})"
+    )
 
 
 def all_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return {"op6_mixing": _mixing()}

@@ -113,3 +113,15 @@ def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lintlake.llm import lm
 
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its cell, its calibrated probability and whether it is drawn."""
+    from lintlake.llm import mixing
+
+    found = mixing.drawn(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("_row.doc_id").alias("doc_id"), *[f"{a}_class" for a in mixing.AXES], "tokens",
+        F.round("probability", 9).alias("probability"), "kept",
+    )
