@@ -3,7 +3,7 @@
 Method
     A text is a sequence of lines; inside a line, sentences are lines of their own. Each
     line is hashed, and a rolling hash over the hashes of the last `WINDOW` lines ends a
-    chunk where it falls into one of `DIVISOR` residues, so boundaries depend on content
+    chunk of two lines or more where it is divisible by `DIVISOR`, so boundaries depend on content
     only and find themselves again after an insertion. A physical line of `long_words` words
     or more also begins and ends a chunk (a pasted paragraph is cut off at its edges), and a
     chunk never exceeds `MAX_LINES` lines. Chunks of at least two lines and `min_words` words,
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from lintlake.llm.shared import arrow_map, handed_over, text_digest
 
 WINDOW = 2
-DIVISOR = 3
+DIVISOR = 2
 MAX_LINES = 64
 MIN_WORDS = 10
 LONG_WORDS = 40
@@ -85,7 +85,9 @@ def chunks_of(
         rolled = 0
         for h in recent:
             rolled = (rolled * 0x9E3779B97F4A7C15 + h) & _MASK
-        if (rolled >> 17) % DIVISOR == 0 or i in edges or i - begin + 1 >= MAX_LINES or i == len(lines) - 1:
+        # Never one line alone: not before a second line, not before an edge's last line.
+        cut = (rolled >> 17) % DIVISOR == 0 and i > begin and i + 1 not in edges
+        if cut or i in edges or i - begin + 1 >= MAX_LINES or i == len(lines) - 1:
             a = lines[begin][0]
             words = text.count(" ", a, stop) + text.count("\n", a, stop) + 1
             if words >= (min_words if i > begin else long_words):
