@@ -120,10 +120,8 @@ class Vocabulary:
     total: int
     distinct: int
     tail_sums: np.ndarray
-
-    @property
-    def own(self) -> int:
-        return min(OWN_WORDS, len(self.words))
+    #: How many of the head's first words are the network's own.
+    own: int
 
     @property
     def class_of_own(self) -> np.ndarray:
@@ -148,7 +146,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         counts.where(after).groupBy((F.crc32(ending) % TAIL_CLASSES).alias("t")).agg(F.sum(F.col("c") + 0.5).alias("s"))
     ).collect():
         sums[row["t"]] += row["s"]
-    return Vocabulary(words, np.array([r["c"] for r in head], dtype=np.int64), total, distinct, sums)
+    return Vocabulary(words, np.array([r["c"] for r in head], dtype=np.int64), total, distinct, sums, len(own))
 
 
 class Network:
@@ -176,7 +174,8 @@ class Network:
             "b": np.concatenate([np.ones(HIDDEN), np.zeros(2 * HIDDEN)]).astype(np.float32),
             "u": small(HIDDEN, 3 * HIDDEN),
             "oc": np.zeros((HIDDEN, OWN_CLASSES + TAIL_CLASSES), dtype=np.float32),
-            "bc": np.log(np.maximum(mass, 1e-3) / max(mass.sum(), 1e-3)).astype(np.float32),
+            # A class without words gets no share.
+            "bc": np.where(mass > 0, np.log(np.maximum(mass, 1e-3) / mass.sum()), -1e4).astype(np.float32),
             "ow": np.zeros((own, HIDDEN), dtype=np.float32),
             "bw": np.log(vocabulary.counts[:own] + 0.5).astype(np.float32),
         }

@@ -41,7 +41,7 @@ _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "key": r"(?<![0-9A-Za-z])(?:AKIA[0-9A-Z]{16}|[0-9a-f]{40}|[0-9A-F]{40})(?![0-9A-Za-z])",
-    "password": r"(?i:password|passwd|secret)=[^\s\"']{6,}",
+    "password": r"(?i:password|passwd|secret)=[^\s\"'()<>,;]{6,}",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2,7}(?: ?[0-9]{1,3})?(?![0-9A-Za-z])",
     "ipv4": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![./-]?[0-9])",

@@ -180,7 +180,10 @@ def fit_rules(x: np.ndarray, y: np.ndarray) -> RuleModel:
     if y.min() == y.max():
         return RuleModel(20.0 if y[0] else -20.0, (), ())
     rules = grow_rules(x, y)
-    bias, weights = fit_lasso(np.column_stack([_holds(x, r) for r in rules]), y)
+    holds = np.zeros((len(y), len(rules)), dtype=bool)
+    for i, rule in enumerate(rules):
+        holds[:, i] = _holds(x, rule)
+    bias, weights = fit_lasso(holds, y)
     used = [i for i, w in enumerate(weights) if w]
     return RuleModel(bias, tuple(float(weights[i]) for i in used), tuple(rules[i] for i in used))
 

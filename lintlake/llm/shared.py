@@ -6,6 +6,7 @@ the folder that the cluster names in `spark.checkpoint.dir`.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,16 +19,20 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 256
 
 
+@functools.cache
+def _test_folder() -> str:
+    return tempfile.mkdtemp(prefix="lintlake-shared-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see. Only where none is named (tests) a new one is made."""
+    """The folder all executors see. Only a local session that names none (tests) gets one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not named:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="lintlake-shared-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        named = _test_folder()
     return named.rstrip("/")
 
 
