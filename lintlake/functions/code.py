@@ -113,7 +113,7 @@ def includes_header(includes: Column, stem: Column) -> Column:
     )
 
 
-def included_stems(includes: Column, longest: int = MAX_ARRAY) -> Column:
+def included_stems(includes: Column, longest: Column | int = MAX_ARRAY) -> Column:
     """Every text that `includes_header` would accept as a stem for these lines.
 
     That is, each non-empty ending of the slash-free run before any '.h'. It turns the
@@ -142,7 +142,7 @@ def included_stems(includes: Column, longest: int = MAX_ARRAY) -> Column:
     return F.array_distinct(F.flatten(endings))
 
 
-def called_names(line: Column, longest: int = MAX_ARRAY) -> Column:
+def called_names(line: Column, longest: Column | int = MAX_ARRAY) -> Column:
     """Distinct texts `f` with `f\\s*\\(` in the line and no word character before `f`.
 
     Endings of the run before '(' that start at a word boundary or at a symbol, so names

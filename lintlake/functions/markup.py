@@ -3,64 +3,91 @@
 from __future__ import annotations
 
 import html
-from collections.abc import Iterator
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lintlake.functions.text import strip
 
 FENCE = "```"
 
 
-def _unescape(c: Column) -> Column:
-    """Complete entity table; a local function, so executors need not import this package."""
-
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(html.unescape, na_action="ignore")
-
-    return F.pandas_udf(decode, T.StringType())(c)
-
-
 def drop_tags(c: Column) -> Column:
     return F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", "")
 
 
-# The entities handled inside the JVM; '&amp;' must come last.
+# Entities looked up before the whole table, because most texts hold no others.
 COMMON_ENTITIES = {
+    "&amp;": "&",
     "&lt;": "<",
     "&gt;": ">",
     "&quot;": '"',
     "&#39;": "'",
-    "&apos;": "'",
     "&nbsp;": "\xa0",
-    "&copy;": "©",
-    "&middot;": "·",
-    "&amp;": "&",
 }
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+# Names that count without a semicolon, and so also as the beginning of a longer word.
+_OPEN_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
+_UNKNOWN = "\ufffd"
+
+
+def _literal_map(pairs: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+
+
+def _code_point(n: Column) -> Column:
+    """The character of a number; what HTML forbids is left out or replaced."""
+    low = {i: html.unescape(f"&#{i};") for i in range(160)}
+    plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    last = n % 65_536
+    return (
+        F.when(n.isNull() | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), _UNKNOWN)
+        .when(n < 160, F.try_element_at(_literal_map(low), n.cast("int")))
+        .when(n.between(0xFDD0, 0xFDEF) | (last >= 0xFFFE), "")
+        .otherwise(plain)
+    )
 
 
-def unescape_common(c: Column) -> Column:
-    """Entity decoding with built-ins, for text known to use only COMMON_ENTITIES."""
+def _reference(r: Column) -> Column:
+    """One character reference as text; what is none stays as it is."""
+    name = F.substr(r, F.lit(2))
+    digits = F.regexp_replace(r, "^&#0*|;$", "")
+    hexed = F.regexp_replace(r, "^&#[xX]0*|;$", "")
+    # Longer numbers lie beyond all characters.
+    number = F.when(F.length(digits) <= 9, F.coalesce(F.nullif(digits, F.lit("")), F.lit("0")).cast("bigint"))
+    hex_number = F.when(F.length(hexed) <= 8, F.conv(F.coalesce(F.nullif(hexed, F.lit("")), F.lit("0")), 16, 10).cast("bigint"))
+    table = _literal_map(dict(html5))
+    start = F.regexp_extract(name, "^(" + "|".join(_OPEN_NAMES) + ")", 1)
+    rest = F.substr(name, F.length(start) + 1)
+    common = F.when(F.lit(False), r)
     for entity, char in COMMON_ENTITIES.items():
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
-
+        common = common.when(r == entity, F.lit(char))
+    return (
+        common.when(r.rlike("^&#[xX]"), _code_point(hex_number))
+        .when(r.rlike("^&#"), _code_point(number))
+        .otherwise(
+            F.coalesce(
+                F.try_element_at(table, name),
+                F.when(start != "", F.concat(F.try_element_at(table, start), rest)),
+                r,
+            )
+        )
+    )
 
-def strip_html(c: Column, all_entities: bool = True) -> Column:
-    """Drop tags, decode entities, trim line ends and blanks.
 
-    The complete entity table needs the Arrow UDF; `all_entities=False` stays in the JVM.
-    """
-    decoded = _unescape(drop_tags(c)) if all_entities else unescape_common(drop_tags(c))
-    return F.btrim(decoded, F.lit("\n\r "))
+def unescape(c: Column) -> Column:
+    """Character references by the public HTML table and by code point, in the JVM."""
+    found = F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0))
+    between = F.split(c, _REFERENCE, -1)
+    decoded = F.array_append(F.transform(found, _reference), F.lit(""))
+    joined = F.array_join(F.zip_with(between, decoded, lambda gap, text: F.concat(gap, text)), "")
+    return F.when(F.contains(c, F.lit("&")), joined).otherwise(c)
 
 
-def looks_like_html(c: Column) -> Column:
-    return c.rlike(r"</?[A-Za-z][^>]*>|&[A-Za-z#0-9]+;")
+def strip_html(c: Column) -> Column:
+    """Drop tags, decode character references, trim line ends and blanks."""
+    return F.btrim(unescape(drop_tags(c)), F.lit("\n\r "))
 
 
 def core_slice(line: Column, start_offset: Column, end_offset: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lintlake.functions.markup import advice_parts
+from lintlake.operators.issues import best_row
 
 # Name of the advice column at each depth.
 ADVICE_COLUMN = {
@@ -55,14 +56,17 @@ def attach_advice(
 ) -> DataFrame:
     """Join replies by issue key and add the advice struct of the level.
 
-    Both sides have one row per issue, so no key is hot.
+    Archived runs may hold several replies of a key: the one of the newest run counts, or
+    the last by model and text. So both sides have one row per issue, and no key is hot.
+    A priority score is kept only with a good reply.
 
     `prompt_error` names a column that, where set, means the prompt could not be built.
     Context blocks are dropped, all else is kept; `advice_status` is ok, prompt_error or
     model_error.
     """
+    newest = [F.col(c) for c in ("run_ts", "model", "raw") if c in replies.columns]
     joined = prompts.join(
-        replies.select(
+        best_row(replies, ["issue_key"], newest, last=True).select(
             "issue_key", F.col("raw").alias("_raw_reply"), F.col("model").alias("_model")
         ),
         "issue_key",
@@ -86,22 +90,25 @@ def attach_advice(
         .when(F.col("advice_status") == "model_error", F.lit(NO_REPLY))
         .alias("error"),
     )
+    if "priority_score" in prompts.columns:
+        ready = ready.withColumn("priority_score", F.when(good, F.col("priority_score")))
     gone = [c for c in (*drop, prompt_error) if c and c in prompts.columns]
     return ready.withColumn(ADVICE_COLUMN[level], advice).drop(
         "_raw_reply", "_model", "_parts", *gone
     )
 
 
-def run_counters(read: DataFrame, filtered: DataFrame, written: DataFrame) -> DataFrame:
-    """One row: read, filtered, processed, written, errors."""
+def run_counters(read: DataFrame, in_window: Column, written: DataFrame) -> DataFrame:
+    """One row: read, filtered (`in_window` holds), processed, written, errors."""
+    seen = read.agg(F.struct(F.count("*").alias("n"), F.count_if(in_window).alias("m"))).scalar()
     done = written.agg(
         F.count_if(F.col("advice_status") != "prompt_error").alias("processed"),
         F.count("*").alias("written"),
         F.count_if(F.col("advice_status") != "ok").alias("errors"),
     )
     return done.select(
-        read.agg(F.count("*")).scalar().alias("read"),
-        filtered.agg(F.count("*")).scalar().alias("filtered"),
+        seen["n"].alias("read"),
+        seen["m"].alias("filtered"),
         "processed",
         "written",
         "errors",

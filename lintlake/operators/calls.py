@@ -47,11 +47,22 @@ def profiles(anchors: DataFrame) -> DataFrame:
     )
 
 
-def call_lines(sources: DataFrame, longest_name: int = code.MAX_ARRAY) -> DataFrame:
-    """Per searched file: path, include block and array of struct(line, code, names)."""
+def call_lines(sources: DataFrame, longest: DataFrame | None = None) -> DataFrame:
+    """Per searched file: path, include block and array of struct(line, code, names).
+
+    `longest` has one row (name, stem): lengths that bound the work on very long tokens.
+    The length for stems is handed on as `longest_stem`.
+    """
+
+    def bound(name: str) -> Column:
+        # A subquery cannot stand inside a lambda function, so it gets a column of its own.
+        return F.lit(code.MAX_ARRAY) if longest is None else F.coalesce(longest.select(name).scalar(), F.lit(0))
+
     searched = sources.where(code.is_searched_file(F.col("file_path"))).select(
         F.col("file_path").alias("file"),
         tx.bare_lines(tx.split_lines(F.col("text"))).alias("_bare"),
+        bound("name").alias("_longest"),
+        bound("stem").alias("longest_stem"),
     )
     calls = F.filter(
         F.transform(
@@ -61,7 +72,7 @@ def call_lines(sources: DataFrame, longest_name: int = code.MAX_ARRAY) -> DataFr
                 F.struct(
                     (i + 1).alias("line"),
                     tx.strip(t).alias("code"),
-                    code.called_names(t, longest_name).alias("names"),
+                    code.called_names(t, F.col("_longest")).alias("names"),
                 ),
             ),
         ),
@@ -69,6 +80,7 @@ def call_lines(sources: DataFrame, longest_name: int = code.MAX_ARRAY) -> DataFr
     )
     return searched.select(
         "file",
+        "longest_stem",
         code.include_block(F.col("_bare")).alias("includes"),
         calls.alias("calls"),
     )
@@ -81,7 +93,7 @@ def _tokens(files: DataFrame, names: DataFrame) -> DataFrame:
     call arrays twice.
     """
     return (
-        files.select("file", *[c for c in files.columns if c not in ("file", "calls", "includes")],
+        files.select("file", *[c for c in files.columns if c not in ("file", "calls", "includes", "longest_stem")],
                      F.explode_outer("calls").alias("c"))
         .where("c is not null")
         .select("*", F.col("c.line").alias("line"), F.col("c.code").alias("code"),
@@ -146,25 +158,24 @@ def rank_for_profiles(
     with_context: bool = True,
 ) -> DataFrame:
     """`rank_call_sites` for profiles that are already a table: they are read several times."""
-    # Two numbers; they bound the work on very long tokens.
-    longest = wanted.agg(F.max(F.length("name")), F.max(F.length("stem"))).first()
-    files = call_lines(sources, longest[0] or 0)
+    longest = wanted.agg(F.max(F.length("name")).alias("name"), F.max(F.length("stem")).alias("stem"))
+    files = call_lines(sources, longest)
     top = (
         _all_pairs(wanted, files)
         if max_call_sites is None
-        else _top_pairs(wanted, files, max_call_sites, longest[1] or 0)
+        else _top_pairs(wanted, files, max_call_sites)
     )
     return _attach_context(top, sources, context_window) if with_context else top
 
 
-def _relevant_stems(files: DataFrame, wanted: DataFrame, longest: int) -> DataFrame:
+def _relevant_stems(files: DataFrame, wanted: DataFrame) -> DataFrame:
     """(file, stems): header stems of wanted profiles the file includes.
 
     The list of a file is bounded by its own include block.
     """
     return (
         files.select(
-            "file", F.explode_outer(code.included_stems(F.col("includes"), longest)).alias("stem")
+            "file", F.explode_outer(code.included_stems(F.col("includes"), F.col("longest_stem"))).alias("stem")
         )
         .join(wanted.select("stem").where("stem <> ''").distinct(), "stem", "left_semi")
         .groupBy("file")
@@ -172,11 +183,9 @@ def _relevant_stems(files: DataFrame, wanted: DataFrame, longest: int) -> DataFr
     )
 
 
-def _top_pairs(
-    wanted: DataFrame, files: DataFrame, limit: int, longest_stem: int
-) -> DataFrame:
+def _top_pairs(wanted: DataFrame, files: DataFrame, limit: int) -> DataFrame:
     no_stems = F.array().cast("array<string>")
-    located = files.join(_relevant_stems(files, wanted, longest_stem), "file", "left").select(
+    located = files.join(_relevant_stems(files, wanted), "file", "left").select(
         "file", "calls", F.coalesce("stems", no_stems).alias("stems")
     )
     tokens = _scoped(_tokens(located, wanted.select("name").distinct()))

@@ -13,10 +13,6 @@ from lintlake.functions import code
 from lintlake.functions import text as tx
 from lintlake.operators.skew import spread_join
 
-# A joined row carries a file, so a slice of a hot file holds fewer rows than usual.
-FILE_ROWS_PER_SLICE = 20_000
-
-
 def source_lines(sources: DataFrame) -> DataFrame:
     """(file_path, text) → one row per line: (file_path, line_no, text without its end)."""
     return (
@@ -34,16 +30,14 @@ def source_lines(sources: DataFrame) -> DataFrame:
 
 def needed_sources(sources: DataFrame, issues: DataFrame) -> DataFrame:
     """Only the files some issue points at."""
-    return sources.join(issues.select("file_path"), "file_path", "left_semi")
+    return sources.join(issues.select("file_path").distinct(), "file_path", "left_semi")
 
 
 def with_file(
     issues: DataFrame, files: DataFrame, spread_by: str = "issue_key"
 ) -> DataFrame:
     """Issues ⟕ per-file columns on file_path, hot files dealt over slices."""
-    return spread_join(
-        issues, files, ["file_path"], [spread_by], rows_per_slice=FILE_ROWS_PER_SLICE
-    )
+    return spread_join(issues, files, ["file_path"], [spread_by])
 
 
 # --- snippets --------------------------------------------------------------
@@ -62,7 +56,8 @@ def snippets(
     `max_chars`. Issues that cannot have a snippet get an error instead: missing_path,
     missing_start_line, invalid_line_numbers, file_read_error.
     """
-    files = sources.select("file_path", tx.split_lines(F.col("text")).alias("_lines"))
+    needed = needed_sources(sources, issues)
+    files = needed.select("file_path", tx.split_lines(F.col("text")).alias("_lines"))
     prior = F.col("error") if "error" in issues.columns else F.lit(None).cast("string")
     joined = with_file(issues, files)
     start, end = F.col("start_line"), F.coalesce("end_line", "start_line")
@@ -222,7 +217,7 @@ def bug_blocks(bugs: DataFrame, sources: DataFrame, keep_file: bool = False) ->
     `keep_file` leaves the file columns for `enclosing_function`.
     """
     prior = F.col("error") if "error" in bugs.columns else F.lit(None).cast("string")
-    joined = with_file(bugs, file_features(sources))
+    joined = with_file(bugs, file_features(needed_sources(sources, bugs)))
     out = blocks(joined).withColumn(
         "error",
         F.coalesce(

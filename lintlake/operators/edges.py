@@ -7,7 +7,7 @@ optimizer adds a size filter that would compute the array a second time.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,26 +27,32 @@ def _lines(sources: DataFrame) -> DataFrame:
     )
 
 
-def include_edges(sources: DataFrame) -> DataFrame:
+EDGE = "array<struct<src:string,dst:string,type:string>>"
+
+
+def _edge(src: Column, dst: Column, kind: str) -> Column:
+    return F.struct(src.alias("src"), dst.alias("dst"), F.lit(kind).alias("type"))
+
+
+def _include_array() -> Column:
     """File → included name, once per include line."""
     names = F.transform("_bare", lambda t: F.regexp_extract(t, INCLUDE, 1))
-    return (
-        _lines(sources)
-        .select(F.col("file_path").alias("src"), F.explode_outer(names).alias("dst"))
-        .where("dst <> ''")
-    )
+    return F.transform(F.filter(names, lambda n: n != ""), lambda n: _edge(F.col("file_path"), n, "include"))
 
 
-def inherit_edges(sources: DataFrame) -> DataFrame:
+def _inherit_array() -> Column:
     """Class → base class, for class heads and bases on one line; template arguments kept."""
     heads = F.filter("_bare", lambda t: F.regexp_extract(t, BASES, 1) != "")
-    rows = _lines(sources).select(F.explode_outer(heads).alias("t")).select(
-        F.regexp_extract("t", CLASS_HEAD, 1).alias("src"),
-        F.explode(F.split(F.regexp_extract("t", BASES, 1), ",")).alias("base"),
+    bases = F.transform(
+        heads,
+        lambda t: F.transform(
+            F.split(F.regexp_extract(t, BASES, 1), ","),
+            lambda base: _edge(
+                F.regexp_extract(t, CLASS_HEAD, 1), F.trim(F.regexp_replace(base, BASE_MARKS, "")), "inherits"
+            ),
+        ),
     )
-    return rows.select(
-        "src", F.trim(F.regexp_replace("base", BASE_MARKS, "")).alias("dst")
-    ).where("dst <> ''")
+    return F.filter(F.flatten(bases), lambda e: e["dst"] != "")
 
 
 def _with_extent(items: Column, n: Column) -> Column:
@@ -105,24 +111,26 @@ def symbols(sources: DataFrame) -> DataFrame:
     ).where("line is not null")
 
 
-def call_edges(sources: DataFrame) -> DataFrame:
+def _call_array() -> Column:
     """Caller → callee, for every call token below a function header up to the next one."""
-    headed = _lines(sources).select("_bare", code.headers(F.col("_bare")).alias("_h"))
     n = F.size("_bare")
     spans = F.zip_with(
-        "_h",
-        F.concat(F.slice(F.transform("_h", lambda h: h["line"] - 1), 2, 1_000_000_000), F.array(n)),
+        "_heads",
+        F.concat(F.slice(F.transform("_heads", lambda h: h["line"] - 1), 2, 1_000_000_000), F.array(n)),
         lambda h, last: F.struct(
             h["name"].alias("src"), F.slice("_bare", h["line"] + 1, last - h["line"]).alias("body")
         ),
     )
-    return (
-        headed.select(F.inline_outer(spans))
-        .select("src", F.explode_outer("body").alias("t"))
-        .where(F.contains("t", F.lit("(")))
-        .select("src", F.explode_outer(plain_calls(F.col("t"))).alias("dst"))
-        .where("dst is not null")
+    calls = F.transform(
+        spans,
+        lambda s: F.flatten(
+            F.transform(
+                F.filter(s["body"], lambda t: F.contains(t, F.lit("("))),
+                lambda t: F.transform(plain_calls(t), lambda w: _edge(s["src"], w, "call")),
+            )
+        ),
     )
+    return F.flatten(calls)
 
 
 def plain_calls(line: Column) -> Column:
@@ -137,22 +145,31 @@ def plain_calls(line: Column) -> Column:
     return F.filter(words, lambda w: (w != "") & ~w.isin(*code.NOT_FUNCTIONS))
 
 
-def all_edges(sources: DataFrame) -> DataFrame:
-    """Union of the typed edges: (src, dst, type)."""
-    typed = {
-        "include": include_edges(sources),
-        "call": call_edges(sources),
-        "inherits": inherit_edges(sources),
-    }
-    return reduce(
-        DataFrame.unionByName,
-        [df.select("src", "dst", F.lit(kind).alias("type")) for kind, df in typed.items()],
+def _edge_arrays(sources: DataFrame) -> DataFrame:
+    """Per file: its lines, and the arrays of its edges by type. One scan, one split."""
+    headed = _lines(sources).withColumn("_heads", code.headers(F.col("_bare")))
+    return headed.select(
+        "_bare",
+        _include_array().cast(EDGE).alias("include"),
+        _call_array().cast(EDGE).alias("call"),
+        _inherit_array().cast(EDGE).alias("inherits"),
+    )
+
+
+def all_edges(sources: DataFrame, types: Sequence[str] = ("include", "call", "inherits")) -> DataFrame:
+    """Typed edges: (src, dst, type), of the types named."""
+    return (
+        _edge_arrays(sources).select(F.explode_outer(F.concat(*types)).alias("e"))
+        .where("e is not null").select("e.*")
     )
 
 
 def edge_counts(sources: DataFrame) -> DataFrame:
-    """Edges per type, and the number of symbols as type 'symbol'."""
-    kinds = all_edges(sources).select("type").unionByName(
-        symbols(sources).select(F.lit("symbol").alias("type"))
+    """Edges per type, and the number of symbols as type 'symbol'; types without any are left out."""
+    sizes = _edge_arrays(sources).select(
+        *[F.size(t).alias(t) for t in ("include", "call", "inherits")], F.size(_symbol_array()).alias("symbol")
     )
-    return kinds.groupBy("type").agg(F.count("*").alias("n"))
+    names = ("include", "call", "inherits", "symbol")
+    sums = sizes.agg(*[F.sum(t).alias(t) for t in names])
+    rows = F.array(*[F.struct(F.lit(t).alias("type"), F.col(t).alias("n")) for t in names])
+    return sums.select(F.inline(rows)).where("n > 0")

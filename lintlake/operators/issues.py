@@ -119,12 +119,7 @@ def minimal_records(
     """
     start = first_nonzero(F.col("text_start"), F.col("line"))
     kept = df.where((F.col("component") != "") & (F.coalesce(start, F.lit(0)) != 0))
-    joined = spread_join(
-        kept.withColumn("rule_key", F.coalesce("rule", F.lit(""))),
-        rules,
-        ["rule_key"],
-        ["issue_key"],
-    )
+    joined = kept.withColumn("rule_key", F.coalesce("rule", F.lit(""))).join(rules, "rule_key", "left")
     columns = [
         F.coalesce(F.nullif("page_path", F.lit("")), "component").alias("path"),
         start.cast("int").alias("start_line"),
@@ -154,11 +149,12 @@ def rule_texts(rules: DataFrame) -> DataFrame:
     )
 
 
-def severe_table(issues: DataFrame, components: DataFrame) -> DataFrame:
+def severe_table(issues: DataFrame, components: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Raw issues joined with their component's attributes, flat.
 
     `issues` has the raw field names (`key`, `rule`, …, `textRange` struct); `components`
     has key, name, qualifier, path, enabled and an `ordinal`: the last duplicate wins.
+    `by` names columns of both, such as the document, inside which keys are looked up.
     """
     known = best_row(
         components.where(F.col("key") != "").select(
@@ -168,8 +164,9 @@ def severe_table(issues: DataFrame, components: DataFrame) -> DataFrame:
             F.col("path").alias("component_path"),
             F.col("enabled").alias("component_enabled"),
             "ordinal",
+            *by,
         ),
-        ["component"],
+        ["component", *by],
         [F.col("ordinal")],
         last=True,
     ).drop("ordinal")
@@ -186,12 +183,13 @@ def severe_table(issues: DataFrame, components: DataFrame) -> DataFrame:
         values.colon_offset(F.col("updateDate")).alias("update_date"),
         "type",
         "scope",
+        *by,
         *[
             values.to_int(F.col(f"textRange.{n}")).alias(n)
             for n in ("startLine", "endLine", "startOffset", "endOffset")
         ],
     )
-    return spread_join(flat, known, ["component"], ["issue_key"]).select(*SEVERE_ISSUE_COLUMNS)
+    return spread_join(flat, known, ["component", *by], ["issue_key"]).select(*SEVERE_ISSUE_COLUMNS)
 
 
 # --- filters ---------------------------------------------------------------
@@ -237,17 +235,21 @@ def bugs_only(df: DataFrame, **filters) -> DataFrame:
     return search_issues(df, **filters)
 
 
-def filter_by_date(
-    df: DataFrame, since: object = None, until: object = None, date_on: str = "creation"
-) -> DataFrame:
-    """Inclusive window; an unreadable date counts as 1970."""
+def in_window(since: object = None, until: object = None, date_on: str = "creation") -> Column:
+    """Whether a row's date lies in the inclusive window; an unreadable date counts as 1970."""
     at = values.epoch_seconds(F.col("creation_date"), F.col("update_date"), date_on)
     low, high = values.bound_seconds(since), values.bound_seconds(until)
+    inside = F.lit(True)
     if low is not None:
-        df = df.where(at >= low)
-    if high is not None:
-        df = df.where(at <= high)
-    return df
+        inside = inside & (at >= low)
+    return inside if high is None else inside & (at <= high)
+
+
+def filter_by_date(
+    df: DataFrame, since: object = None, until: object = None, date_on: str = "creation"
+) -> DataFrame:
+    """Rows inside the inclusive window; an unreadable date counts as 1970."""
+    return df.where(in_window(since, until, date_on))
 
 
 def previous_analysis(analyses: DataFrame) -> DataFrame:
@@ -264,7 +266,7 @@ def previous_analysis(analyses: DataFrame) -> DataFrame:
 
 def since_previous_analysis(df: DataFrame, analyses: DataFrame) -> DataFrame:
     """Issues created on or after the project's previous analysis; all if it has none."""
-    joined = spread_join(df, previous_analysis(analyses), ["project"], ["issue_key"])
+    joined = df.join(previous_analysis(analyses), "project", "left")
     after = values.parse_stamp(F.col("creation_date")) >= values.parse_stamp(
         F.col("previous_date")
     )
@@ -291,6 +293,15 @@ def flow_summary(df: DataFrame) -> DataFrame:
 # --- order -----------------------------------------------------------------
 
 
+def rank_columns(
+    primary: str = "severity", secondary: str | None = "time", recent_first: bool = True, date_on: str = "creation"
+) -> dict[str, tuple[Column, bool]]:
+    """Numeric sort columns by name, best first, and whether each one falls."""
+    at = values.epoch_seconds(F.col("creation_date"), F.col("update_date"), date_on)
+    keys = {"severity": (values.severity_weight(F.col("severity")), True), "time": (at, recent_first)}
+    return {f"_by_{k}": keys[k] for k in (primary, secondary) if k in keys}
+
+
 def rank_order(
     primary: str = "severity",
     secondary: str | None = "time",
@@ -299,13 +310,8 @@ def rank_order(
     ties: Sequence[str] = (),
 ) -> list[Column]:
     """Sort columns, best first; `ties` are ascending input-order columns."""
-    at = values.epoch_seconds(F.col("creation_date"), F.col("update_date"), date_on)
-    keys = {
-        "severity": values.severity_weight(F.col("severity")).desc(),
-        "time": at.desc() if recent_first else at.asc(),
-    }
-    chosen = [keys[k] for k in (primary, secondary) if k in keys]
-    return [*chosen, *[F.col(t).asc() for t in ties]]
+    ranks = rank_columns(primary, secondary, recent_first, date_on).values()
+    return [*[c.desc() if falls else c.asc() for c, falls in ranks], *[F.col(t).asc() for t in ties]]
 
 
 def rank_issues(df: DataFrame, limit: int | None = None, **options) -> DataFrame:

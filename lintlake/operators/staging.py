@@ -1,7 +1,7 @@
 """Cutting lineage at small hand-over tables.
 
 A reliable checkpoint survives the loss of executors. Its folder is the one the cluster
-names in `spark.checkpoint.dir`; only where none is named (tests) a temporary one is set.
+names in `spark.checkpoint.dir`; only a local session that names none (tests) gets one.
 """
 
 from __future__ import annotations
@@ -16,15 +16,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lintlake-"))
     return df.checkpoint()
-
-
-def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for a scan that yields fewer partitions than there are cores.
-
-    That is the case of small files only; a large input has more splits than cores and is
-    returned untouched, so no shuffle is added where it would cost.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,18 +101,38 @@ def advice_run(
     replies: DataFrame,
     level: str = "issue",
     model: str = "",
-    **choice,
+    stop_after: int | None = None,
+    since: object = None,
+    until: object = None,
+    date_on: str = "creation",
+    primary: str = "severity",
+    secondary: str | None = "time",
+    recent_first: bool = True,
+    ties: Sequence[str] = (),
+    rank_before_process: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """(advised records, one-row counters) of one run at a context depth."""
-    window = {k: choice[k] for k in ("since", "until", "date_on") if k in choice}
-    filtered = issues.filter_by_date(records, **window)
-    chosen = choose_issues(records, **choice)
+    """(advised records, one-row counters) of one run at a context depth.
+
+    Rows are taken until `stop_after` of them have a prompt; rows whose prompt cannot be
+    built are written with their error and do not count. `ties` names ascending columns of
+    the input's order; by default the landed place, where the records have it, else the
+    issue key. Without `rank_before_process` that order alone decides.
+    """
+    window = issues.in_window(since, until, date_on)
+    place = [c for c in ("file", "line_no", "pos") if c in records.columns]
+    ties = list(ties) or place or ["issue_key"]
+    chosen = records.where(window)
     if level == "issue":
         chosen = issues.with_priority(chosen)
-    written = adv.attach_advice(
-        build_prompts(chosen, template, level), replies, level, model, "prompt_error"
-    )
-    return written, adv.run_counters(records, filtered, written)
+    built = build_prompts(chosen, template, level)
+    if stop_after is not None:
+        ranks = issues.rank_columns(primary, secondary, recent_first, date_on) if rank_before_process else {}
+        order = [*[(name, desc) for name, (_, desc) in ranks.items()], *[(t, False) for t in ties]]
+        keyed = built.withColumns({name: value for name, (value, _) in ranks.items()})
+        done = F.col("prompt_error").isNull()
+        built = adv.until_processed(keyed, stop_after, order, done).drop(*ranks)
+    written = adv.attach_advice(built, replies, level, model, "prompt_error")
+    return written, adv.run_counters(records, window, written)
 
 
 def export_csv(
@@ -126,14 +148,15 @@ def export_csv(
 
 def bi_tables(measures: DataFrame, gate: DataFrame, issue_docs: DataFrame) -> dict[str, DataFrame]:
     """Project documents → the three BI tables by name."""
-    rows = issue_docs.select("project", "components", F.posexplode("issues").alias("_p", "i"))
+    # A component key is looked up in its own document: folders may share keys.
+    rows = issue_docs.select(F.col("project").alias("document"), F.explode("issues").alias("i"))
     components = issue_docs.select(
-        "project", F.posexplode("components").alias("ordinal", "c")
-    ).select("ordinal", "c.*")
+        F.col("project").alias("document"), F.posexplode("components").alias("ordinal", "c")
+    ).select("document", "ordinal", "c.*")
     return {
         "measures": kpi.measures_long(measures),
         "quality_gate": kpi.quality_conditions(gate),
-        "severe_issues": issues.severe_table(rows.select("i.*"), components),
+        "severe_issues": issues.severe_table(rows.select("document", "i.*"), components, by=["document"]),
     }
 
 

@@ -44,10 +44,10 @@ WEIGHT = (
     "WHEN 'MINOR' THEN 2 WHEN 'INFO' THEN 1 ELSE 0 END"
 )
 ISSUES = "issues AS (" + _select("orders", views.ISSUES) + ")"
-ANALYSES = "analyses AS (" + _select("events", views.ANALYSES, views.ANALYSES_WHERE) + ")"
+ANALYSES = "analyses AS (" + _select("events", views.ANALYSES) + ")"
 RULES = "rules AS (" + _select("nation", views.RULES) + ")"
 COMPONENTS = "components AS (" + _select("customer", views.COMPONENTS) + ")"
-GATES = "gates AS (" + _select("nation", views.GATES, views.GATES_WHERE) + ")"
+GATES = "gates AS (" + _select("nation", views.GATES) + ")"
 MEASURES = "measures AS (" + _select("lineitem", views.MEASURES) + ")"
 
 # --- issues ------------------------------------------------------------------
@@ -243,7 +243,7 @@ FROM (SELECT project, type, upper(severity) AS sev FROM issues)
 GROUP BY GROUPING SETS ((project, type, sev), (project, type), (project))"""
 SQL["project_issue_examples"] = f"""
 WITH {ISSUES} SELECT project, type, row_number() OVER (PARTITION BY project, type ORDER BY issue_key) AS n,
-  issue_key, left(message, 12) AS message FROM issues QUALIFY n <= 2"""
+  issue_key, left(message, 100) AS message FROM issues QUALIFY n <= 3"""
 SQL["batch_summary"] = f"""
 WITH {ISSUES}, {GATES}, counts AS (SELECT project, count(*) FILTER (upper(severity) IN
   ('BLOCKER', 'CRITICAL') AND resolution IS NULL) AS total_severe FROM issues GROUP BY project)
@@ -336,7 +336,7 @@ _JOINED = (
     "CASE WHEN {b} < len(lines) OR ended THEN chr(10) ELSE '' END)"
 )
 SQL["snippets"] = f"""
-WITH {FILES}, located AS ({_select('orders', views.LOCATED)}),
+WITH {FILES}, located AS ({_select('(SELECT *, (SELECT count(*) FROM documents) AS n_docs FROM orders)', views.LOCATED)}),
 joined AS (SELECT located.*, lines, ended, len(lines) AS n, greatest(1, start_line - 2) AS low,
   greatest(greatest(1, start_line - 2), coalesce(end_line, start_line) + 2) AS high
   FROM located LEFT JOIN files USING (file_path)),
@@ -346,7 +346,7 @@ cut AS (SELECT *, CASE WHEN coalesce(file_path, '') = '' THEN 'missing_path'
   WHEN start_line IS NULL THEN 'missing_start_line' WHEN lines IS NULL THEN 'file_read_error' END AS error,
   CASE WHEN n = 0 THEN '' ELSE replace({_JOINED.format(a='a', b='z')}, chr(9), '    ') END AS body FROM clamped)
 SELECT file_path, issue_key, start_line, end_line, error, CASE WHEN error IS NULL THEN
-  CASE WHEN length(body) > 900 THEN left(body, 900) || {_text(TRUNCATION_MARK)} ELSE body END END AS code_snippet
+  CASE WHEN length(body) > 20000 THEN left(body, 20000) || {_text(TRUNCATION_MARK)} ELSE body END END AS code_snippet
 FROM cut"""
 
 _IS_CODE = (
@@ -585,7 +585,8 @@ running AS (SELECT *, coalesce(sum(ok::int) OVER (ORDER BY w DESC, made DESC, se
 advised AS (SELECT *, CASE WHEN NOT ok THEN 'prompt_error' WHEN seq % 4 = 0 THEN 'model_error' ELSE 'ok' END AS advice_status
   FROM running WHERE done < 500)"""
 SQL["advice_join"] = f"""
-WITH {ISSUES}, {_ADVISED} SELECT issue_key, advice_status, w * 1e9 + made AS priority_score,
+WITH {ISSUES}, {_ADVISED} SELECT issue_key, advice_status,
+  CASE WHEN advice_status = 'ok' THEN w * 1e9 + made END AS priority_score,
   CASE WHEN seq % 4 <> 0 AND seq % 2 = 0 THEN 'm-2' ELSE 'm-1' END AS model,
   CASE WHEN advice_status = 'ok' THEN concat('Explain ', seq) END AS explanation,
   CASE WHEN advice_status = 'ok' THEN concat('```', {NL}, 'fix ', seq, {NL}, '```') END AS code_update,

@@ -20,7 +20,6 @@ from lintlake.operators import (
     kpi,
     prompts,
 )
-from lintlake.operators.staging import spread_small_scan
 from lintlake.plans import chains, views
 from lintlake.session import tune
 from lintlake.sources import jsonl, sinks
@@ -333,7 +332,7 @@ def project_issue_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def project_issue_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return issues.example_messages(views.issues(spark, sf_dir), 2, 12, by=["project"])
+    return issues.example_messages(views.issues(spark, sf_dir), by=["project"])
 
 
 @query
@@ -405,7 +404,6 @@ def snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
         views.located_issues(spark, sf_dir),
         views.source_files(spark, sf_dir),
         context_lines=2,
-        max_chars=900,
         normalize_tabs=True,
     )
 
@@ -609,9 +607,7 @@ def advice_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = views.issues(spark, sf_dir)
-    return adv.run_counters(
-        found, issues.filter_by_date(found, since="1996-01-01"), _advised(spark, sf_dir)
-    )
+    return adv.run_counters(found, issues.in_window(since="1996-01-01"), _advised(spark, sf_dir))
 
 
 # --- text and export ------------------------------------------------------------------------
@@ -619,8 +615,7 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread_small_scan(_table(spark, sf_dir, "pages"), "page_id")
-    return pages.select(
+    return _table(spark, sf_dir, "pages").select(
         "page_id", markup.strip_html(F.col("html")).alias("plain")
     )
 

@@ -7,8 +7,7 @@ the two sides start from the same rows by construction and differ only in the op
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from lintlake.operators.staging import spread_small_scan
+from pyspark.sql import functions as F
 
 ISSUES = {
     "seq": "o_orderkey",
@@ -51,7 +50,8 @@ ISSUES = {
 }
 
 ANALYSES = {
-    "project": "concat('proj', user_id % 12)",
+    # One project in 12 was never analysed.
+    "project": "concat(CASE WHEN user_id % 12 = 5 THEN 'gone' ELSE 'proj' END, user_id % 12)",
     "date": (
         "concat(cast(1995 + user_id % 6 AS string), substr(cast(ts AS string), 5, 6), "
         "'T00:00:00+0000')"
@@ -94,7 +94,8 @@ COMPONENTS = {
 }
 
 GATES = {
-    "project": "concat('proj', n_nationkey)",
+    # One project's gate is missing.
+    "project": "concat(CASE WHEN n_nationkey = 11 THEN 'gone' ELSE 'proj' END, n_nationkey)",
     "gate_status": "CASE n_nationkey % 3 WHEN 0 THEN 'OK' WHEN 1 THEN 'WARN' ELSE 'ERROR' END",
 }
 
@@ -124,7 +125,7 @@ PATH = (
 # One code-like line around each line of a document; blank lines stay blank.
 CODE_LINE = (
     "CASE WHEN trim({b}) = '' THEN '' "
-    "WHEN {i} = 1 THEN concat('#include \"d', (doc_id + 7) % 997, '.h\" // ', {b}) "
+    "WHEN {i} = 1 THEN concat('#include \"d', doc_id + 7, '.h\" // ', {b}) "
     "WHEN {i} = 2 AND doc_id % 3 = 0 THEN concat('// ', {b}) "
     "WHEN {i} % 13 = 3 THEN concat('class K', doc_id % 50, ' : public B', (doc_id + {i}) % 40, "
     "', private virtual B', {i} % 7, ' {{ // ', {b}) "
@@ -142,19 +143,18 @@ def _load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _view(spark: SparkSession, sf_dir: str, table: str, columns: dict[str, str],
-          where: str | None = None, spread: str | None = None) -> DataFrame:
+          where: str | None = None) -> DataFrame:
     df = _load(spark, sf_dir, table)
-    df = spread_small_scan(df, spread) if spread else df
     df = df.where(where) if where else df
     return df.selectExpr(*[f"{e} AS {n}" for n, e in columns.items()])
 
 
 def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, "orders", ISSUES, spread="o_orderkey")
+    return _view(spark, sf_dir, "orders", ISSUES)
 
 
 def analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, "events", ANALYSES, ANALYSES_WHERE)
+    return _view(spark, sf_dir, "events", ANALYSES)
 
 
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,22 +166,18 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, "nation", GATES, GATES_WHERE)
+    return _view(spark, sf_dir, "nation", GATES)
 
 
 def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, "lineitem", MEASURES)
 
 
-ANALYSES_WHERE = "event_type = 'signup' AND user_id % 12 <> 5"
-GATES_WHERE = "n_nationkey < 14 AND n_nationkey <> 11"
-
-
 def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file_path, text): every document as a source file."""
     line = CODE_LINE.format(b="b", i="(i0 + 1)")
     documents = _load(spark, sf_dir, "documents").select("doc_id", "text")
-    return spread_small_scan(documents, "doc_id").selectExpr(
+    return documents.selectExpr(
         f"{PATH.format(d='doc_id')} AS file_path",
         f"array_join(transform(split(text, '\\n'), (b, i0) -> {line}), '\\n') AS text",
     )
@@ -214,10 +210,7 @@ HOT_BUG = {
 
 
 def bugs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread_small_scan(
-        _load(spark, sf_dir, "documents").selectExpr("doc_id", "size(split(text, '\\n')) AS n"),
-        "doc_id",
-    )
+    docs = _load(spark, sf_dir, "documents").selectExpr("doc_id", "size(split(text, '\\n')) AS n")
     own = docs.selectExpr(*[f"{e} AS {c}" for c, e in OWN_BUG.items()])
     hot = docs.where("doc_id % 3 = 0").selectExpr(*[f"{e} AS {c}" for c, e in HOT_BUG.items()])
     return own.unionByName(hot)
@@ -229,7 +222,7 @@ LOCATED = {
     "file_path": (
         "CASE WHEN o_orderkey % 19 = 1 THEN '' WHEN o_orderkey % 23 = 1 THEN NULL "
         "WHEN o_orderkey % 3 = 0 THEN 'm0/s0/d0.cpp' ELSE "
-        + PATH.format(d="(o_orderkey % 1200)")
+        + PATH.format(d="(o_orderkey % n_docs)")
         + " END"
     ),
     "start_line": "CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE cast(o_orderkey % 14 AS int) END",
@@ -241,7 +234,9 @@ LOCATED = {
 
 
 def located_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, "orders", LOCATED, spread="o_orderkey")
+    documents = _load(spark, sf_dir, "documents").agg(F.count("*")).scalar()
+    orders = _load(spark, sf_dir, "orders").withColumn("n_docs", documents)
+    return orders.selectExpr(*[f"{e} AS {n}" for n, e in LOCATED.items()])
 
 
 # Measure documents, one per part: value; history; value with periods; period object; nameless.

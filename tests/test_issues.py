@@ -64,11 +64,14 @@ def test_read_jsonl_variants(spark, tmp_path):
     assert jsonl.read_jsonl(spark, path).count() == 5
     kept = jsonl.read_jsonl_keeping_errors(spark, path, "issue_key string").where("_parse_error").collect()
     assert [(r["_line_no"], r["_raw_line"]) for r in kept] == [(4, "{broken")]
-    auto = jsonl.read_records(spark, path, "issue_key string")
-    assert {r["_parse_error"] for r in auto.collect()} == {None, "json_parse_error", "not_dict"}
+    lines = jsonl.read_records(spark, path, "issue_key string", "jsonl")
+    assert {r["_parse_error"] for r in lines.collect()} == {None, "json_parse_error", "not_dict"}
     array = tmp_path / "a.json"
     array.write_text('[\n{"issue_key": "A"},\n{"issue_key": "B"}\n]')
-    assert sorted(r["issue_key"] for r in jsonl.read_records(spark, str(array), "issue_key string").collect()) == ["A", "B"]
+    assert sorted(r["issue_key"] for r in jsonl.read_records(spark, str(array), "issue_key string", "json").collect()) == ["A", "B"]
+    (tmp_path / "o.json").write_text('{\n  "issue_key": "C",\n  "n": 1\n}')
+    one = jsonl.read_records(spark, str(tmp_path / "o.json"), "issue_key string", "json").collect()
+    assert [(r["issue_key"], r["_parse_error"]) for r in one] == [("C", None)]
 
 
 def test_lines_with_trailing_text_are_malformed(spark):
@@ -106,7 +109,7 @@ def test_spread_join_slices_hot_keys(spark):
         spark.createDataFrame([("hot", 99)], "k string, v long"))
     for how in ("left", "inner", "left_semi"):
         plain = facts.join(side, "k", how)
-        spread = spread_join(facts, side, ["k"], ["id"], how, rows_per_slice=100)
+        spread = spread_join(facts, side, ["k"], ["id"], how, parts=20)
         assert sorted(map(tuple, spread.select(*plain.columns).collect()), key=str) == sorted(
             map(tuple, plain.collect()), key=str)
 
