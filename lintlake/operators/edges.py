@@ -130,7 +130,8 @@ def _call_array() -> Column:
             )
         ),
     )
-    return F.flatten(calls)
+    # A file without headers has no callers.
+    return F.when(F.size("_heads") > 0, F.flatten(calls)).otherwise(F.array())
 
 
 def plain_calls(line: Column) -> Column:
