@@ -7,16 +7,30 @@ names in `spark.checkpoint.dir`; only a local session that names none (tests) ge
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that all executors share."""
+    context = spark.sparkContext
+    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="lintlake-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` to the checkpoint folder and go on from there."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not named and not context.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lintlake-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -626,5 +626,49 @@ WITH {ISSUES} SELECT issue_key, severity, status, effort, sha256(concat('v', iss
 FROM issues WHERE seq % 3 = 0 OR seq % 7 = 0"""
 
 
+SQL["bi_severe_issues"] = f"""
+WITH {ISSUES}, {COMPONENTS}, known AS (SELECT *, ordinal % 2 AS d FROM components WHERE key <> ''
+  QUALIFY row_number() OVER (PARTITION BY key, ordinal % 2 ORDER BY ordinal DESC) = 1)
+SELECT issue_key, component, known.name AS component_name, known.path AS component_path, known.enabled AS component_enabled
+FROM issues LEFT JOIN known ON component = known.key AND seq % 2 = known.d"""
+
+SQL["minimal_snippets"] = f"""
+WITH {ISSUES}, cut AS (SELECT *, (seq % 31 - 2)::int AS a, (seq % 47)::int AS z FROM issues)
+SELECT issue_key, component AS path, start_line::int AS start_line,
+  (CASE WHEN seq % 2 = 0 THEN start_line ELSE start_line + 1 END)::int AS end_line,
+  CASE WHEN seq % 2 <> 0 THEN {_strip(f"message || {NL} || ' second '")}
+    WHEN a >= 0 AND a < z AND z <= length(message) AND {_strip('substr(message, a + 1, z - a)')} <> ''
+    THEN substr(message, a + 1, z - a) ELSE message END AS code_snippet
+FROM cut WHERE status = 'OPEN' AND resolution IS NULL AND component IS NOT NULL
+  AND start_line IS NOT NULL AND start_line <> 0"""
+
+SQL["issues_by_date"] = f"WITH {ISSUES} SELECT issue_key, update_date FROM issues"
+SQL["component_paths"] = f"SELECT rel_path FROM ({SQL['component_index']}) WHERE rel_path <> ''"
+
+_RUN = f"""
+run AS (SELECT *, {WEIGHT} AS w, {_epoch('creation_date')} AS made FROM issues
+  WHERE {_epoch('creation_date')} >= epoch(timestamp '1996-01-01') ORDER BY w DESC, made DESC, seq LIMIT 500)"""
+SQL["advice_run"] = f"""
+WITH {ISSUES}, {_RUN} SELECT issue_key, CASE WHEN seq % 4 = 0 THEN 'model_error' ELSE 'ok' END AS advice_status,
+  CASE WHEN seq % 4 <> 0 THEN w * 1e9 + made END AS priority_score,
+  CASE WHEN seq % 4 <> 0 THEN 'm-2' ELSE 'm-1' END AS model, CASE WHEN seq % 4 <> 0 THEN concat('Explain ', seq) END AS explanation,
+  CASE WHEN seq % 4 = 0 THEN 'model_call_error: no reply' END AS error FROM run"""
+SQL["advice_run_counters"] = f"""
+WITH {ISSUES}, {_RUN} SELECT (SELECT count(*) FROM issues) AS read,
+  (SELECT count(*) FROM issues WHERE {_epoch('creation_date')} >= epoch(timestamp '1996-01-01')) AS filtered,
+  count(*) AS processed, count(*) AS written, count(*) FILTER (seq % 4 = 0) AS errors FROM run"""
+
+SQL["payload_texts"] = f"""
+SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN concat(text, {NL}, 'x') ELSE trim(text, chr(10) || chr(13)) END AS source_text,
+  text AS reply_text, concat('[{{"role":"system","content":"sys"}},{{"role":"user","content":', to_json(text), '}}]') AS chat
+FROM conversations"""
+SQL["jsonl_round_trip"] = """
+SELECT event_id, event_type, value, NULL::boolean AS _parse_error, NULL::varchar AS _raw_line FROM events
+UNION ALL SELECT event_id, event_type, value, NULL, NULL FROM events WHERE event_id % 3 = 0
+UNION ALL SELECT NULL, NULL, NULL, true, concat('{"event_id": ', event_id) FROM events WHERE event_id % 10 = 0"""
+SQL["csv_round_trip"] = f"""
+SELECT conv_id, turn, concat('"', role, '", ', text, {NL}, '.') AS said FROM conversations"""
+
+
 def all_sql() -> dict[str, str]:
     return dict(SQL)

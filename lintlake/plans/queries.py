@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lintlake.functions import markup, values
+from lintlake.functions import render as rd
 from lintlake.functions import text as tx
 from lintlake.operators import advice as adv
 from lintlake.operators import (
@@ -19,10 +20,11 @@ from lintlake.operators import (
     issues,
     kpi,
     prompts,
+    staging,
 )
 from lintlake.plans import chains, views
 from lintlake.session import tune
-from lintlake.sources import jsonl, sinks
+from lintlake.sources import files, jsonl, sinks
 
 ISSUE_TEMPLATE = (
     "Review {{one}} finding.\nKey: {issue_key} ({severity}/{type}, rule {rule})\n"
@@ -198,6 +200,53 @@ def severe_issue_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return issues.severe_table(raw, views.components(spark, sf_dir))
 
 
+@query
+def bi_severe_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two documents that share component keys: a key is looked up in its own document."""
+    raw = views.issues(spark, sf_dir).selectExpr(
+        "issue_key AS key", "rule", "severity", "component", "project", "cast(start_line AS string) AS line",
+        "message", "effort", "debt", "creation_date AS creationDate", "update_date AS updateDate", "type",
+        "cast(NULL AS string) AS scope", "concat('doc', seq % 2) AS document",
+        "cast(NULL AS struct<startLine:string,endLine:string,startOffset:string,endOffset:string>) AS textRange",
+    )
+    known = views.components(spark, sf_dir).withColumn("document", F.expr("concat('doc', ordinal % 2)"))
+    return issues.severe_table(raw, known, by=["document"]).select(
+        "issue_key", "component", "component_name", "component_path", "component_enabled"
+    )
+
+
+@query
+def minimal_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open issues with the snippet of their source payload: the core of a line, or all lines."""
+    raw = views.issues(spark, sf_dir).selectExpr(
+        "*", "start_line AS line", "start_line AS text_start",
+        "CASE WHEN seq % 2 = 0 THEN start_line ELSE start_line + 1 END AS text_end",
+        "'' AS page_path", "concat(message, '\\n second ') AS payload",
+    )
+    snippet = issues.snippet_text(
+        F.col("payload"), F.col("text_start"), F.col("text_end"),
+        F.expr("cast(seq % 31 - 2 AS int)"), F.expr("cast(seq % 47 AS int)"),
+    )
+    return issues.minimal_records(
+        issues.open_issues(raw).withColumn("code_snippet", snippet),
+        issues.rule_texts(views.rules(spark, sf_dir)), extras=True,
+    ).select("issue_key", "path", "start_line", "end_line", "code_snippet")
+
+
+@query
+def issues_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = issues.order_by_date(views.issues(spark, sf_dir), "update_date", asc=False)
+    return found.select("issue_key", "update_date")
+
+
+@query
+def component_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = components.component_index(
+        views.components(spark, sf_dir), include_languages=("cpp", "cs", "py")
+    )
+    return components.all_paths(index)
+
+
 @query
 def flow_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flows(spark, sf_dir).select(
@@ -610,6 +659,34 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adv.run_counters(found, issues.in_window(since="1996-01-01"), _advised(spark, sf_dir))
 
 
+def _run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A run over all issues since 1996 that stops at 500 prompts; some keys have two replies."""
+    found = views.issues(spark, sf_dir).selectExpr(
+        "*", "component AS file_path", "start_line AS end_line", "rule AS code_snippet"
+    )
+    replies = found.where("seq % 4 <> 0").selectExpr(
+        "issue_key", "'m-2' AS model", "'2024-01-02' AS run_ts", "concat('Explain ', seq, ' ```\\nfix\\n```') AS raw"
+    )
+    older = replies.where("crc32(issue_key) % 2 = 0").withColumns({"run_ts": F.lit("2024-01-01"), "raw": F.lit("old")})
+    return chains.advice_run(
+        found, ISSUE_TEMPLATE, replies.unionByName(older), "issue", "m-1", stop_after=500, since="1996-01-01", ties=("seq",)
+    )
+
+
+@query
+def advice_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    advice = F.col("copilot_advice")
+    return _run(spark, sf_dir)[0].select(
+        "issue_key", "advice_status", "priority_score", advice["model"].alias("model"),
+        advice["explanation"].alias("explanation"), advice["error"].alias("error"),
+    )
+
+
+@query
+def advice_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir)[1]
+
+
 # --- text and export ------------------------------------------------------------------------
 
 
@@ -677,3 +754,50 @@ def changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     published = before.withColumn("content_hash", sinks.row_hash(cols))
     return sinks.changed_rows(current, published, ["issue_key"], cols)
+
+
+@query
+def payload_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source payloads, chat messages and reply payloads of every turn."""
+    turns = _table(spark, sf_dir, "conversations").selectExpr(
+        "conv_id", "turn", "text",
+        "CASE WHEN turn % 2 = 0 THEN to_json(named_struct('sources', array(named_struct('code', text), "
+        "named_struct('code', 'x')))) ELSE concat('\\n', text, '\\n\\n') END AS payload",
+        "CASE WHEN (conv_id + turn) % 2 = 0 THEN to_json(named_struct('choices', array(named_struct('message', "
+        "named_struct('content', text))))) ELSE text END AS reply",
+    )
+    return turns.select(
+        "conv_id", "turn",
+        markup.source_payload_text(F.col("payload")).alias("source_text"),
+        markup.reply_text(F.col("reply")).alias("reply_text"),
+        rd.json_text(rd.messages(F.lit("sys"), F.col("text"))).alias("chat"),
+    )
+
+
+def _landing(spark: SparkSession, name: str) -> str:
+    """A new folder where all executors can write."""
+    return staging.new_folder(spark, name)
+
+
+@query
+def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines, written twice over (the second time appended), with broken lines between."""
+    path = _landing(spark, "jsonl")
+    events = _table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    sinks.write_jsonl(events, path)
+    broken = events.where("event_id % 10 = 0").selectExpr("concat('{\"event_id\": ', event_id) AS value")
+    broken.write.mode("append").text(path)
+    sinks.write_jsonl(events.where("event_id % 3 = 0"), path, mode="append")
+    kept = jsonl.read_jsonl_keeping_errors(spark, path, "event_id long, event_type string, value double")
+    return kept.select("event_id", "event_type", "value", "_parse_error", "_raw_line")
+
+
+@query
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as CSV with quotes, line ends and a byte-order mark, read back."""
+    path = _landing(spark, "csv")
+    turns = _table(spark, sf_dir, "conversations").selectExpr(
+        "conv_id", "turn", "concat('\"', role, '\", ', text, '\\n.') AS said"
+    )
+    sinks.write_csv(turns, path)
+    return files.read_csv(spark, path).selectExpr("cast(conv_id AS bigint) AS conv_id", "cast(turn AS int) AS turn", "said")
