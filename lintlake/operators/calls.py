@@ -183,13 +183,17 @@ def _relevant_stems(files: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def _top_pairs(wanted: DataFrame, files: DataFrame, limit: int) -> DataFrame:
+BUCKET = ("name", "scope", "area", "bucket_stem")
+
+
+def _filed(wanted: DataFrame, files: DataFrame) -> DataFrame:
+    """Call lines of wanted names, one row per bucket they are filed into."""
     no_stems = F.array().cast("array<string>")
     located = files.join(_relevant_stems(files, wanted), "file", "left").select(
         "file", "calls", F.coalesce("stems", no_stems).alias("stems")
     )
     tokens = _scoped(_tokens(located, wanted.select("name").distinct()))
-    filed = (
+    return (
         tokens.select(
             "*",
             F.explode(_areas(tx.top_module(F.col("file")), tx.dir_name(F.col("file")))).alias(
@@ -206,14 +210,10 @@ def _top_pairs(wanted: DataFrame, files: DataFrame, limit: int) -> DataFrame:
             "code",
         )
     )
-    key = ["name", "scope", "area", "bucket_stem"]
-    in_order = Window.partitionBy(*key).orderBy("file", "line")
-    heads = (
-        filed.withColumn("_n", F.row_number().over(in_order))
-        .where(F.col("_n") <= limit)
-        .groupBy(*key)
-        .agg(F.collect_list(F.struct("file", "line", "code")).alias("sites"))
-    )
+
+
+def _lookups(wanted: DataFrame) -> DataFrame:
+    """The buckets each profile looks into."""
     in_folder = F.col("def_dir") != ""
     module = tx.top_module(F.col("def_dir"))
     areas = F.when(in_folder, _areas(module, F.col("def_dir"))).otherwise(F.array(F.lit("")))
@@ -223,12 +223,55 @@ def _top_pairs(wanted: DataFrame, files: DataFrame, limit: int) -> DataFrame:
     own_scope = F.when(F.col("class_name") == "", F.lit(UNCLASSED)).otherwise(
         F.concat(F.lit("="), F.col("class_name"))
     )
-    lookups = (
+    return (
         wanted.select(*PROFILE, F.explode(F.array(F.lit(OPEN), own_scope)).alias("scope"),
                       areas.alias("_a"), stems.alias("_s"))
         .select(*PROFILE, "scope", F.explode("_a").alias("area"), "_s")
         .select(*PROFILE, "scope", "area", F.explode("_s").alias("bucket_stem"))
     )
+
+
+def count_call_sites(anchors: DataFrame, sources: DataFrame) -> DataFrame:
+    """Call sites per profile and score, all of them: (name, class_name, def_dir, stem, score, n).
+
+    No pair is formed: lines are counted per bucket, and since a folder lies in its module
+    and a module in the whole, the counts of a score are differences of bucket counts.
+    """
+    wanted = cut_lineage(profiles(anchors))
+    longest = wanted.agg(F.max(F.length("name")).alias("name"), F.max(F.length("stem")).alias("stem"))
+    sizes = _filed(wanted, call_lines(sources, longest)).groupBy(*BUCKET).agg(F.count("*").alias("n"))
+    found = spread_join(_lookups(wanted), sizes, list(BUCKET), list(PROFILE), how="inner")
+    kinds = {"all": F.col("area") == "", "module": F.startswith("area", F.lit("m:")), "folder": F.startswith("area", F.lit("d:"))}
+    sums = []
+    for kind, inside in kinds.items():
+        for header, hit in (("with", F.col("bucket_stem") != ""), ("any", F.col("bucket_stem") == "")):
+            sums.append(F.sum(F.when(inside & hit, F.col("n")).otherwise(0)).alias(f"{kind}_{header}"))
+    counted = found.groupBy(*PROFILE).agg(*sums)
+
+    def rows(folder: bool, module: bool, wider: str | None, kind: str) -> list[Column]:
+        out = []
+        for header in (True, False):
+            own = F.col(f"{kind}_with") if header else F.col(f"{kind}_any") - F.col(f"{kind}_with")
+            if wider:
+                own = own - (F.col(f"{wider}_with") if header else F.col(f"{wider}_any") - F.col(f"{wider}_with"))
+            score = code.call_site_score(F.lit(folder), F.lit(module), F.lit(header))
+            out.append(F.struct(score.alias("score"), own.alias("n")))
+        return out
+
+    by_score = [*rows(True, True, None, "folder"), *rows(False, True, "folder", "module"), *rows(False, False, "module", "all")]
+    return counted.select(*PROFILE, F.inline(F.array(*by_score))).where("n > 0")
+
+
+def _top_pairs(wanted: DataFrame, files: DataFrame, limit: int) -> DataFrame:
+    filed, key = _filed(wanted, files), list(BUCKET)
+    in_order = Window.partitionBy(*key).orderBy("file", "line")
+    heads = (
+        filed.withColumn("_n", F.row_number().over(in_order))
+        .where(F.col("_n") <= limit)
+        .groupBy(*key)
+        .agg(F.collect_list(F.struct("file", "line", "code")).alias("sites"))
+    )
+    lookups = _lookups(wanted)
     candidates = (
         spread_join(lookups, heads, key, list(PROFILE), how="inner")
         .select(*PROFILE, "bucket_stem", F.explode("sites").alias("s"))

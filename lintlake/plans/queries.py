@@ -534,10 +534,8 @@ def call_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_call_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every call site, without a limit, counted per function and score."""
     anchors = _anchored(spark, sf_dir).where("anchor is not null").select("anchor.*")
-    sites = calls.rank_call_sites(
-        anchors, views.source_files(spark, sf_dir), None, with_context=False
-    )
-    return sites.groupBy("name", "class_name", "score").agg(F.count("*").alias("n"))
+    counted = calls.count_call_sites(anchors, views.source_files(spark, sf_dir))
+    return counted.groupBy("name", "class_name", "score").agg(F.sum("n").alias("n"))
 
 
 @query
