@@ -42,8 +42,8 @@ from lintlake.llm import components
 from lintlake.llm.shared import arrow_map, handed_over, text_digest
 
 SEED = 42
-BLOCK_ROWS = 4096
-MAX_BLOCKS = 4096
+BLOCK_ROWS = 1024
+MAX_BLOCKS = 16_384
 FANOUT = 8
 #: Queries searched at once; bounds the memory of a search.
 SEARCH_ROWS = 2048
@@ -152,7 +152,7 @@ def _bounds(entries: DataFrame, n: int) -> np.ndarray:
     if blocks < 2:
         return np.array([], dtype=np.int64)
     parts = [i / blocks for i in range(1, blocks)]
-    found = entries.agg(F.percentile_approx("rank", parts, 20 * blocks)).first()[0]
+    found = entries.agg(F.percentile_approx("rank", parts, 10 * blocks)).first()[0]
     return np.unique(np.array(found, dtype=np.int64))
 
 
