@@ -216,8 +216,8 @@ def with_next(
 
 
 EDITED = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-    "edited_fingerprint string, near_edited double, near_next double"
+    "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, "
+    "edited_fingerprint binary, near_edited double, near_next double"
 )
 
 
@@ -245,10 +245,10 @@ def describe_edited() -> Describe:
             changed = edited_text(text, after)
             edited = sketcher.fingerprint(changed)
             rows.append(
-                (doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), own.hex(), edited.hex(),
+                (doc_id, len(text), hashlib.sha256(changed.encode()).digest(), own, edited,
                  sketcher.likeness(own, edited), sketcher.likeness(own, next_print))
             )
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
         return [pa.array([r[i] for r in rows], type=k) for i, k in enumerate(kinds)]
 
     return work

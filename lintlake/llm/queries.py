@@ -62,7 +62,9 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lintlake.llm import minhash
 
-    return minhash.with_next(table(spark, sf_dir, "documents"), minhash.describe_edited, minhash.EDITED)
+    found = minhash.with_next(table(spark, sf_dir, "documents"), minhash.describe_edited, minhash.EDITED)
+    shown = {c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")}
+    return found.withColumns(shown)
 
 
 @query
