@@ -103,6 +103,7 @@ def _line(label: str, c: Column) -> Column:
     return F.concat(F.lit(f"// {label}: "), F.nullif(c.cast("string"), F.lit("")))
 
 
+# The labels of a call site and their order.
 def format_call_site(site: Column, number: Column, signature: Column) -> Column:
     """One call site as text; a line is present only if its value is."""
     includes = F.nullif(F.coalesce(format_includes(site["includes"]), F.lit("")), F.lit(""))

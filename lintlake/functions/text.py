@@ -29,6 +29,7 @@ LANGUAGE_BY_SUFFIX = {
     ".py": "python",
 }
 
+# Fixed value: the mark at the end of a text that was cut.
 TRUNCATION_MARK = "\n/* ...TRUNCATED... */\n"
 
 

@@ -50,13 +50,6 @@ def matches_any_glob(path: Column, globs: Sequence[str]) -> Column:
     return path.rlike(glob_pattern(globs)) if globs else F.lit(False)
 
 
-def component_rows(pages: DataFrame) -> DataFrame:
-    """Pages with `page_no` and `components` → one row per component with its place."""
-    return pages.select("page_no", F.posexplode("components").alias("pos", "c")).select(
-        "page_no", "pos", "c.*"
-    )
-
-
 def component_index(
     components: DataFrame,
     include_languages: Sequence[str] | None = None,
