@@ -144,7 +144,8 @@ def repeats(
 ) -> DataFrame:
     """(doc_id, digest, start, after): spans that repeat an earlier chunk byte for byte."""
     chunks = handed_over(chunk_table(documents, min_words, long_words, doc_id, text), "chunks")
-    often = chunks.groupBy("hash").count().where("count > 1").select("hash")
+    # Handed over, so that adaptive execution can split the hash of a hot chunk in the join.
+    often = handed_over(chunks.groupBy("hash").count().where("count > 1").select("hash"), "repeated-hashes")
     spans = (
         chunks.join(often, "hash")
         .groupBy(F.col("doc_id").alias("d_id"), F.col("digest").alias("d_digest"))
@@ -165,8 +166,9 @@ def repeats(
     first = bodies.groupBy("hash", "body").agg(
         F.min(F.struct("doc_id", "digest", "start")).alias("first"), F.count("*").alias("copies")
     )
+    first = handed_over(first.where("copies > 1").drop("copies"), "first-chunks")
     return (
-        bodies.join(first.where("copies > 1"), ["hash", "body"])
+        bodies.join(first, ["hash", "body"])
         .where(~F.struct("doc_id", "digest", "start").eqNullSafe(F.col("first")))
         .select("doc_id", "digest", "start", "after").distinct()
     )
