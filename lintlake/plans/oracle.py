@@ -668,6 +668,13 @@ UNION ALL SELECT event_id, event_type, value, NULL, NULL FROM events WHERE event
 UNION ALL SELECT NULL, NULL, NULL, true, concat('{"event_id": ', event_id) FROM events WHERE event_id % 10 = 0"""
 SQL["csv_round_trip"] = f"""
 SELECT conv_id, turn, concat('"', role, '", ', text, {NL}, '.') AS said FROM conversations"""
+SQL["archived_runs"] = f"""
+WITH {ISSUES} SELECT issue_key, CASE WHEN seq % 3 = 0 THEN concat('was ', severity) ELSE severity END AS severity,
+  CASE WHEN seq % 3 = 0 THEN '20240201' ELSE '20240101' END AS run_ts FROM issues"""
+SQL["project_kpi_audit"] = (
+    SQL["kpi_audit"].replace(MEASURES, f"measures AS ({SQL['measures_long']})")
+    .replace("ORDER BY date DESC", "ORDER BY coalesce(date, '9999') DESC")
+)
 
 
 def all_sql() -> dict[str, str]:

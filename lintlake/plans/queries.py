@@ -434,6 +434,12 @@ def kpi_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.kpi_audit(views.measures(spark, sf_dir))
 
 
+@query
+def project_kpi_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI audit of measure documents in all their shapes."""
+    return kpi.kpi_audit(kpi.measures_long(_measure_documents(spark, sf_dir)))
+
+
 @query
 def gate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.gate_audit(kpi.quality_conditions(_gate_documents(spark, sf_dir)))
@@ -799,3 +805,18 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sinks.write_csv(turns, path)
     return files.read_csv(spark, path).selectExpr("cast(conv_id AS bigint) AS conv_id", "cast(turn AS int) AS turn", "said")
+
+
+@query
+def archived_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two archived runs, replayed: the newest row of every issue and its run."""
+    path = _landing(spark, "archive")
+    found = views.issues(spark, sf_dir)
+    sinks.archive(found.select("issue_key", "severity"), path, "p", "issue", "20240101")
+    again = found.where("seq % 3 = 0").selectExpr("issue_key", "concat('was ', severity) AS severity")
+    sinks.archive(again, path, "p", "issue", "20240201")
+    back = spark.read.schema(
+        "issue_key string, severity string, project_key string, level string, run_ts string"
+    ).json(path)
+    rows = back.where("project_key = 'p' AND level = 'issue'").select("issue_key", "severity", "run_ts")
+    return issues.best_row(rows, ["issue_key"], [F.col("run_ts")], last=True)
