@@ -76,3 +76,14 @@ def test_edge_cases(edge, nothing, make):
     assert all(r.score > 0.99 for r in quality.score(edge, good).collect())
     assert quality.score(nothing, labels).collect() == [] and quality.keep_good(nothing, labels).collect() == []
     assert quality.keep_good(edge, none).count() == len(EDGE_TEXTS)
+
+
+def test_sample_is_the_smallest_hashes(make, monkeypatch):
+    docs, labels = labelled(make, 3000)
+    seen = []
+    monkeypatch.setattr(quality, "fit_rules", lambda x, y: seen.append(x) or quality.RuleModel(0.0, (), ()))
+    stated = quality._stated(docs, "doc_id", "text")
+    quality.train(stated, labels, max_train=100)
+    rows = stated.where(~quality.held_out(quality.F.col("doc_id"))).orderBy(quality.F.xxhash64("doc_id")).limit(100)
+    want = np.array([[r[n] for n in quality.STATISTICS] for r in rows.collect()])
+    assert np.array_equal(seen[0], want)
