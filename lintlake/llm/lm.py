@@ -54,10 +54,10 @@ WINDOW = 32
 RUN_WINDOWS = 2
 RUN_STRIDE = 12
 ROUNDS = 3
-BATCH = 64
+BATCH = 96
 RATE = 0.007
 ROUND_TOKENS = 1_500_000
-LANES = 192
+LANES = 256
 COUNTED_WORDS = 200_000
 FOLDS = 5
 END = b""
