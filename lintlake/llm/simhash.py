@@ -270,7 +270,11 @@ def keep_one(
 ) -> DataFrame:
     """The documents, one of each group: the smallest id (null last), of equal ids the
     smallest text digest, of equal rows one."""
-    found = near_duplicates(documents, words, max_bits, doc_id, text)
+    return one_of_each(documents, near_duplicates(documents, words, max_bits, doc_id, text), doc_id, text)
+
+
+def one_of_each(documents: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each root of `found` (doc_id, digest, root)."""
     kept = (
         found.groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("one"))
