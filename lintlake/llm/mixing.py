@@ -18,8 +18,10 @@ Scale
 
 Edge cases
     Nulls and names without a target are `other`; without a target for `other` they share
-    what the targets leave of 1 (nothing left: probability zero, never drawn). Targets of
-    categories without tokens are dropped and the rest is scaled up. Documents without
+    what the targets leave of 1, or, where nothing is left, keep their share of the corpus
+    and the named targets are scaled down by it. Targets of categories without tokens are
+    dropped and the rest is scaled up; where no category with tokens has a target, all keep
+    their shares of the corpus, so that axis does not change the uniform rate. Documents without
     tokens in a cell without tokens are kept. A null id draws as an empty id; equal ids
     draw alike. A null text is empty. An empty table gives an empty result. Other columns
     are kept and may have any name.
@@ -116,10 +118,34 @@ def rake(
     return dict(zip(keys, chances.tolist(), strict=True))
 
 
+def for_corpus(
+    cells: Mapping[tuple[str, str, str], float], targets: Mapping[str, Mapping[str, float]]
+) -> dict[str, dict[str, float]]:
+    """The targets, with corpus shares where they leave nothing for what the corpus holds."""
+    total = sum(cells.values())
+    out = {axis: dict(targets[axis]) for axis in AXES}
+    for at, axis in enumerate(AXES):
+        held: dict[str, float] = {}
+        for cell, n in cells.items():
+            if n > 0:
+                held[cell[at]] = held.get(cell[at], 0.0) + n / total
+        shares = out[axis]
+        named = sum(shares.values())
+        if OTHER not in shares and OTHER in held and named > 1 - 1e-9:
+            # Only names with tokens count, or `other` would take the shares of absent ones.
+            present = sum(s for n, s in shares.items() if n in held) or 1.0
+            shares = {n: s / present * (1 - held[OTHER]) for n, s in shares.items() if n in held} | {OTHER: held[OTHER]}
+        if held and sum(shares.get(n, max(0.0, 1.0 - named) if n == OTHER else 0.0) for n in held) <= 0:
+            shares = held
+        out[axis] = shares
+    return out
+
+
 def fit(classed: DataFrame, targets: Mapping[str, Mapping[str, float]], keep: float, rounds: int) -> Mix:
     names = [f"{a}_class" for a in AXES]
     rows = classed.groupBy(*names).agg(F.sum("tokens").alias("tokens")).collect()
-    return Mix(rake({tuple(r[n] for n in names): r["tokens"] for r in rows}, targets, keep, rounds))
+    cells = {tuple(r[n] for n in names): r["tokens"] for r in rows}
+    return Mix(rake(cells, for_corpus(cells, targets), keep, rounds))
 
 
 def draw_of(doc_id: Column) -> Column:

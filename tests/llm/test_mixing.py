@@ -56,3 +56,29 @@ def test_edge_cases(edge, nothing):
     targets = mixing.TARGETS | {"source": {"src1": 0.5}, "lang": {"en": 0.5}}
     assert {(r.source_class, r.lang_class) for r in mixing.drawn(strange, targets).collect()} == {("other", "other")}
     assert mixing.sample(nothing).collect() == []
+
+
+def test_unlisted_names_are_drawn(make):
+    """Production targets sum to 1: nulls and unlisted names keep their share of the corpus."""
+    listed = make([(i, prose(i, 30)) for i in range(300)])
+    for other in ({"lang": None}, {"source": None}, {"lang": None, "source": "src99"}):
+        alone = make([(i + 300, prose(i, 30)) for i in range(300)], **other)
+        rows = mixing.drawn(alone).collect()
+        assert {round(r.probability, 6) for r in rows} == {mixing.KEEP} and 150 < sum(r.kept for r in rows) < 270
+        both = mixing.drawn(listed.unionByName(alone)).collect()
+        assert sum(r.probability for r in both) == pytest.approx(mixing.KEEP * 600, rel=1e-3)
+        assert all(r.probability > 0.5 for r in both)
+
+
+def test_stage_on_null_columns(spark, make):
+    import corpus_pipeline as pipeline
+
+    stage = dict(pipeline.STAGES)["mixing"]
+    docs = make([(i, prose(i, 30)) for i in range(200)], lang=None, source=None)
+    assert 100 < stage(spark, docs, "").count() < 180
+
+
+def test_no_target_with_tokens_is_uniform(make):
+    docs = make([(i, prose(i, 30)) for i in range(20)])
+    targets = mixing.TARGETS | {"lang": {"en": 0.0, "fr": 1.0}}
+    assert {round(r.probability, 6) for r in mixing.drawn(docs, targets).collect()} == {mixing.KEEP}
