@@ -17,9 +17,9 @@ Scale
     Counts are partly summed in tasks before they are shuffled; what is gathered grows with
     the corpus and stays in a table in the shared folder. The driver sees the head of the
     vocabulary (`HEAD_WORDS`, a proven bound) and averaged weights. Words outside the head
-    meet their counts in an equi-join, one row per document and word. Every document is
-    trained on: of each document one run in `RUN_STRIDE` per round, at a place that its id
-    decides, so training grows with the corpus and has no cap. A task holds `ROUND_TOKENS`
+    meet their counts in an equi-join, one row per document and word. Every token of every
+    training document is trained on once: `RUN_STRIDE` equals `ROUNDS`, and a run's number
+    and the document's id decide its round. Training grows with the corpus and has no cap. A task holds `ROUND_TOKENS`
     tokens of documents at once or one document.
 
 Edge cases
@@ -52,7 +52,7 @@ TAIL_CLASSES = 64
 HIDDEN = 32
 WINDOW = 32
 RUN_WINDOWS = 2
-RUN_STRIDE = 12
+RUN_STRIDE = 3
 ROUNDS = 3
 BATCH = 96
 RATE = 0.007

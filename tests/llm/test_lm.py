@@ -118,3 +118,13 @@ def test_lanes_carry_the_state(monkeypatch):
         monkeypatch.setattr(lm, "LANES", lanes)
         assert lm.score_lanes(net, docs) == pytest.approx(want, rel=1e-4)
     assert len(lm.score_lanes(net, [])) == 0
+
+
+def test_every_token_is_trained_on_once():
+    """Documents of one run and of many: the rounds together see each token, and each end, once."""
+    v = lm.Vocabulary([b"w%d" % i for i in range(12)], np.arange(12, 0, -1), 78, 12, np.full(lm.TAIL_CLASSES, 1.5), 12)
+    for words in (0, 5, 63, 64, 100, 127, 200, 900):
+        for place in range(12):
+            docs = [(place, " ".join(f"w{i % 12}" for i in range(words)).encode())]
+            seen = [lm._train_part(lm.Network.fresh(v), iter(docs), v.words, part) for part in range(lm.ROUNDS)]
+            assert sum(seen) == words + 1
