@@ -37,17 +37,32 @@ WALK = 12
 FIRST_DAY, DAYS = "1900-01-01", 73_049  # to the end of 2099
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+#: Length of account numbers by country (IBAN registry); others are found if all digits.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN",
+    21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN = "|".join(
+    f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[0-9A-Z]){{{n - 4}}}(?![0-9A-Za-z])" for n, c in _IBAN_LENGTHS.items()
+)
+#: International country codes, where no separator shows their end.
+_COUNTRY = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
+
 #: Kinds in the order in which they are tried, each with its pattern.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "key": r"(?<![0-9A-Za-z])(?:AKIA[0-9A-Z]{16}|[0-9a-f]{40}|[0-9A-F]{40})(?![0-9A-Za-z])",
     "password": r"(?i:password|passwd|secret)=[^\s\"'()<>,;]{6,}",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2,7}(?: ?[0-9]{1,3})?(?![0-9A-Za-z])",
+    "iban": rf"(?<![0-9A-Za-z])(?:{_IBAN}|[A-Z]{{2}}[0-9]{{2}}(?: ?[0-9]{{4}}){{2,7}}(?: ?[0-9]{{1,3}})?(?![0-9A-Za-z]))",
     "ipv4": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![./-]?[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9])",
-    "card": r"(?<![0-9A-Za-z.+-])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z]|[.-][0-9])",
+    "card": r"(?<![0-9A-Za-z.+-])(?:[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9A-Za-z]|[.-][0-9])",
     "phone": r"(?:\+[0-9]{1,3}[ .-]?|(?<![0-9A-Za-z.+-]))(?:\([0-9]{2,4}\) ?|[0-9]{3}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z]|[.-][0-9])",
+    "international": r"\+(?:[0-9]{8,15}|[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?|[0-9]{1,4}[ .-])[0-9]{2,8}(?:[ .-][0-9]{2,8}){0,4})(?![0-9A-Za-z]|[.-][0-9])",
+    "national": r"(?<![0-9A-Za-z.+-])\(?0(?=(?:[ .)-]{0,2}[0-9]){8,14})[0-9]{1,4}(?:\)[ .-]?|[ .-])[0-9]{2,8}(?:[ .-][0-9]{2,8}){0,4}(?![0-9A-Za-z]|[.-][0-9])",
 }
 
 
@@ -126,16 +141,30 @@ def remainder_97(number: Column) -> Column:
 
 
 def _iban_number(country: Column, check: Column, rest: Column) -> Column:
-    letter = lambda at: (F.ascii(F.substring(country, at, 1)) - 55).cast("string")
-    return F.concat(rest, letter(1), letter(2), check)
+    plain = lambda c: F.when(c.rlike("[0-9]"), c).otherwise((F.ascii(c) - 55).cast("string"))
+    return F.array_join(F.transform(_chars(F.concat(rest, country, check)), plain), "")
+
+
+def permute_letters(key: str, kind: str, letters: Column, tweak: Column) -> Column:
+    """Keyed permutation of capital letters of the same length, 0 to 12."""
+    n = F.length(letters)
+    power = lambda e: F.pow(F.lit(26.0), e).cast("bigint")
+    half = F.floor(n / 2).cast("int")
+    number = F.aggregate(_chars(letters), F.lit(0).cast("bigint"), lambda s, c: s * 26 + F.ascii(c) - 65)
+    mixed = _network(key, kind, number, power(half), power(n - half), F.concat_ws("|", n.cast("string"), tweak))
+    start = F.struct(mixed.alias("x"), F.lit("").alias("out"))
+    step = lambda s, _: F.struct(
+        _div(s["x"], 26).alias("x"), F.concat(F.char((s["x"] % 26 + 65).cast("int")), s["out"]).alias("out")
+    )
+    return F.when(n == 0, "").otherwise(F.aggregate(_chars(letters), start, step, lambda s: s["out"]))
 
 
-def refill(shape: Column, digits: Column) -> Column:
-    """The digits, one by one, in the places of the digits of `shape`."""
+def refill(shape: Column, digits: Column, places: str = "[0-9]") -> Column:
+    """The digits, one by one, in the places of the digits (or `places`) of `shape`."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
 
     def step(s: Column, c: Column) -> Column:
-        is_digit = c.rlike("[0-9]")
+        is_digit = c.rlike(places)
         return F.struct(
             F.concat(s["out"], F.when(is_digit, F.substring(digits, s["at"], F.lit(1))).otherwise(c)).alias("out"),
             (s["at"] + F.when(is_digit, 1).otherwise(0)).alias("at"),
@@ -156,13 +185,26 @@ def _card(key: str, value: Column) -> Column:
 def _iban(key: str, value: Column) -> Column:
     plain = F.replace(value, F.lit(" "), F.lit(""))
     country, check, rest = F.substring(plain, 1, 2), F.substring(plain, 3, 2), F.substring(plain, F.lit(5), F.length(plain))
-    first, last = F.substring(rest, 1, 15), F.substring(rest, F.lit(16), F.length(rest))
-    new_first = permute_digits(key, "iban", first, F.concat(country, last))
+    digits, letters = _digits(rest), F.regexp_replace(rest, "[0-9]", "")
+    first, last = F.substring(digits, 1, 15), F.substring(digits, F.lit(16), F.length(digits))
+    new_first = F.when(first == "", "").otherwise(permute_digits(key, "iban", first, F.concat(country, last)))
     new_last = F.when(F.length(last) > 0, permute_digits(key, "iban", last, F.concat(country, new_first))).otherwise("")
-    new_rest = F.concat(new_first, new_last)
-    new_check = F.lpad((98 - remainder_97(_iban_number(country, F.lit("00"), new_rest))).cast("string"), 2, "0")
+    new_digits = F.concat(new_first, new_last)
+    # Digits and letters each in their own alphabet and places; twelve letters at a time.
+    new_letters = F.concat(*[
+        permute_letters(key, "iban-letters", F.substring(letters, at, 12), F.concat_ws("|", country, F.lit(str(at))))
+        for at in (1, 13, 25)
+    ])
+    has_letters = rest.rlike("[A-Z]")
+    new_rest = F.when(has_letters, refill(refill(rest, new_digits), new_letters, "[A-Z]")).otherwise(new_digits)
     valid = remainder_97(_iban_number(country, check, rest)) == 1
-    return F.when(valid, refill(value, F.concat(new_check, new_rest)))
+    return F.when(valid, F.transform(F.array(new_rest), lambda r: _iban_text(value, country, r))[0])
+
+
+def _iban_text(value: Column, country: Column, new_rest: Column) -> Column:
+    """The new account number with its check digits, in the places of `value`."""
+    new_check = F.lpad((98 - remainder_97(_iban_number(country, F.lit("00"), new_rest))).cast("string"), 2, "0")
+    return F.concat(country, refill(F.substring(value, F.lit(3), F.length(value)), F.concat(new_check, new_rest), "[0-9A-Z]"))
 
 
 def _ipv4(key: str, value: Column) -> Column:
@@ -208,7 +250,12 @@ def _ssn(key: str, value: Column) -> Column:
 
 
 def _phone(key: str, value: Column) -> Column:
-    country = F.when(value.startswith("+"), F.regexp_extract(value, r"^\+([0-9]{1,3}?)(?=[ .(-])", 1)).otherwise("")
+    plain = value.rlike(r"^\+[0-9]+$")
+    country = (
+        F.when(plain, F.regexp_extract(value, rf"^\+({_COUNTRY})", 1))
+        .when(value.startswith("+"), F.regexp_extract(value, r"^\+([0-9]{1,3}?)(?=[ .(-])", 1))
+        .otherwise("")
+    )
     d = _digits(value)
     rest = F.substring(d, F.length(country) + 1, F.length(d))
     return F.when(
@@ -246,6 +293,7 @@ def _password(key: str, value: Column) -> Column:
 _MAKERS = {
     "email": _email, "key": _access_key, "password": _password, "iban": _iban, "ipv4": _ipv4,
     "date": _date, "ssn": _ssn, "card": _card, "phone": _phone,
+    "international": _phone, "national": _phone,
 }
 
 

@@ -116,3 +116,41 @@ def test_edge_cases(edge, nothing):
 def test_no_python_in_the_plan(edge):
     plan = pii.pseudonymise(edge, KEY)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan.split("Project", 1)[0]
+
+
+def account_ok(value):
+    plain = value.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
+def shape(value):
+    return re.sub("[A-Z]", "A", re.sub("[0-9]", "0", value))
+
+
+def test_accounts_of_countries(make):
+    values = [
+        "GB82 WEST 1234 5698 7654 32", "NL91 ABNA 0417 1643 00", "FR14 2004 1010 0505 0001 3M02 606",
+        "IT60 X054 2811 1010 0000 0123 456", "MT84MALT011000012345MTLCAST001S", "DE89 3704 0044 0532 0130 00", "ES91 2100 0418 4502 0005 1332",
+    ]
+    assert all(map(account_ok, values))
+    got, counts = run(make, [f"to {v} AND THEN" for v in values])
+    assert counts == [1] * len(values)
+    for v, text in zip(values, got, strict=True):
+        new = text.removeprefix("to ").removesuffix(" AND THEN")
+        assert new != v and new[:2] == v[:2] and shape(new) == shape(v) and account_ok(new)
+    joined, _ = run(make, [values[0].replace(" ", "")])
+    assert joined[0] == got[0].removeprefix("to ").removesuffix(" AND THEN").replace(" ", "")
+    assert run(make, ["GB83 WEST 1234 5698 7654 32"])[1] == [0]
+
+
+def test_phones_and_cards_of_countries(make):
+    values = ["+44 20 7946 0958", "+49 30 1234567", "+33 1 23 45 67 89", "+14155552671", "+1 415 555 2671", "+34 912 34 56 78",
+              "01 23 45 67 89", "030 1234567", "020 7946 0958", "3782 822463 10005", "3782-822463-10005"]
+    got, counts = run(make, [f"call {v}, please" for v in values])
+    assert counts == [1] * len(values)
+    for v, text in zip(values, got, strict=True):
+        new = text.removeprefix("call ").removesuffix(", please")
+        assert new != v and shape(new) == shape(v)
+        if v.startswith("+") and " " in v:
+            assert new.split(" ")[0] == v.split(" ")[0]
+    assert got[3][5:17] == got[4][5:20].replace(" ", "") and luhn(re.sub("[^0-9]", "", got[9])) == 0
