@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lintlake.llm import mixing
+from lintlake.llm import centroids, mixing
 
 
 def _mixing() -> str:
@@ -56,5 +56,39 @@ cells AS (SELECT {keys}, sum(tokens)::DOUBLE AS t FROM classed GROUP BY ALL HAVI
     )
 
 
+def _centroids() -> str:
+    """Every round as a pair of tables: the nearest centroid of each vector, and the centroids moved."""
+
+    def assigned(i: int) -> str:
+        distance = f"list_sum(list_transform(list_zip(kept.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+        return (
+            f"a{i} AS MATERIALIZED (SELECT id, vec_id, kept.v, min({{'d': {distance}::BIGINT, 'k': k}}) AS near "
+            f"FROM kept CROSS JOIN c{i} GROUP BY ALL)"
+        )
+
+    steps = [
+        f"""WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id,
+    list_transform(embedding, lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE len(embedding) = {centroids.DIMS} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {centroids.DIMS}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS k, v
+    FROM kept QUALIFY k < {centroids.CLUSTERS})"""
+    ]
+    for i in range(centroids.ROUNDS):
+        steps.append(assigned(i))
+        steps.append(
+            f"""s{i} AS (SELECT near.k AS k, dim, sum(v[dim]) AS s, count(*) AS n
+    FROM a{i}, unnest(range(1, {centroids.DIMS + 1})) AS u(dim) GROUP BY ALL),
+m{i} AS (SELECT k, list(((s - (((s % n) + n) % n)) // n)::BIGINT ORDER BY dim) AS v FROM s{i} GROUP BY k),
+c{i + 1} AS MATERIALIZED (SELECT k, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (k))"""
+        )
+    last = centroids.ROUNDS
+    steps.append(assigned(last))
+    return ",\n".join(steps) + (
+        f"\nSELECT vec_id, near.k::INTEGER AS cluster, near.d AS distance, sum(near.d) OVER (PARTITION BY near.k)::BIGINT "
+        f"AS cluster_inertia, sum(near.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c{last}.v, ',')) AS centroid_sha256 "
+        f"FROM a{last} JOIN c{last} ON c{last}.k = near.k"
+    )
+
+
 def all_sql() -> dict[str, str]:
-    return {"op6_mixing": _mixing()}
+    return {"op6_mixing": _mixing(), "op12_centroids": _centroids()}

@@ -127,3 +127,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_row.doc_id").alias("doc_id"), *[f"{a}_class" for a in mixing.AXES], "tokens",
         F.round("probability", 9).alias("probability"), "kept",
     )
+
+
+@query
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lintlake.llm import centroids
+
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
