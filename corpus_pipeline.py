@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lintlake.llm import line_dedup, mixing, near_copies, packing, quality
+from lintlake.llm import line_dedup, mixing, packing, quality, simhash
 from lintlake.llm.queries import table, tokenizer_path
 from lintlake.llm.shared import handed_over
 from lintlake.session import tune
@@ -28,8 +28,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, similarity 0.8, verified."""
-    return near_copies.keep_one(docs)
+    """One document of each group stays: SimHash of three-word shingles, two bits of difference at most."""
+    return simhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
