@@ -90,5 +90,39 @@ c{i + 1} AS MATERIALIZED (SELECT k, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT
     )
 
 
+def _quality_rules() -> str:
+    """The measures by joins over words; the verdict needs no order of the rules."""
+    blank = r"[\x20\x09-\x0D]"
+    word = r"[^\x20\x09-\x0D]"
+
+    def only(characters: str) -> str:
+        return f"length(regexp_replace(body, '[^{characters}]', '', 'g'))"
+
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS body FROM documents),
+w AS MATERIALIZED (SELECT id, doc_id, body, list_filter(string_split_regex(body, '{blank}+'), lambda x: x <> '') AS words,
+    list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '{word}')) AS lines FROM d),
+spelt AS (SELECT id, unnest(range(1, len(words) - 1)) AS i, unnest(list_transform(range(1, len(words) - 1),
+    lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) AS t FROM w),
+windows AS (SELECT id, i, count(*) OVER (PARTITION BY id, t) AS n FROM spelt),
+again AS (SELECT id, count(DISTINCT i + o) AS n_repeat_words FROM windows, (VALUES (0), (1), (2)) AS v(o)
+    WHERE n > 1 GROUP BY id),
+m AS (SELECT doc_id, body, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    {only("#*$%&|<>")} AS n_symbols, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words,
+    len(list_filter(words, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_lettered
+    FROM w LEFT JOIN again USING (id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    greatest(n_words, 1)::DOUBLE AS per_word, greatest(n_lines, 1)::DOUBLE AS per_line FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed
+    AND word_chars / per_word BETWEEN 3 AND 10 AND n_symbols / per_word <= 0.1::DOUBLE
+    AND n_dup_lines / per_line <= 0.3::DOUBLE
+    AND {only(chr(92) + "p{Lu}")} / greatest(length(body), 1)::DOUBLE <= 0.3::DOUBLE
+    AND {only("!?")} / per_word <= 0.5::DOUBLE AND n_lettered / per_word >= 0.8::DOUBLE
+    AND len(regexp_extract_all(body, '(?m)^[ 	]*[-*•]')) / per_line <= 0.9::DOUBLE
+    AND len(regexp_extract_all(body, '(?m)(?:\.\.\.|…)[ 	]*$')) / per_line <= 0.3::DOUBLE AS kept
+FROM f"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op6_mixing": _mixing(), "op12_centroids": _centroids()}
+    return {"op6_mixing": _mixing(), "op11_quality_rules": _quality_rules(), "op12_centroids": _centroids()}

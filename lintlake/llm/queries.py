@@ -134,3 +134,22 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lintlake.llm import centroids
 
     return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+@query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base measures of every document; what they reject meets no further rule."""
+    from lintlake.llm import quality_rules as rules
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    others = [r for r in rules.RULES if r.name not in ("length", "repeated_words")]
+    ordered = rules.in_order(others, rules.profile(documents, others))
+    found = documents
+    for layer in (("words", "lines"), ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")):
+        given = rules.Given(F.col("text"), **{c: F.col(c) for c in found.columns[2:]})
+        found = found.withColumns({name: given.of(getattr(rules, name)) for name in layer})
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    found = found.drop("words", "lines").withColumn("base_failed", failed)
+    given = rules.Given(F.col("text"), **{c: F.col(c) for c in found.columns[2:]})
+    kept = F.when(F.col("base_failed"), False).otherwise(rules.first_broken(given, ordered).isNull())
+    return found.withColumn("kept", kept).drop("text", "n_lines")
