@@ -153,3 +153,12 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = rules.Given(F.col("text"), **{c: F.col(c) for c in found.columns[2:]})
     kept = F.when(F.col("base_failed"), False).otherwise(rules.first_broken(given, ordered).isNull())
     return found.withColumn("kept", kept).drop("text", "n_lines")
+
+
+@query
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with faults put in by a checksum, audited and repaired."""
+    from lintlake.llm import conversation_repair as repair
+
+    rows = table(spark, sf_dir, "conversations")
+    return repair.audit(repair.damaged(rows), rows).drop("n_rows")
