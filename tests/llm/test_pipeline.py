@@ -27,7 +27,7 @@ def steps(spark):
 
 def test_registered():
     names = contract.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in all_queries()} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in all_queries()} == {f"op{i}" for i in range(1, 14)}
     assert set(all_queries()) <= set(names)
 
 
