@@ -11,10 +11,12 @@ Method
 
 Scale
     Payload digests are grouped with partial aggregation; pages meet the decision in one
-    equi-join on the digest, where a hot digest is split by adaptive execution. Files are
+    equi-join on the digest, where a hot digest is split by adaptive execution. Archives are
+    normalised by as many tasks as there are archives, and read by a task a range of offsets.
+    Files are
     written by tasks, each under a name of its own attempt that is moved to the final name
     when it is complete, so a repeated task replaces equal content. No task holds more than
-    one record and one block. Files lie below the shared folder; any file system that
+    one record and what one block inflates to, taken in pieces of a block. Files lie below the shared folder; any file system that
     Arrow opens by URI will do.
 
 Edge cases
@@ -46,13 +48,15 @@ from lintlake.llm.shared import arrow_map, handed_over, new_path
 #: A new archive is begun when one holds this many payload bytes.
 ARCHIVE_BYTES = 1 << 30
 BLOCK_BYTES = 1 << 20
+#: Members of one archive are read by a task for every so many bytes.
+RANGE_BYTES = 1 << 26
 LEVEL = 6
 DATE = "1970-01-01T00:00:00Z"
 GZIP = 16 + zlib.MAX_WBITS
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
-MANIFEST = "path string, records long"
+MANIFEST = "path string, records long, bytes long"
 RECORDS = (
     "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
     "refers_to long, payload binary"
@@ -149,11 +153,13 @@ def with_decisions(
     keepers = (
         rows.where(F.col("size") >= revisit_min_bytes).groupBy("sha", "size").agg(F.min("page_id").alias("keeper"))
     )
+    # Handed over: an aggregate partitioned like the join would keep a hot digest in one task.
+    keepers = handed_over(keepers, "keepers")
     return rows.join(keepers, ["sha", "size"], "left").select("page_id", "url", "payload", "keeper")
 
 
 def write_archives(decided: DataFrame, folder: str) -> DataFrame:
-    """Write monolithic archives below `folder`; (path, records) of each."""
+    """Write monolithic archives below `folder`; MANIFEST of each."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made, writer, held, records, packer = TaskContext.get().partitionId(), [], None, 0, 0, None
@@ -161,7 +167,7 @@ def write_archives(decided: DataFrame, folder: str) -> DataFrame:
         def finish() -> None:
             writer.write(packer.flush())
             writer.close()
-            made.append((path, records))
+            made.append((path, records, writer.size))
 
         for batch in batches:
             for page, url, payload, keeper in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -190,18 +196,32 @@ def _rows(rows: list[tuple], columns: str) -> pa.RecordBatch:
     )
 
 
+def _inflated(source: Any, path: str) -> Iterator[bytes]:
+    """A gzip stream of one or more members in pieces: a block may inflate to a thousand times its size."""
+    inflate = zlib.decompressobj(GZIP)
+    while data := source.read(BLOCK_BYTES):
+        more = True
+        while more:
+            piece = inflate.decompress(data, BLOCK_BYTES)
+            yield piece
+            if inflate.eof:
+                data = inflate.unused_data
+                more = bool(data)
+                inflate = zlib.decompressobj(GZIP) if more else inflate
+            else:
+                data = inflate.unconsumed_tail
+                more = bool(data) or len(piece) == BLOCK_BYTES
+    if not inflate.eof:
+        raise ValueError(f"{path} ends inside a member")
+
+
 def whole_records(path: str) -> Iterator[bytes]:
-    """Records of a gzip file of one or more members, inflated once, block by block."""
+    """Records of a gzip file of one or more members, inflated once; holds a record and a piece."""
     files, local = fs.FileSystem.from_uri(path)
     with files.open_input_stream(local, compression=None) as source:
-        inflate, held = zlib.decompressobj(GZIP), bytearray()
-        need = None
-        while block := source.read(BLOCK_BYTES):
-            while block:
-                held += inflate.decompress(block)
-                block = inflate.unused_data
-                if block:
-                    inflate = zlib.decompressobj(GZIP)
+        held, need = bytearray(), None
+        for piece in _inflated(source, path):
+            held += piece
             while True:
                 if need is None:
                     end = held.find(b"\r\n\r\n")
@@ -213,7 +233,7 @@ def whole_records(path: str) -> Iterator[bytes]:
                 yield bytes(held[:need])
                 del held[:need]
                 need = None
-        if held or not inflate.eof:
+        if held:
             raise ValueError(f"{path} ends inside a record")
 
 
@@ -223,7 +243,7 @@ INDEX = "archive string, offset long, length long, record_id string, record_type
 def normalise(manifest: DataFrame, folder: str) -> DataFrame:
     """Rewrite every record of the archives as its own member, with a sidecar index.
 
-    Returns (path, records) of the new archives; the index of `x.warc.gz` is `x.warc.gz.idx`.
+    Returns MANIFEST of the new archives; the index of `x.warc.gz` is `x.warc.gz.idx`.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,11 +266,22 @@ def normalise(manifest: DataFrame, folder: str) -> DataFrame:
                     n += 1
                 archive.close()
                 index.close()
-                made.append((path, n))
+                made.append((path, n, archive.size))
         yield _rows(made, MANIFEST)
 
-    spread = manifest.repartition(F.col("path"))
-    return handed_over(arrow_map(spread, work, MANIFEST), "member-archives")
+    return handed_over(arrow_map(_spread(manifest), work, MANIFEST), "member-archives")
+
+
+def _spread(manifest: DataFrame) -> DataFrame:
+    """As many tasks as archives. Without a number the few small rows would be packed into one task."""
+    return manifest.repartition(max(1, manifest.count()), "path")
+
+
+def by_range(index: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Index rows dealt over tasks by archive and range of offsets, in the order of the file."""
+    ranges = manifest.agg(F.sum(F.ceil(F.col("bytes") / RANGE_BYTES))).first()[0]
+    place = F.floor(F.col("offset") / RANGE_BYTES)
+    return index.repartition(max(1, int(ranges or 1)), "archive", place).sortWithinPartitions("archive", "offset")
 
 
 def read_index(manifest: DataFrame) -> DataFrame:
@@ -268,7 +299,7 @@ def read_index(manifest: DataFrame) -> DataFrame:
                         entries = [json.loads(line) for line in lines]
                         yield _rows([tuple(e[n] for n in names) for e in entries], INDEX)
 
-    return arrow_map(manifest, work, INDEX)
+    return arrow_map(_spread(manifest), work, INDEX)
 
 
 def read_records(index: DataFrame) -> DataFrame:
@@ -304,4 +335,5 @@ def archive_and_read(
     """Write archives of the pages, normalise them, and read every record back."""
     folder = new_path(pages.sparkSession, "warc")
     whole = write_archives(with_decisions(pages, revisit_min_bytes, page_id, url, html), folder)
-    return read_records(read_index(normalise(whole, folder)))
+    made = normalise(whole, folder)
+    return read_records(by_range(read_index(made), made))

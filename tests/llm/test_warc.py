@@ -82,3 +82,26 @@ def test_damage_is_noticed():
     record = warc.make_record(1, "u", b"payload", None, False)
     with pytest.raises(ValueError):
         warc.parse_record(record.replace(b"payload\r\n", b"paylord\r\n"))
+
+
+def test_a_block_is_inflated_in_pieces(tmp_path, monkeypatch):
+    records = [warc.make_record(i, "u", b"0" * n, None, False) for i, n in enumerate((5_000_000, 0, 3 << 20, 7))]
+    path = tmp_path / "x.warc.gz"
+    path.write_bytes(gzip.compress(b"".join(records)))
+    assert path.stat().st_size < warc.BLOCK_BYTES // 16
+    with open(path, "rb") as source:
+        pieces = list(warc._inflated(source, str(path)))
+    assert max(map(len, pieces)) <= warc.BLOCK_BYTES and b"".join(pieces) == b"".join(records)
+    assert list(warc.whole_records(str(path))) == records
+
+
+def test_archives_are_spread_over_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_BYTES", 4000)
+    rows = [(i, f"http://p/{i}", prose(i, 60)) for i in range(120)]
+    decided = warc.with_decisions(pages(spark, rows)).repartition(6, "page_id")
+    whole = warc.write_archives(decided, str(tmp_path))
+    assert whole.count() == 6 and warc._spread(whole).rdd.getNumPartitions() == 6
+    made = warc.normalise(whole, str(tmp_path))
+    index = warc.by_range(warc.read_index(made), made)
+    assert index.rdd.getNumPartitions() == made.selectExpr("sum(ceil(bytes / 4000))").first()[0] > 6
+    assert {r.page_id for r in warc.read_records(index).collect()} == set(range(120))
