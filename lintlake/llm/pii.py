@@ -4,7 +4,7 @@ Method
     One pattern finds candidates; a candidate counts only if it is valid in its format:
     card numbers by their check digit, account numbers (IBAN) by remainder 97, dates by the
     calendar, addresses by octet range, social security numbers by their issued ranges,
-    phone numbers by the count of digits. The value (digits, day number, address number) is
+    phone numbers by their country code or by the groups of a national plan. The value (digits, day number, address number) is
     permuted by a keyed Feistel network over exactly its domain, walking on while a result
     falls outside, and written back into the same format with the same separators and a
     valid check digit. A permutation keeps different values different, and equal values
@@ -50,6 +50,13 @@ _IBAN = "|".join(
 #: International country codes, where no separator shows their end.
 _COUNTRY = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
 
+#: National numbers with a leading 0, in the groups in which their country writes them: pairs (FR),
+#: area and number (GB), area and one group (DE). A count of digits alone is no phone number.
+_NATIONAL = (
+    r"0[1-9](?:[ .-][0-9]{2}){4}|\(?02[0-9]\)?[ -][0-9]{4}[ -][0-9]{4}|\(?0[1-9][0-9]{2}\)?[ -][0-9]{3}[ -][0-9]{4}|"
+    r"\(?0[1-9][0-9]{3}\)?[ -](?:[0-9]{6}|[0-9]{3}[ -][0-9]{3})|\(?0[2-9][0-9]{1,3}\)?[ /-][0-9]{5,8}"
+)
+
 #: Kinds in the order in which they are tried, each with its pattern.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
@@ -62,7 +69,7 @@ PATTERNS = {
     "card": r"(?<![0-9A-Za-z.+-])(?:[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9A-Za-z]|[.-][0-9])",
     "phone": r"(?:\+[0-9]{1,3}[ .-]?|(?<![0-9A-Za-z.+-]))(?:\([0-9]{2,4}\) ?|[0-9]{3}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z]|[.-][0-9])",
     "international": r"\+(?:[0-9]{8,15}|[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?|[0-9]{1,4}[ .-])[0-9]{2,8}(?:[ .-][0-9]{2,8}){0,4})(?![0-9A-Za-z]|[.-][0-9])",
-    "national": r"(?<![0-9A-Za-z.+-])\(?0(?=(?:[ .)-]{0,2}[0-9]){8,14})[0-9]{1,4}(?:\)[ .-]?|[ .-])[0-9]{2,8}(?:[ .-][0-9]{2,8}){0,4}(?![0-9A-Za-z]|[.-][0-9])",
+    "national": rf"(?<![0-9A-Za-z.+/-])(?:{_NATIONAL})(?![0-9A-Za-z]|[ ./-][0-9])",
 }
 
 
@@ -298,8 +305,12 @@ _MAKERS = {
 
 
 def pseudonym(key: str, value: Column) -> Column:
-    """The pseudonym of one candidate, null where it is not valid in any format."""
-    return F.coalesce(*[F.when(value.rlike(f"^(?:{p})$"), _MAKERS[k](key, value)) for k, p in PATTERNS.items()])
+    """The pseudonym of one candidate, null where it is not valid.
+
+    The first kind whose shape fits decides: what fails there is no find of another kind.
+    """
+    shapes = [(value.rlike(f"^(?:{p})$"), _MAKERS[k](key, value)) for k, p in PATTERNS.items()]
+    return reduce(lambda rest, s: F.when(s[0], s[1]).otherwise(rest), reversed(shapes), F.lit(None).cast("string"))
 
 
 def pseudonymise(documents: DataFrame, key: str, text: str = "text", replaced: str = "n_replaced") -> DataFrame:

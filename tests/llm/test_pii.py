@@ -85,6 +85,7 @@ def test_formats_stay_and_equal_values_stay_linked(make):
 
 def test_what_is_no_find_stays(make):
     texts = ["666-45-6789", "000-45-6789", "1.2.3", "10.2.3.4.5", "999.1.1.1", "GB82 WEST 1234", "DE88 3704 0044 0532 0130 00",
+             "table 01 02 03 04 05 06", "order 0123 456 7890 12", "04-31-2020 0815", "0900 1000 1100", "2023-02-29",
              "12345", "version 2.0.1", "a @ b", "3-4", "€ 1,234.56", "+1 (2", "0x1234567890abcdef"]
     assert run(make, texts) == (texts, [0] * len(texts))
 
@@ -154,3 +155,53 @@ def test_phones_and_cards_of_countries(make):
         if v.startswith("+") and " " in v:
             assert new.split(" ")[0] == v.split(" ")[0]
     assert got[3][5:17] == got[4][5:20].replace(" ", "") and luhn(re.sub("[^0-9]", "", got[9])) == 0
+
+
+NATIONAL = ["01 23 45 67 89", "01.23.45.67.89", "020 7946 0958", "(020) 7946 0958", "0161 496 0000", "01632 960000", "01632 960 001",
+            "030 1234567", "(0221) 1234567", "0221/123456"]
+
+
+def test_national_phones_against_plain_arithmetic(make):
+    got, counts = run(make, [f"call {v} now" for v in NATIONAL])
+    assert counts == [1] * len(NATIONAL)
+    for v, text in zip(NATIONAL, got, strict=True):
+        digits = plain_digits("phone", re.sub("[^0-9]", "", v))
+        new = iter(digits)
+        assert text == f"call {''.join(next(new) if c.isdigit() else c for c in v)} now"
+
+
+def test_social_security_against_plain_arithmetic(make):
+    values = ["123-45-6789", "665-01-0001", "667-99-9999", "899-12-3456", "001-01-0001"]
+    got, counts = run(make, values)
+    assert counts == [1] * len(values)
+    for v, new in zip(values, got, strict=True):
+        area, group, serial = map(int, v.split("-"))
+        x, size = ((area - 1 - (area > 666)) * 99 + group - 1) * 9999 + serial - 1, 898 * 99 * 9999
+        x = plain_permute("ssn", x, size)
+        place, rest = divmod(x, 99 * 9999)
+        assert new == f"{place + 1 + (place >= 665):03d}-{rest // 9999 + 1:02d}-{rest % 9999 + 1:04d}"
+
+
+def test_addresses_and_dates_against_plain_arithmetic(make):
+    import datetime
+
+    first = datetime.date(1900, 1, 1)
+    values = ["0.0.0.0", "255.255.255.255", "10.20.30.40", "1900-01-01", "2099-12-31", "28.02.2024"]
+    got, counts = run(make, values)
+    assert counts == [1] * len(values)
+    for v, new in zip(values[:3], got[:3], strict=True):
+        x = plain_permute("ipv4", int.from_bytes(bytes(map(int, v.split("."))), "big"), 1 << 32)
+        assert new == ".".join(map(str, x.to_bytes(4, "big")))
+    for day, new, form in ((first, got[3], "%Y-%m-%d"), (datetime.date(2099, 12, 31), got[4], "%Y-%m-%d"),
+                           (datetime.date(2024, 2, 28), got[5], "%d.%m.%Y")):
+        x = plain_permute("date", (day - first).days, pii.DAYS)
+        assert datetime.datetime.strptime(new, form).date() == first + datetime.timedelta(days=x)
+
+
+def plain_permute(kind, x, size):
+    left = next(n for n in range(int(size**0.5), size + 1) if n * n >= size)
+    right = -(-size // left)
+    x = plain_network(kind, x, left, right)
+    while x >= size:
+        x = plain_network(kind, x, left, right)
+    return x
