@@ -136,9 +136,24 @@ def _dot(x: Column, y: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda s, v: s + v)
 
 
+def _scaled(vector: Column) -> Column:
+    """The vector as doubles, times the power of two that brings its largest component near 1.
+
+    Exact, and keeps squares of very small or large components from running out of range.
+    The power is applied in two halves, since the whole may itself be out of range.
+    """
+    doubles = vector.cast("array<double>")
+    largest = F.array_max(F.transform(doubles, F.abs))
+    power = -F.floor(F.log2(largest))
+    half = F.floor(power / 2)
+    halves = F.struct(F.pow(F.lit(2.0), half).alias("a"), F.pow(F.lit(2.0), power - half).alias("b"))
+    return F.transform(F.array(halves), lambda h: F.transform(doubles, lambda x: x * h["a"] * h["b"]))[0]
+
+
 def links(nodes: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(a, b): candidates whose cosine is `cosine` or more."""
-    vectors = nodes.select("node", "vector", F.sqrt(_dot(F.col("vector"), F.col("vector"))).alias("norm"))
+    scaled = nodes.select("node", _scaled(F.col("vector")).alias("vector"))
+    vectors = scaled.select("node", "vector", F.sqrt(_dot(F.col("vector"), F.col("vector"))).alias("norm"))
     pairs = (
         candidates(nodes, cosine)
         .join(vectors.select(F.col("node").alias("a"), F.col("vector").alias("va"), F.col("norm").alias("na")), "a")

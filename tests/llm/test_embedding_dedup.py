@@ -77,3 +77,12 @@ def test_edge_cases(spark):
     got = sorted(map(tuple, ed.near_duplicates(table(spark, rows)).collect()), key=repr)
     assert got == plain(rows)
     assert ed.near_duplicates(table(spark, rows).where("false")).collect() == []
+
+
+@pytest.mark.parametrize("size", [1e-320, 1e-200, 1.0, 1e200, 1.7e308])
+def test_components_of_any_size(spark, size):
+    base = [(0, [1.0, 0.5, 0.25]), (1, [1.0, 0.5, 0.27]), (2, [0.25, 0.5, 1.0]), (3, [-1.0, -0.5, -0.25])]
+    rows = [(i, [x * size for x in v], 1, "n", "v", "l", "c") for i, v in base]
+    df = spark.createDataFrame(rows, SCHEMA.replace("float", "double"))
+    got = sorted(tuple(r)[:3] for r in ed.near_duplicates(df).collect())
+    assert got == [(0, 1, 0), (1, 1, 0), (2, 0, 2), (3, 0, 3)]
