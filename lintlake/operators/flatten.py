@@ -71,11 +71,11 @@ def _cell(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.BooleanType):
         return F.when(c, F.lit("True")).when(~c, F.lit("False"))
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return _plain_number(c)
+        return plain_number(c)
     return c.cast("string")
 
 
-def _plain_number(c: Column) -> Column:
+def plain_number(c: Column) -> Column:
     """Double without an exponent in the usual range: 6729313891.0, 0.25."""
     digits = F.rtrim(c.cast("double").try_cast("decimal(38,21)").cast("string"), F.lit("0"))
     plain = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)

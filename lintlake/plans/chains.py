@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lintlake.operators import advice as adv
-from lintlake.operators import calls, context, flatten, issues, kpi, prompts
+from lintlake.operators import calls, context, discover, flatten, issues, kpi, prompts
 from lintlake.operators.staging import cut_lineage
+from lintlake.schemas import BLOCK
 from lintlake.sources import files, jsonl, sinks
 
 
@@ -136,16 +137,54 @@ def advice_run(
 
 
 def export_csv(
-    spark: SparkSession, jsonl_path: str, csv_path: str, schema: str, **shape
+    spark: SparkSession, jsonl_path: str, csv_path: str, schema: str | None = None, **shape
 ) -> DataFrame:
-    """JSON lines → flat CSV; unreadable lines are kept as rows of their own."""
-    table = flatten.export_table(
-        jsonl.read_jsonl_keeping_errors(spark, jsonl_path, schema), **shape
-    )
+    """JSON lines → flat CSV; unreadable lines are kept as rows of their own.
+
+    Without a `schema` the columns are all keys that any record has.
+    """
+    if schema is None:
+        records = jsonl.read_variants_keeping_errors(spark, jsonl_path)
+        table = discover.export_table(records, **shape)
+    else:
+        records = jsonl.read_jsonl_keeping_errors(spark, jsonl_path, schema)
+        table = flatten.export_table(records, **shape)
     sinks.write_csv(table, csv_path)
     return table
 
 
+# What the chain looks at of a bug; all other keys pass through it untouched.
+BUG_SCHEMA = (
+    "issue_key string, file_path string, start_line int, end_line int, severity string, type string, rule string, "
+    "message string, code_snippet string, error string"
+)
+REST = "_rest"
+
+
+def landed_blocks(spark: SparkSession, path: str, sources: DataFrame, out_path: str, format: str = "auto") -> None:
+    """Landed bugs (a JSON array or JSON lines) → JSON lines, each bug as it came with its `blocks`.
+
+    An `error` is written for bugs that have one, before or now.
+    """
+    bugs = jsonl.read_records(spark, path, BUG_SCHEMA, format, REST)
+    sinks.write_verbatim(context.bug_blocks(bugs, sources), out_path, REST, ["blocks", "error"])
+
+
+def landed_advice(
+    spark: SparkSession, path: str, template: str, replies: DataFrame, out_path: str, level: str = "block",
+    format: str = "auto", **choice,
+) -> DataFrame:
+    """Landed bugs with their context → JSON lines, each as it came with its advice, without `blocks`.
+
+    Returns the counters of the run.
+    """
+    schema = f"{BUG_SCHEMA}, blocks array<{BLOCK}>, creation_date string, update_date string"
+    records = jsonl.read_records(spark, path, schema, format, REST)
+    written, counters = advice_run(records, template, replies, level, **choice)
+    sinks.write_verbatim(written, out_path, REST, [adv.ADVICE_COLUMN[level]], ["blocks", "user_prompt", "advice_status"])
+    return counters
+
+
 def bi_tables(measures: DataFrame, gate: DataFrame, issue_docs: DataFrame) -> dict[str, DataFrame]:
     """Project documents → the three BI tables by name."""
     # A component key is looked up in its own document: folders may share keys.

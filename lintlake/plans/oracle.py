@@ -676,6 +676,46 @@ SQL["project_kpi_audit"] = (
     .replace("ORDER BY date DESC", "ORDER BY coalesce(date, '9999') DESC")
 )
 
+_ODD = "event_id % 13 <> 12"
+SQL["export_unknown_keys"] = f"""
+SELECT CASE WHEN {_ODD} THEN concat('E', event_id) ELSE '' END AS issue_key,
+  CASE WHEN {_ODD} THEN '' ELSE 'True' END AS _parse_error, CASE WHEN {_ODD} THEN '' ELSE {views.ODD_RECORD} END AS _raw_line,
+  CASE WHEN {_ODD} AND event_id % 6 = 2 THEN concat(event_id % 4, '.5') WHEN {_ODD} AND event_id % 6 = 4 THEN '2.0' ELSE '' END AS score,
+  CASE WHEN {_ODD} AND event_id % 6 = 2 THEN 'True' WHEN {_ODD} AND event_id % 6 = 4 THEN 'False' ELSE '' END AS live,
+  CASE WHEN {_ODD} AND event_id % 6 = 1 THEN concat('u', user_id) WHEN {_ODD} AND event_id % 6 = 2 THEN user_id::varchar ELSE '' END AS who,
+  CASE WHEN {_ODD} AND event_id % 6 = 0 THEN user_id::varchar ELSE '' END AS who_id,
+  CASE WHEN {_ODD} AND event_id % 6 = 0 THEN concat('["', event_type, '",1]') ELSE '' END AS who_tags,
+  CASE WHEN {_ODD} AND event_id % 6 = 1 THEN concat('l', user_id) WHEN {_ODD} AND event_id % 6 = 3 THEN concat('m', user_id) ELSE '' END AS who_last,
+  CASE WHEN {_ODD} AND event_id % 6 = 3 THEN (event_id % 9)::varchar ELSE '' END AS who_at_k,
+  '' AS who_at_n, '' AS gone, '' AS note FROM events"""
+SQL["read_records"] = """
+SELECT concat('N', n_nationkey) AS issue_key, n_nationkey::bigint AS n, NULL::varchar AS _raw, NULL::varchar AS _parse_error FROM nation
+UNION ALL SELECT concat('R', r_regionkey), r_regionkey, NULL, NULL FROM region
+UNION ALL SELECT CASE WHEN o_orderkey % 10 <> 9 THEN concat('O', o_orderkey) END, CASE WHEN o_orderkey % 10 <> 9 THEN o_orderkey END,
+  CASE o_orderkey % 20 WHEN 9 THEN concat('{"issue_key": "O', o_orderkey) WHEN 19 THEN o_orderkey::varchar END,
+  CASE o_orderkey % 20 WHEN 9 THEN 'json_parse_error' WHEN 19 THEN 'not_dict' END FROM orders"""
+_THROUGH = """issue_key, start_line::varchar AS start_line, error, type AS scan_by, concat('{"by":"', type, '","odd key":[1,{"x":null}]}') AS scan"""
+
+
+def _keys(*more: str) -> str:
+    """The keys of an object, in order; some stand only where a condition holds."""
+    keys = ["'file_path'", "'issue_key'", "'message'", "'scan'", "'seen'", "'severity'", "'start_line'", *more]
+    return f"array_to_string(list_sort(list_filter([{', '.join(keys)}], lambda k: k IS NOT NULL)), ',') AS keys"
+
+
+_END, _ERROR = "CASE WHEN end_line IS NOT NULL THEN 'end_line' END", "CASE WHEN error IS NOT NULL THEN 'error' END"
+_BLOCKED = f"{FILES}, {BUGS}, {BLOCKS}, n AS (SELECT issue_key, count(*) AS n_blocks FROM blocks GROUP BY 1)"
+SQL["verbatim_blocks"] = f"""
+WITH {_BLOCKED}
+SELECT {_THROUGH}, {_keys(_END, _ERROR, "CASE WHEN n_blocks IS NOT NULL THEN 'blocks' END")}, n_blocks::int AS n_blocks
+FROM bugs JOIN failed USING (issue_key) LEFT JOIN n USING (issue_key)"""
+SQL["verbatim_advice"] = f"""
+WITH {_BLOCKED}
+SELECT {_THROUGH}, {_keys(_END, _ERROR, "'bug_block_advice'")}, CASE WHEN issue_key LIKE '%7' THEN '' ELSE 'm' END AS model,
+  CASE WHEN issue_key NOT LIKE '%7' THEN concat('Explain ', issue_key) END AS explanation,
+  CASE WHEN issue_key NOT LIKE '%7' THEN concat('```c', {NL}, 'x;', {NL}, '```') END AS code_update
+FROM bugs JOIN failed USING (issue_key)"""
+
 
 def all_sql() -> dict[str, str]:
     return dict(SQL)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lintlake.functions import markup, values
@@ -820,3 +820,65 @@ def archived_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).json(path)
     rows = back.where("project_key = 'p' AND level = 'issue'").select("issue_key", "severity", "run_ts")
     return issues.best_row(rows, ["issue_key"], [F.col("run_ts")], last=True)
+
+
+@query
+def export_unknown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose keys differ by row, as JSON lines with broken ones between → CSV, read back.
+
+    `who` holds an object, a text or a number; `who.last` is a key of its own in some records.
+    """
+    path, out = _landing(spark, "unknown"), _landing(spark, "unknown-csv")
+    views.odd_records(spark, sf_dir).write.text(path)
+    chains.export_csv(spark, path, out, text_columns=("note",))
+    back = files.read_csv(spark, out)
+    return back.drop("_line_no").select(
+        *[F.coalesce(f"`{c}`", F.lit("")).alias(c.replace(".", "_")) for c in back.columns if c != "_line_no"]
+    )
+
+
+@query
+def read_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder with arrays, indented objects and JSON lines, every file read by what parsing it gives."""
+    path = _landing(spark, "forms")
+    for form in (views.array_files(spark, sf_dir), views.object_files(spark, sf_dir)):
+        form.write.mode("append").partitionBy("name").text(path)
+    lines = views.object_lines(spark, sf_dir).withColumn("name", F.lit("lines"))
+    lines.write.mode("append").partitionBy("name").text(path)
+    return jsonl.read_records(spark, f"{path}/*", "issue_key string, n long")
+
+
+@query
+def verbatim_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed bugs through blocks and JSON lines: keys that nothing declares come out as they went in."""
+    path, out = _landing(spark, "bugs"), _landing(spark, "bugs-blocks")
+    views.landed_bugs(spark, sf_dir).write.text(path)
+    chains.landed_blocks(spark, path, views.source_files(spark, sf_dir), out, "jsonl")
+    back = jsonl.read_jsonl(spark, out)
+    return _passed_through(back, F.expr("size(try_variant_get(record, '$.blocks', 'array<variant>'))").alias("n_blocks"))
+
+
+def _passed_through(back: DataFrame, *more: Column) -> DataFrame:
+    text = lambda p: F.expr(f"try_variant_get(record, '{p}', 'string')")
+    return back.select(
+        text("$.issue_key").alias("issue_key"), text("$.start_line").alias("start_line"), text("$.error").alias("error"),
+        text("$.scan.by").alias("scan_by"), text("$.scan").alias("scan"),
+        F.array_join(F.array_sort(F.json_object_keys(F.to_json("record", {"ignoreNullFields": "false"}))), ",").alias("keys"),
+        *more,
+    )
+
+
+@query
+def verbatim_advice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bugs with blocks as landed JSON lines through an advice run at block depth: the same keys, advice for blocks."""
+    path, out = _landing(spark, "blocked"), _landing(spark, "advised")
+    bugs = jsonl.object_lines(views.landed_bugs(spark, sf_dir), chains.BUG_SCHEMA, chains.REST)
+    blocked = context.bug_blocks(bugs, views.source_files(spark, sf_dir))
+    sinks.write_verbatim(blocked, path, chains.REST, ["blocks", "error"])
+    replies = views.landed_bugs(spark, sf_dir).select(
+        F.get_json_object("value", "$.issue_key").alias("issue_key"), F.lit("m").alias("model"),
+        F.concat(F.lit("Explain "), F.get_json_object("value", "$.issue_key"), F.lit("\n```c\nx;\n```")).alias("raw"),
+    ).where("issue_key not like '%7'")
+    chains.landed_advice(spark, path, BLOCK_TEMPLATE, replies, out, "block", "jsonl")
+    advice = lambda p: F.expr(f"try_variant_get(record, '$.bug_block_advice.{p}', 'string')").alias(p)
+    return _passed_through(jsonl.read_jsonl(spark, out), *[advice(p) for p in ("model", "explanation", "code_update")])

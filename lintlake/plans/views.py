@@ -268,3 +268,58 @@ GATE_DOC = (
     "ELSE 'ncloc' END, '\",\"comparator\":\"GT\",\"errorThreshold\":\"1\",\"actualValue\":\"', "
     "c_custkey % 5, '\"}]}}')"
 )
+
+
+# Records whose keys differ by row, as JSON text; every 13th is broken or no object.
+ODD_RECORD = (
+    "CASE WHEN event_id % 13 = 12 THEN CASE WHEN event_id % 2 = 0 THEN concat('{\"issue_key\": \"E', event_id) "
+    "ELSE concat('[', event_id, ']') END ELSE concat('{\"issue_key\":\"E', event_id, '\"', CASE event_id % 6 "
+    "WHEN 0 THEN concat(',\"who\":{\"id\":', user_id, ',\"tags\":[\"', event_type, '\",1]}') "
+    "WHEN 1 THEN concat(',\"who\":\"u', user_id, '\",\"who.last\":\"l', user_id, '\"') "
+    "WHEN 2 THEN concat(',\"who\":', user_id, ',\"score\":', event_id % 4, '.5,\"live\":true') "
+    "WHEN 3 THEN concat(',\"who\":{\"last\":\"m', user_id, '\",\"at\":{\"deep\":{}, \"n\":null,\"k\":', event_id % 9, '}}') "
+    "WHEN 4 THEN ',\"score\":2,\"live\":false,\"gone\":null' ELSE '' END, '}') END"
+)
+
+# Bugs with keys that no schema declares; a line number as text, a null and nested values.
+LANDED_BUG = (
+    "concat('{\"issue_key\":\"', issue_key, '\",\"file_path\":\"', file_path, '\",\"start_line\":', "
+    "coalesce(cast(start_line AS string), 'null'), ',\"severity\":', CASE WHEN severity IS NULL THEN 'null' "
+    "ELSE concat('\"', severity, '\"') END, CASE WHEN end_line IS NULL THEN '' ELSE concat(',\"end_line\":', end_line) END, "
+    "',\"message\":\"', message, '\",\"scan\":{\"by\":\"', type, '\",\"odd key\":[1,{\"x\":null}]},\"seen\":null}')"
+)
+
+
+def odd_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): JSON lines."""
+    return _load(spark, sf_dir, "events").selectExpr(f"{ODD_RECORD} AS value")
+
+
+def landed_bugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): `bugs` as JSON lines."""
+    return bugs(spark, sf_dir).selectExpr(f"{LANDED_BUG} AS value")
+
+
+def array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, value): one text a region, an array over several lines with a number among the objects."""
+    item = "concat('  {\"issue_key\":\"N', n_nationkey, '\",\"n\":', n_nationkey, '}')"
+    rows = _load(spark, sf_dir, "nation").selectExpr("n_regionkey", f"{item} AS item")
+    return rows.groupBy("n_regionkey").agg(F.collect_list("item").alias("items")).selectExpr(
+        "concat('array', n_regionkey) AS name", "concat('[\\n7,\\n', array_join(items, ',\\n'), '\\n]') AS value"
+    )
+
+
+def object_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, value): one text a region, an indented object."""
+    return _load(spark, sf_dir, "region").selectExpr(
+        "concat('object', r_regionkey) AS name",
+        "concat('{\\n  \"issue_key\": \"R', r_regionkey, '\",\\n  \"n\": ', r_regionkey, '\\n}\\n') AS value",
+    )
+
+
+def object_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): an object a line, every tenth line broken or a number."""
+    return _load(spark, sf_dir, "orders").selectExpr(
+        "CASE o_orderkey % 20 WHEN 9 THEN concat('{\"issue_key\": \"O', o_orderkey) WHEN 19 THEN cast(o_orderkey AS string) "
+        "ELSE concat('{\"issue_key\":\"O', o_orderkey, '\",\"n\":', o_orderkey, '}') END AS value"
+    )
