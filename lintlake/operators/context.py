@@ -92,28 +92,89 @@ def snippets(
 # --- nested blocks ---------------------------------------------------------
 
 
-def _narrowing(indents: Column, positions: Column, below: Column) -> Column:
-    """Walk `positions`; keep each line that is less indented than all kept before.
+#: Lines whose links are built in one inner fold, so that appending copies a short array.
+LINK_ROWS = 256
 
-    The result is at most as long as the number of distinct indents.
+
+def nearest_lower(indents: Column) -> Column:
+    """For each line the position of the nearest line above with less indent, null if none.
+
+    One pass with a monotonic stack: lines at least as indented as the present one are taken
+    off, so the stack never holds more lines than there are distinct indents. A blank line
+    (null) links to the nearest line above that is not blank.
     """
-    start = F.struct(
-        below.alias("bound"), F.array().cast("array<struct<pos:int,ind:int>>").alias("kept")
+    stack_type, links_type = "array<struct<pos:int,ind:int>>", "array<int>"
+    no_links = F.array().cast(links_type)
+
+    def state(at: Column, stack: Column, links: Column) -> Column:
+        return F.struct(at.cast("int").alias("at"), stack.alias("stack"), links.alias("links"))
+
+    def line(acc: Column, ind: Column) -> Column:
+        def placed(lower: Column) -> Column:
+            top = F.get(lower, F.size(lower) - 1)["pos"]
+            mine = F.struct(acc["at"].alias("pos"), ind.alias("ind"))
+            stack = F.when(ind.isNull(), lower).otherwise(F.concat(lower, F.array(mine).cast(stack_type)))
+            return state(acc["at"] + 1, stack, F.concat(acc["links"], F.array(top).cast(links_type)))
+
+        lower = F.filter(acc["stack"], lambda s: ind.isNull() | (s["ind"] < ind))
+        return F.get(F.transform(F.array(lower), placed), F.lit(0))
+
+    def chunk(acc: Column, rows: Column) -> Column:
+        inner = F.aggregate(rows, state(acc["at"], acc["stack"], no_links), line)
+        return F.get(
+            F.transform(
+                F.array(inner),
+                lambda done: F.struct(
+                    done["at"].alias("at"), done["stack"].alias("stack"),
+                    F.concat(acc["links"], F.array(done["links"])).alias("links"),
+                ),
+            ),
+            F.lit(0),
+        )
+
+    n = F.size(indents)
+    rows = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((n - 1) / LINK_ROWS)).cast("int")),
+        lambda i: F.slice(indents, i * LINK_ROWS + 1, F.lit(LINK_ROWS)),
+    )
+    nothing = F.struct(
+        F.lit(0).alias("at"), F.array().cast(stack_type).alias("stack"), F.array().cast(f"array<{links_type}>").alias("links")
+    )
+    return F.aggregate(rows, nothing, chunk, lambda acc: F.flatten(acc["links"]))
+
+
+def indent_links(indents: Column) -> Column:
+    """struct(up, down, depth): the nearest less indented line either way, and the number of distinct indents."""
+    last = F.size(indents) - 1
+    return F.struct(
+        nearest_lower(indents).alias("up"),
+        F.reverse(F.transform(nearest_lower(F.reverse(indents)), lambda x: last - x)).alias("down"),
+        F.size(F.array_distinct(indents)).alias("depth"),
     )
 
-    def step(acc: Column, i: Column) -> Column:
-        ind = F.get(indents, i)
-        return F.when(
-            ind < acc["bound"],
-            F.struct(
-                ind.alias("bound"),
-                F.concat(
-                    acc["kept"], F.array(F.struct(i.alias("pos"), ind.alias("ind")))
-                ).alias("kept"),
-            ),
-        ).otherwise(acc)
 
-    return F.aggregate(positions, start, step, lambda acc: acc["kept"])
+def _chain(indents: Column, links: Column, first: Column, below: Column, depth: Column) -> Column:
+    """Follow the links from line `first`; keep each line that is less indented than all before.
+
+    Every link leads to a less indented line, so no more are followed than there are
+    distinct indents, whatever the length of the file.
+    """
+    kept_type = "array<struct<pos:int,ind:int>>"
+
+    def state(pos: Column, bound: Column, kept: Column) -> Column:
+        return F.struct(pos.alias("pos"), bound.alias("bound"), kept.alias("kept"))
+
+    def step(acc: Column, _: Column) -> Column:
+        ind, onward = F.get(indents, acc["pos"]), F.get(links, acc["pos"])
+        more = F.concat(acc["kept"], F.array(F.struct(acc["pos"].alias("pos"), ind.alias("ind"))).cast(kept_type))
+        return (
+            F.when(acc["pos"].isNull(), acc)
+            .when(ind < acc["bound"], state(onward, ind, more))
+            .otherwise(state(onward, acc["bound"], acc["kept"]))
+        )
+
+    start = state(first.cast("int"), below.cast("int"), F.array().cast(kept_type))
+    return F.aggregate(F.sequence(F.lit(0), depth + 1), start, step, lambda acc: acc["kept"])
 
 
 def _levels(first_indent: Column, up: Column, down: Column, n: Column) -> Column:
@@ -143,14 +204,16 @@ def _levels(first_indent: Column, up: Column, down: Column, n: Column) -> Column
     return F.aggregate(rounds, start, step, lambda acc: acc["levels"])
 
 
-def blocks(df: DataFrame, lines: str = "_lines", indents: str = "_indents") -> DataFrame:
+def blocks(df: DataFrame, lines: str = "_lines", indents: str = "_indents", links: str = "_links") -> DataFrame:
     """Add `blocks`: the core lines' block and every enclosing one, outermost last.
 
-    `df` has start_line, end_line, the file's lines with their ends and the leading blanks
-    of each line (null for a blank line). A block of indent c reaches up and down to the
-    nearest less indented line; the next c is the smaller of those two indents.
+    `df` has start_line, end_line, the file's lines with their ends, the leading blanks of
+    each line (null for a blank line) and the file's `indent_links`. A block of indent c
+    reaches up and down to the nearest less indented line; the next c is the smaller of
+    those two indents. Beyond its core a bug looks at the lines its links lead to, not at
+    the file.
     """
-    lines_, ind = F.col(lines), F.col(indents)
+    lines_, ind, link = F.col(lines), F.col(indents), F.col(links)
     n = F.size(lines_)
 
     def clamp(c: Column) -> Column:
@@ -159,21 +222,16 @@ def blocks(df: DataFrame, lines: str = "_lines", indents: str = "_indents") -> D
     core = df.withColumn("_cs", clamp(F.col("start_line"))).withColumn(
         "_ce", F.greatest(F.col("_cs"), clamp(F.coalesce("end_line", "start_line")))
     )
-    no_lines = F.array().cast("array<int>")
     first = F.coalesce(
         F.array_min(F.slice(ind, F.col("_cs") + 1, F.col("_ce") - F.col("_cs") + 1)), F.lit(0)
     )
-    going_up = F.when(
-        F.col("_cs") > 0, F.sequence(F.col("_cs") - 1, F.lit(0), F.lit(-1))
-    ).otherwise(no_lines)
-    going_down = F.when(
-        F.col("_ce") < n - 1, F.sequence(F.col("_ce") + 1, n - 1)
-    ).otherwise(no_lines)
+    above = F.when(F.col("_cs") > 0, F.col("_cs") - 1)
+    below = F.when(F.col("_ce") < n - 1, F.col("_ce") + 1)
     usable = (n > 0) & F.col("start_line").isNotNull()
     walked = core.withColumn("_first", first).withColumns(
         {
-            "_up": F.when(usable, _narrowing(ind, going_up, F.col("_first"))),
-            "_down": F.when(usable, _narrowing(ind, going_down, F.col("_first"))),
+            "_up": F.when(usable, _chain(ind, link["up"], above, F.col("_first"), link["depth"])),
+            "_down": F.when(usable, _chain(ind, link["down"], below, F.col("_first"), link["depth"])),
         }
     )
     levels = _levels(F.col("_first"), F.col("_up"), F.col("_down"), n)
@@ -197,15 +255,15 @@ def blocks(df: DataFrame, lines: str = "_lines", indents: str = "_indents") -> D
 
 
 def file_features(sources: DataFrame) -> DataFrame:
-    """Per file: lines with ends, leading blanks per line, header lines, include block."""
+    """Per file: lines with ends, leading blanks per line and their links, header lines, include block."""
     lined = sources.select("file_path", tx.split_lines(F.col("text")).alias("_lines"))
-    bare = lined.withColumn("_bare", tx.bare_lines(F.col("_lines")))
+    indents = F.transform("_lines", lambda t: F.when(~tx.is_blank(t), tx.indent_spaces(t)))
+    bare = lined.withColumns({"_bare": tx.bare_lines(F.col("_lines")), "_indents": indents})
     return bare.select(
         "file_path",
         "_lines",
-        F.transform("_lines", lambda t: F.when(~tx.is_blank(t), tx.indent_spaces(t))).alias(
-            "_indents"
-        ),
+        "_indents",
+        indent_links(F.col("_indents")).alias("_links"),
         code.headers(F.col("_bare")).alias("_headers"),
         code.include_block(F.col("_bare")).alias("_includes"),
     )
@@ -229,7 +287,7 @@ def bug_blocks(bugs: DataFrame, sources: DataFrame, keep_file: bool = False) ->
             F.when(F.col("start_line").isNull(), F.lit("missing_start_line")),
         ),
     )
-    return out if keep_file else out.drop("_lines", "_indents", "_headers", "_includes")
+    return out if keep_file else out.drop("_lines", "_indents", "_links", "_headers", "_includes")
 
 
 # --- enclosing function ----------------------------------------------------
@@ -300,5 +358,5 @@ def enclosing_function(
     return found.withColumn(
         "anchor", F.when(F.col("_h").isNotNull() & has_blocks, anchor)
     ).withColumn("error", F.coalesce(error, "error")).drop(
-        "_h", "_bi", "_bottom", "_top", "_lines", "_indents", "_headers", "_includes"
+        "_h", "_bi", "_bottom", "_top", "_lines", "_indents", "_links", "_headers", "_includes"
     )

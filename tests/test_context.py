@@ -153,3 +153,21 @@ def test_edges(spark):
     assert counts == {"include": 1, "inherits": 2, "call": 3, "symbol": 2}
     heads = [tuple(r) for r in edges.symbols(sources).orderBy("line").collect()]
     assert heads == [("a.cpp", "class", "A", 2, 3), ("a.cpp", "function", "f", 4, 7)]
+
+
+def test_links_reach_the_nearest_less_indented_line(spark):
+    rng = random.Random(8)
+    cases = [[], [None], [None, None], [0], [4, None, 2]]
+    cases += [[rng.choice([None, 0, 2, 2, 4, 8, 9]) for _ in range(rng.randint(1, 60))] for _ in range(60)]
+    cases += [[rng.choice([None, 0, 1, 2, 3]) for _ in range(n)] for n in (255, 256, 257, 700)]
+    rows = spark.createDataFrame(list(enumerate(cases)), "i int, ind array<int>")
+    got = {r["i"]: r["l"] for r in rows.select("i", context.indent_links(F.col("ind")).alias("l")).collect()}
+
+    def nearest(ind, order, i):
+        return next((j for j in order if ind[j] is not None and (ind[i] is None or ind[j] < ind[i])), None)
+
+    for i, ind in enumerate(cases):
+        n = len(ind)
+        assert got[i]["up"] == [nearest(ind, range(k - 1, -1, -1), k) for k in range(n)], ind
+        assert got[i]["down"] == [nearest(ind, range(k + 1, n), k) for k in range(n)], ind
+        assert got[i]["depth"] == len(set(ind))
