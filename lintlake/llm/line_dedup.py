@@ -1,21 +1,26 @@
 """Line dedup with content-defined chunks.
 
 Method
-    A text is a sequence of lines; inside a line, sentences are lines of their own. Each
-    line is hashed, and a rolling hash over the hashes of the last `WINDOW` lines ends a
-    chunk of two lines or more where it is divisible by `DIVISOR`, so boundaries depend on content
-    only and find themselves again after an insertion. A physical line of `long_words` words
-    or more also begins and ends a chunk (a pasted paragraph is cut off at its edges), and a
-    chunk never exceeds `MAX_LINES` lines. Chunks of at least two lines and `min_words` words,
-    and long lines, are looked for in all documents. Of chunks that are equal byte for byte
-    the first one stays (smallest id, then position); the others are taken out of their
-    texts together with the white space behind them.
+    A text is a sequence of lines: physical lines, inside them sentences, and inside these
+    stretches that end behind a word which a hash of its last bytes chooses. Each line is
+    hashed, and a rolling hash over the hashes of the last two lines ends a chunk where it
+    is divisible by `DIVISOR`. So a boundary depends on the content before it alone and finds
+    itself again behind an insertion, also where a passage begins and ends in the middle of a
+    sentence. A physical line of `long_words` words or more also begins and ends a chunk.
+    Chunks of at least two lines and `SEED_WORDS` words, and long lines, are looked for in all
+    documents. A chunk that is equal byte for byte to an earlier one (smallest id, then
+    position) is a seed. It is extended over whole words to both sides for as long as the two
+    texts agree, up to `REACH` characters; chunks behind one another and their extensions
+    make a run. Runs of `min_words` words or more go, with the white space behind them.
+    Whatever goes is equal to text at an earlier place, so its first occurrence stays.
 
 Scale
     Only chunk hashes are grouped, with partial aggregation, so a chunk in a third of all
-    documents is combined before the shuffle. Bytes are compared for chunks whose hash
-    repeats: documents meet their spans by id, and the bodies are grouped with partial
-    aggregation too. Lists are bounded by one document. Nothing is collected.
+    documents is combined before the shuffle. Copies meet their first occurrence by hash; a
+    side is extended only where the chunk beside the copy is not the one beside the first,
+    so little more than the seeds themselves is taken from the texts. Texts meet their spans
+    by id, once for the bytes and once for the result. Lists are bounded by one document; equal rows are
+    one document. Nothing is collected.
 
 Edge cases
     A null text stays null. A null id is smaller than any other. Rows with equal id and
@@ -27,9 +32,10 @@ Edge cases
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -37,81 +43,143 @@ from pyspark.sql import functions as F
 
 from lintlake.llm.shared import arrow_map, handed_over, text_digest
 
-WINDOW = 2
-DIVISOR = 2
+#: A word ends a line with a chance of one in so many, a line ends a chunk likewise.
+WORD_DIVISOR = 3
+DIVISOR = 3
 MAX_LINES = 64
-MIN_WORDS = 10
+SEED_WORDS = 6
+MIN_WORDS = 20
 LONG_WORDS = 40
+#: Characters to which a seed is extended on each side.
+REACH = 1024
 
-_SENTENCE = re.compile(r"(?<=[.!?]) +")
-_MASK = (1 << 64) - 1
-
-
-def lines_of(text: str) -> list[tuple[int, int, bool]]:
-    """(start, stop, ends a physical line) of every non-blank line or sentence."""
-    out, at = [], 0
-    for line in text.split("\n"):
-        last, n = 0, len(out)
-        for gap in _SENTENCE.finditer(line):
-            if gap.start() > last:
-                out.append((at + last, at + gap.start(), False))
-            last = gap.end()
-        if line[last:].strip():
-            out.append((at + last, at + len(line.rstrip()), False))
-        if len(out) > n:
-            out[-1] = (out[-1][0], out[-1][1], True)
-        at += len(line) + 1
-    return out
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_STOP = np.zeros(256, dtype=bool)
+_STOP[[33, 46, 63]] = True
+#: Odd factors of the hashes over a word's last bytes and over lines.
+_FACTORS = np.random.default_rng(7).integers(1 << 62, 1 << 63, 6, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+class Lines(NamedTuple):
+    """Lines of a text as byte places; `physical` lines end at a line end or with the text."""
+
+    start: np.ndarray
+    stop: np.ndarray
+    physical: np.ndarray
+    #: Words up to and with each byte.
+    words: np.ndarray
+
+
+def lines_of(data: bytes) -> Lines:
+    a = np.frombuffer(data, dtype=np.uint8)
+    blank = _BLANK[a]
+    word_start = ~blank & np.concatenate(([True], blank[:-1]))[: len(a)]
+    word_end = blank & ~np.concatenate(([True], blank[:-1]))[: len(a)]
+    ends = np.flatnonzero(word_end | (a == 10))
+    padded = np.concatenate((np.zeros(6, dtype=np.uint8), a))
+    mixed = np.zeros(len(ends), dtype=np.uint64)
+    for back in range(6):
+        mixed += padded[ends + 5 - back].astype(np.uint64) * _FACTORS[back]
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * _FACTORS[0]
+    chosen = (mixed >> np.uint64(40)) % np.uint64(WORD_DIVISOR) == 0
+    cuts = ends[(a[ends] == 10) | (word_end[ends] & (chosen | _STOP[padded[ends + 5]]))]
+    text = np.flatnonzero(~blank)
+    low = np.searchsorted(text, np.concatenate(([0], cuts + 1)))
+    high = np.searchsorted(text, np.concatenate((cuts, [len(a)])))
+    full = low < high
+    stop = text[high[full] - 1] + 1
+    # A line is physical if a line end, or the end of the text, comes before the next text.
+    after = np.concatenate((text[low[full]][1:], [len(a)]))
+    line_ends = np.concatenate(([0], np.cumsum(a == 10)))
+    physical = line_ends[after] > line_ends[stop] if len(stop) else np.zeros(0, dtype=bool)
+    if len(stop):
+        physical[-1] = True
+    return Lines(text[low[full]], stop, physical, np.cumsum(word_start))
 
 
-def chunks_of(
-    text: str, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS
-) -> list[tuple[int, int, int]]:
-    """(start, stop, next start) of the chunks that are worth looking for."""
-    lines = lines_of(text)
-    if not lines:
+class Chunk(NamedTuple):
+    """Places are bytes; `after` is where the next chunk begins; `worth` says it is looked for."""
+
+    start: int
+    stop: int
+    after: int
+    words: int
+    worth: bool
+
+
+def chunks_of(data: bytes, seed_words: int = SEED_WORDS, long_words: int = LONG_WORDS) -> list[Chunk]:
+    lines = lines_of(data)
+    n = len(lines.start)
+    if not n:
         return []
-    # Edges of long physical lines.
-    edges, first = set(), 0
-    for i, (_, stop, ends) in enumerate(lines):
-        if ends:
-            if text.count(" ", lines[first][0], stop) + 1 >= long_words:
-                edges |= {first - 1, i}
-            first = i + 1
+    before = lines.words[lines.start] - 1
+    upto = lines.words[lines.stop - 1]
+    # Edges: the line before and the last line of a long physical line.
+    last = np.flatnonzero(lines.physical)
+    first = np.concatenate(([0], last[:-1] + 1))
+    long = upto[last] - before[first] >= long_words
+    edge = np.zeros(n + 1, dtype=bool)
+    edge[last[long]] = True
+    edge[first[long] - 1] = True  # the line before the first is the spare last place
+    edge = edge[:n]
+    starts, stops = lines.start.tolist(), lines.stop.tolist()
+    hashes = np.array([xxhash.xxh64_intdigest(data[s:e]) for s, e in zip(starts, stops, strict=True)], dtype=np.uint64)
+    behind = np.concatenate((np.zeros(1, dtype=np.uint64), hashes[:-1]))
+    behind[1:][edge[:-1]] = 0
+    rolled = behind * _FACTORS[1] + hashes
+    ends = ((rolled ^ (rolled >> np.uint64(31))) * _FACTORS[2] >> np.uint64(33)) % np.uint64(DIVISOR) == 0
+    # Not before the last line of an edge: a pasted paragraph is one chunk at least.
+    ends |= edge
+    ends[-1] = True
     out, begin = [], 0
-    recent = [0] * WINDOW
-    for i, (start, stop, _) in enumerate(lines):
-        recent = [*recent[1:], xxhash.xxh64_intdigest(text[start:stop])]
-        rolled = 0
-        for h in recent:
-            rolled = (rolled * 0x9E3779B97F4A7C15 + h) & _MASK
-        # Never one line alone: not before a second line, not before an edge's last line.
-        cut = (rolled >> 17) % DIVISOR == 0 and i > begin and i + 1 not in edges
-        if cut or i in edges or i - begin + 1 >= MAX_LINES or i == len(lines) - 1:
-            a = lines[begin][0]
-            words = text.count(" ", a, stop) + text.count("\n", a, stop) + 1
-            if words >= (min_words if i > begin else long_words):
-                out.append((a, stop, lines[i + 1][0] if i + 1 < len(lines) else len(text)))
-            begin = i + 1
-            recent = [0] * WINDOW if i in edges else recent
+    for end in np.flatnonzero(ends).tolist():
+        for at in range(begin, end + 1, MAX_LINES):
+            to = min(at + MAX_LINES - 1, end)
+            words = int(upto[to] - before[at])
+            after = starts[to + 1] if to + 1 < n else len(data)
+            worth = words >= (seed_words if to > at else long_words)
+            out.append(Chunk(starts[at], stops[to], after, words, worth))
+        begin = end + 1
     return out
 
 
+_CHUNK = "doc_id long, digest long, start int, stop int, after int, words int, hash long, prior long, next long"
+
+
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def _rows_of(text: str, seed_words: int, long_words: int) -> Iterator[tuple]:
+    """(start, stop, after, words, hash, hash before, hash behind), places in code points."""
+    data = text.encode()
+    found = chunks_of(data, seed_words, long_words)
+    if not found:
+        return
+    heads = (np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80
+    point = np.concatenate(([0], np.cumsum(heads))).tolist()
+    hashes = [_signed(xxhash.xxh3_64_intdigest(data[c.start : c.stop])) if c.worth else None for c in found]
+    for i, c in enumerate(found):
+        if c.worth:
+            prior = hashes[i - 1] if i else None
+            behind = hashes[i + 1] if i + 1 < len(found) else None
+            yield point[c.start], point[c.stop], point[c.after], c.words, hashes[i], prior, behind
+
+
 def chunk_table(
-    documents: DataFrame, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS,
+    documents: DataFrame, seed_words: int = SEED_WORDS, long_words: int = LONG_WORDS,
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """(doc_id, digest, start, stop, after, hash): one row per chunk worth looking for."""
+    """One row per chunk that is looked for, with the hashes of the chunks beside it (null: none looked for)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "digest", "start", "stop", "after", "hash"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+        names = [c.split()[0] for c in _CHUNK.split(", ")]
+        kinds = [pa.int64() if c.endswith("long") else pa.int32() for c in _CHUNK.split(", ")]
         for batch in batches:
             rows = []
             for one, digest, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for start, stop, after in chunks_of(body, min_words, long_words):
-                    h = xxhash.xxh3_64_intdigest(body[start:stop])
-                    rows.append((one, digest, start, stop, after, h - (1 << 64) if h >> 63 else h))
+                rows += [(one, digest, *row) for row in _rows_of(body, seed_words, long_words)]
             columns = list(zip(*rows, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)], names=names
@@ -121,75 +189,163 @@ def chunk_table(
         F.col(doc_id).cast("long").alias("doc_id"), text_digest(F.col(text)).alias("digest"),
         F.coalesce(text, F.lit("")).alias("text"),
     )
-    return arrow_map(source, work, "doc_id long, digest long, start int, stop int, after int, hash long")
+    return arrow_map(source, work, _CHUNK)
 
 
-def _keyed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return documents.select(
-        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"),
-        F.col(doc_id).cast("long").alias("_id"), text_digest(F.col(text)).alias("_digest"),
-        F.col(text).alias("_text"),
-    )
+#: What identifies a document; a null id has a flag, so that joins and groupings share their shuffle.
+KEY = ("known", "id0", "digest")
+
+
+def _key(doc_id: str = "doc_id") -> list[Column]:
+    return [F.col(doc_id).isNotNull().alias("known"), F.coalesce(F.col(doc_id), F.lit(0).cast("long")).alias("id0")]
 
 
-def _same_document(left: str, right: str) -> Column:
-    return F.col(f"{left}_id").eqNullSafe(F.col(f"{right}_id")) & (
-        F.col(f"{left}_digest") == F.col(f"{right}_digest")
+def _placed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(KEY, _text): one row per document."""
+    keyed = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
+    rows = keyed.select(*_key(), text_digest(F.col("_text")).alias("digest"), "_text")
+    return rows.groupBy(*KEY).agg(F.first("_text").alias("_text"))
+
+
+def _spans(chunks: DataFrame) -> DataFrame:
+    """(KEY, spans): of every document the chunks that occur elsewhere, and the sides to extend.
+
+    A side is extended where the chunk beside a copy is not the one beside the first
+    occurrence; then the first occurrence has to show its side as well.
+    """
+    # Handed over, so that adaptive execution can split the hash of a hot chunk in the join.
+    place = F.struct(*KEY, "start")
+    grouped = chunks.groupBy("hash").agg(
+        F.min(place).alias("first"), F.max(place).alias("last"),
+        F.min_by(F.struct("prior", "next"), place).alias("beside"),
     )
+    often = handed_over(grouped.where("first <> last").drop("last"), "repeated-hashes")
+    met = chunks.join(often, "hash").withColumn("is_first", place == F.col("first"))
+    differs = lambda side: ~F.coalesce(F.col(side) == F.col(f"beside.{side}"), F.lit(False))
+    copies = met.where("not is_first").withColumns({"left": differs("prior"), "right": differs("next")})
+    asked = copies.groupBy("hash").agg(F.bool_or("left").alias("left"), F.bool_or("right").alias("right"))
+    firsts = met.where("is_first").join(handed_over(asked, "asked-sides"), "hash", "left").fillna(False, ["left", "right"])
+    columns = ["start", "stop", "after", "words", "hash", "left", "right"]
+    both = copies.select(*KEY, *columns).unionByName(firsts.select(*KEY, *columns))
+    # A set: rows that repeat a whole document list its chunks once.
+    return both.groupBy(*KEY).agg(F.collect_set(F.struct(*columns)).alias("spans"))
+
+
+_RUN = "known boolean, id0 long, digest long, start int, stop int, words int"
+
+
+def _agree(mine: str, other: str, whole: bool) -> int:
+    """Length of the common beginning of two texts, cut back to whole words.
+
+    `whole` says that `mine` ends with its document, where a word may end too.
+    """
+    low, high = 0, min(len(mine), len(other))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if mine[low:middle] == other[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    ends = lambda t: t[low].isspace() if low < len(t) else whole
+    if low and not (ends(mine) and ends(other)):
+        while low and not mine[low - 1].isspace():
+            low -= 1
+    return low
+
+
+def _extended(copies: DataFrame) -> DataFrame:
+    """Copies with what stands beside them and beside their first occurrence → spans with extensions."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in _RUN.split(", ")]
+        for batch in batches:
+            rows = []
+            for known, id0, digest, start, stop, after, words, left, right, f_left, f_right in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True
+            ):
+                if left is not None and f_left is not None:
+                    n = _agree(left[::-1], f_left[::-1], len(left) < REACH)
+                    n -= len(left[len(left) - n :]) - len(left[len(left) - n :].lstrip())
+                    words += len(left[len(left) - n :].split())
+                    start -= n
+                if right is not None and f_right is not None:
+                    n = _agree(right, f_right, len(right) < REACH)
+                    if right[:n].strip():
+                        words += len(right[:n].split())
+                        rest = right[n:]
+                        after = stop + n + len(rest) - len(rest.lstrip())
+                rows.append((known, id0, digest, start, after, words))
+            kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+            columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    return arrow_map(copies, work, _RUN)
 
 
 def repeats(
-    documents: DataFrame, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS,
+    documents: DataFrame, seed_words: int = SEED_WORDS, long_words: int = LONG_WORDS,
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """(doc_id, digest, start, after): spans that repeat an earlier chunk byte for byte."""
-    chunks = handed_over(chunk_table(documents, min_words, long_words, doc_id, text), "chunks")
-    # Handed over, so that adaptive execution can split the hash of a hot chunk in the join.
-    often = handed_over(chunks.groupBy("hash").count().where("count > 1").select("hash"), "repeated-hashes")
-    spans = (
-        chunks.join(often, "hash")
-        .groupBy(F.col("doc_id").alias("d_id"), F.col("digest").alias("d_digest"))
-        .agg(F.collect_list(F.struct("start", "stop", "after", "hash")).alias("spans"))
-    )
-    # One row per (id, text): repeated rows are one document.
+    """(KEY, start, stop, words): spans that repeat earlier text, extended, in no order; they may overlap."""
+    keyed = chunk_table(documents, seed_words, long_words, doc_id, text).select("*", *_key()).drop("doc_id")
+    spans = _spans(handed_over(keyed, "chunks"))
+    part = lambda a, n: F.expr(f"substring(_text, {a}, {n})")
     bodies = (
-        _keyed(documents, doc_id, text)
-        .drop("_row")
-        .join(spans, _same_document("", "d"), "inner")
-        .select("d_id", "d_digest", "_text", F.explode("spans").alias("span"))
+        _placed(documents, doc_id, text).join(spans, list(KEY))
+        .select(*KEY, "_text", F.explode("spans").alias("s"))
         .select(
-            F.col("d_id").alias("doc_id"), F.col("d_digest").alias("digest"), "span.start", "span.after", "span.hash",
-            F.expr("substring(_text, span.start + 1, span.stop - span.start)").alias("body"),
+            *KEY, "s.start", "s.stop", "s.after", "s.words", "s.hash", part("s.start + 1", "s.stop - s.start").alias("body"),
+            F.when(F.col("s.left"), part(f"greatest(s.start - {REACH}, 0) + 1", f"least(s.start, {REACH})")).alias("left"),
+            F.when(F.col("s.right"), part("s.stop + 1", str(REACH))).alias("right"),
         )
-    )
+    )
     bodies = handed_over(bodies, "bodies")
+    place = F.struct(*KEY, "start")
     first = bodies.groupBy("hash", "body").agg(
-        F.min(F.struct("doc_id", "digest", "start")).alias("first"), F.count("*").alias("copies")
+        F.min(F.struct(*KEY, "start", "left", "right")).alias("first"), F.count("*").alias("copies")
     )
     first = handed_over(first.where("copies > 1").drop("copies"), "first-chunks")
-    return (
-        bodies.join(first, ["hash", "body"])
-        .where(~F.struct("doc_id", "digest", "start").eqNullSafe(F.col("first")))
-        .select("doc_id", "digest", "start", "after").distinct()
+    copies = bodies.join(first, ["hash", "body"]).where(
+        place != F.struct(*[F.col(f"first.{c}") for c in (*KEY, "start")])
     )
+    return _extended(
+        copies.select(
+            *KEY, "start", "stop", "after", "words", "left", "right",
+            F.col("first.left").alias("first_left"), F.col("first.right").alias("first_right"),
+        )
+    )
+
+
+def _runs(spans: DataFrame, min_words: int) -> DataFrame:
+    """(KEY, removed): of every document the runs of `min_words` words, in order, apart from one another."""
+    listed = spans.groupBy(*KEY).agg(F.sort_array(F.collect_set(F.struct("start", "stop", "words"))).alias("all"))
+    merged = F.expr(
+        "aggregate(all, cast(array() as array<struct<start:int,stop:int,words:int>>), (runs, s) -> "
+        "CASE WHEN size(runs) > 0 AND s.start <= element_at(runs, -1).stop "
+        "THEN concat(slice(runs, 1, size(runs) - 1), array(named_struct('start', element_at(runs, -1).start, "
+        "'stop', greatest(s.stop, element_at(runs, -1).stop), 'words', element_at(runs, -1).words + s.words))) "
+        "ELSE concat(runs, array(s)) END)"
+    )
+    kept = F.filter(merged, lambda r: r["words"] >= min_words)
+    spans_only = F.transform(kept, lambda r: F.struct(r["start"].alias("start"), r["stop"].alias("stop")))
+    return listed.select(*KEY, spans_only.alias("_removed")).where("size(_removed) > 0")
 
 
 def without_repeats(
-    documents: DataFrame, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS,
+    documents: DataFrame, min_words: int = MIN_WORDS, seed_words: int = SEED_WORDS, long_words: int = LONG_WORDS,
     doc_id: str = "doc_id", text: str = "text", details: bool = False,
 ) -> DataFrame:
-    """The documents with repeated chunks taken out of their texts.
+    """The documents with repeated runs taken out of their texts.
 
     With `details` a column `removed` (array of start and stop, code points of the text as
     it was, in order) is added; a column of that name is replaced.
     """
-    drops = (
-        repeats(documents, min_words, long_words, doc_id, text)
-        .groupBy(F.col("doc_id").alias("r_id"), F.col("digest").alias("r_digest"))
-        .agg(F.sort_array(F.collect_list(F.struct("start", F.col("after").alias("stop")))).alias("_removed"))
-    )
-    joined = _keyed(documents, doc_id, text).join(drops, _same_document("", "r"), "left")
-    # What stays: between the end of one removed span and the start of the next.
+    drops = _runs(repeats(documents, seed_words, long_words, doc_id, text), min_words)
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
+    rows = documents.select(row, F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text"))
+    rows = rows.select("_row", "_text", *_key("_id"), text_digest(F.col("_text")).alias("digest"))
+    joined = rows.join(drops, list(KEY), "left")
+    # What stays: between the end of one removed run and the start of the next.
     kept = F.expr(
         "array_join(zip_with(array_insert(transform(_removed, r -> r.stop), 1, 0), "
         "array_append(transform(_removed, r -> r.start), length(_text)), "

@@ -10,7 +10,7 @@ from lintlake.llm import line_dedup, mixing, quality
 from lintlake.llm.queries import all_queries
 from lintlake.llm.shared import handed_over
 
-from .test_line_dedup import plain
+from .test_line_dedup import check_removed
 from .test_simhash import classes, plain_fingerprint
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -44,9 +44,10 @@ def test_quality_stage(spark, steps):
 
 def test_line_stage(steps):
     before = sorted((r.doc_id, r.text) for r in steps[1].collect())
-    want = plain(before)
-    assert {r.doc_id: r.text for r in steps[2].collect()} == {i: want[i, t] for i, t in before}
-    assert line_dedup.repeats(steps[1]).count() > 0
+    found = {r.doc_id: r for r in line_dedup.without_repeats(steps[1], details=True).collect()}
+    check_removed(before, found.values())
+    assert {r.doc_id: r.text for r in steps[2].collect()} == {i: r.text for i, r in found.items()}
+    assert any(r.removed for r in found.values())
 
 
 def test_simhash_stage(steps):
