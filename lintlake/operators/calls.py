@@ -163,12 +163,12 @@ def rank_for_profiles(
     top = (
         _all_pairs(wanted, files)
         if max_call_sites is None
-        else _top_pairs(wanted, files, max_call_sites)
+        else top_pairs(wanted, _filed(wanted, files), max_call_sites)
     )
     return _attach_context(top, sources, context_window) if with_context else top
 
 
-def _relevant_stems(files: DataFrame, wanted: DataFrame) -> DataFrame:
+def relevant_stems(files: DataFrame, wanted: DataFrame) -> DataFrame:
     """(file, stems): header stems of wanted profiles the file includes.
 
     The list of a file is bounded by its own include block.
@@ -189,12 +189,16 @@ BUCKET = ("name", "scope", "area", "bucket_stem")
 def _filed(wanted: DataFrame, files: DataFrame) -> DataFrame:
     """Call lines of wanted names, one row per bucket they are filed into."""
     no_stems = F.array().cast("array<string>")
-    located = files.join(_relevant_stems(files, wanted), "file", "left").select(
+    located = files.join(relevant_stems(files, wanted), "file", "left").select(
         "file", "calls", F.coalesce("stems", no_stems).alias("stems")
     )
-    tokens = _scoped(_tokens(located, wanted.select("name").distinct()))
+    return in_buckets(_tokens(located, wanted.select("name").distinct()))
+
+
+def in_buckets(tokens: DataFrame) -> DataFrame:
+    """Call lines (name, file, line, code, stems), one row per bucket."""
     return (
-        tokens.select(
+        _scoped(tokens).select(
             "*",
             F.explode(_areas(tx.top_module(F.col("file")), tx.dir_name(F.col("file")))).alias(
                 "area"
@@ -262,8 +266,8 @@ def count_call_sites(anchors: DataFrame, sources: DataFrame) -> DataFrame:
     return counted.select(*PROFILE, F.inline(F.array(*by_score))).where("n > 0")
 
 
-def _top_pairs(wanted: DataFrame, files: DataFrame, limit: int) -> DataFrame:
-    filed, key = _filed(wanted, files), list(BUCKET)
+def top_pairs(wanted: DataFrame, filed: DataFrame, limit: int) -> DataFrame:
+    key = list(BUCKET)
     in_order = Window.partitionBy(*key).orderBy("file", "line")
     heads = (
         filed.withColumn("_n", F.row_number().over(in_order))
