@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lintlake.functions.markup import advice_parts
@@ -98,14 +98,41 @@ def attach_advice(
     )
 
 
-def run_counters(read: DataFrame, in_window: Column, written: DataFrame) -> DataFrame:
-    """One row: read, filtered (`in_window` holds), processed, written, errors."""
-    seen = read.agg(F.struct(F.count("*").alias("n"), F.count_if(in_window).alias("m"))).scalar()
-    done = written.agg(
+def _done() -> list[Column]:
+    return [
         F.count_if(F.col("advice_status") != "prompt_error").alias("processed"),
         F.count("*").alias("written"),
         F.count_if(F.col("advice_status") != "ok").alias("errors"),
-    )
+    ]
+
+
+class RunCounters:
+    """Counts a run while it is written: `get` after the write has the five counters.
+
+    The counts come from the pass that writes (`DataFrame.observe`), so nothing runs twice.
+    """
+
+    def __init__(self) -> None:
+        self._read, self._done = Observation(), Observation()
+
+    def reading(self, records: DataFrame, in_window: Column) -> DataFrame:
+        return records.observe(self._read, F.count("*").alias("read"), F.count_if(in_window).alias("filtered"))
+
+    def writing(self, advised: DataFrame) -> DataFrame:
+        return advised.observe(self._done, *_done())
+
+    def get(self) -> dict[str, int]:
+        return {**self._read.get, **self._done.get}
+
+
+def run_counters(read: DataFrame, in_window: Column, written: DataFrame) -> DataFrame:
+    """One row: read, filtered (`in_window` holds), processed, written, errors.
+
+    For a run that is not written, such as a view; it computes the run once more. Where a
+    run is written, `RunCounters` counts in the same pass.
+    """
+    seen = read.agg(F.struct(F.count("*").alias("n"), F.count_if(in_window).alias("m"))).scalar()
+    done = written.agg(*_done())
     return done.select(
         seen["n"].alias("read"),
         seen["m"].alias("filtered"),

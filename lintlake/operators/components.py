@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lintlake.functions.text import name_extension, top_module
 from lintlake.operators.issues import best_row
+from lintlake.sources.sinks import write_csv, write_jsonl
 
 # Folders of build products left out of the index.
 DEFAULT_EXCLUDES = (
@@ -79,6 +80,14 @@ def all_paths(index: DataFrame) -> DataFrame:
     return index.select("rel_path").where("rel_path <> ''")
 
 
+def save_index(index: DataFrame, jsonl_path: str | None = None, csv_path: str | None = None) -> None:
+    """The index as JSON lines, as CSV, or both."""
+    if jsonl_path:
+        write_jsonl(index, jsonl_path)
+    if csv_path:
+        write_csv(index, csv_path)
+
+
 def page_counters(pages: DataFrame) -> DataFrame:
     """Landed pages (page_no, issues, paging) → pages, issues, size of the last, reported total."""
     n = F.coalesce(F.size("issues"), F.lit(0))

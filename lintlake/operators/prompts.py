@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lintlake.functions import render as rd
 
@@ -18,6 +19,40 @@ def block_prompts(bugs: DataFrame, template: str, out: str = "user_prompt") -> D
     return bugs.withColumn(out, rd.render(template, rd.bug_values()))
 
 
+# Where a bug's own list of call sites may stand, and what a prompt shows of a site.
+OWN_LISTS = ("call_sites", "callsites", "callsite_blocks")
+SITE_FIELDS = {
+    "file": "string", "line": "long", "code": "string", "context_start": "long", "context_end": "long", "context": "string",
+    "includes": "array<string>", "includes_bug_header": "boolean", "same_dir": "boolean", "same_top_module": "boolean", "score": "long",
+}
+
+
+def _sites(sites: Column, kind: T.DataType) -> Column:
+    """A list of call sites with all fields of SITE_FIELDS; those it does not have are null."""
+    known = kind.elementType.names if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType) else []
+    if not known:
+        return F.lit(None)
+    one = lambda s: F.struct(
+        *[(s[f] if f in known else F.lit(None)).cast(t).alias(f) for f, t in SITE_FIELDS.items()]
+    )
+    return F.when(F.size(sites) > 0, F.transform(sites, one))
+
+
+def _site_list(bugs: DataFrame) -> tuple[Column, Column]:
+    """(call sites, signature): the first list of the bug's own that is not empty, else those of
+    the first anchor that has some. A list of the bug's own names no signature."""
+    own = [_sites(F.col(c), bugs.schema[c].dataType) for c in OWN_LISTS if c in bugs.columns]
+    kind = f"array<struct<{','.join(f'{f}:{t}' for f, t in SITE_FIELDS.items())}>>"
+    first = F.coalesce(*own, F.lit(None).cast(kind))
+    if "anchors" not in bugs.columns:
+        return first, F.lit("")
+    anchors = bugs.schema["anchors"].dataType.elementType
+    anchor = F.get(F.filter("anchors", lambda a: F.size(a["call_sites"]) > 0), F.lit(0))
+    signature = F.coalesce(F.nullif(anchor["signature"], F.lit("")), anchor["name"], F.lit(""))
+    sites = F.coalesce(first, _sites(anchor["call_sites"], anchors["call_sites"].dataType))
+    return sites, F.when(first.isNull() & anchor.isNotNull(), signature).otherwise(F.lit(""))
+
+
 def callsite_prompts(
     bugs: DataFrame,
     template: str,
@@ -27,23 +62,19 @@ def callsite_prompts(
     min_callsites: int = rd.MIN_CALL_SITES,
     step: int = rd.CALL_SITE_STEP,
 ) -> DataFrame:
-    """Bugs with blocks and anchors → prompt text within a size budget.
+    """Bugs with blocks and call sites → prompt text within a size budget.
 
+    Call sites are the bug's own (`OWN_LISTS`), else those of its anchors.
     The largest call-site limit whose prompt fits is taken; if none fits, the smallest is
     used with context and code cut. The length of a prompt is the length of its fixed
     parts plus that of the section, so the candidates are measured without being rendered
     and only the chosen one is built. `callsite_limit` reports the choice.
     """
     limits = rd.call_site_limits(max_callsites, min_callsites, step)
-    with_sites = F.filter("anchors", lambda a: F.size(a["call_sites"]) > 0)
-    anchor = F.get(with_sites, F.lit(0))
-    signature = F.coalesce(
-        F.nullif(anchor["signature"], F.lit("")), anchor["name"], F.lit("")
-    )
+    sites, signature = _site_list(bugs)
     prepared = (
-        bugs.withColumn("_a", anchor)
-        .withColumn("_sig", F.when(F.col("_a").isNotNull(), signature).otherwise(F.lit("")))
-        .withColumn("_texts", rd.call_site_texts(F.col("_a.call_sites"), F.col("_sig")))
+        bugs.withColumns({"_a": sites, "_sig": signature})
+        .withColumn("_texts", rd.call_site_texts(F.col("_a"), F.col("_sig")))
         .withColumn("_ctx", rd.context_block(F.col("blocks")))
     )
     values = rd.bug_values() | {"context_block": F.col("_ctx")}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lintlake.operators import advice as adv
@@ -96,30 +96,21 @@ def choose_issues(
     )
 
 
-def advice_run(
+def _advised(
     records: DataFrame,
     template: str,
     replies: DataFrame,
-    level: str = "issue",
-    model: str = "",
+    level: str,
+    model: str,
+    window: Column,
     stop_after: int | None = None,
-    since: object = None,
-    until: object = None,
     date_on: str = "creation",
     primary: str = "severity",
     secondary: str | None = "time",
     recent_first: bool = True,
     ties: Sequence[str] = (),
     rank_before_process: bool = True,
-) -> tuple[DataFrame, DataFrame]:
-    """(advised records, one-row counters) of one run at a context depth.
-
-    Rows are taken until `stop_after` of them have a prompt; rows whose prompt cannot be
-    built are written with their error and do not count. `ties` names ascending columns of
-    the input's order; by default the landed place, where the records have it, else the
-    issue key. Without `rank_before_process` that order alone decides.
-    """
-    window = issues.in_window(since, until, date_on)
+) -> DataFrame:
     place = [c for c in ("file", "line_no", "pos") if c in records.columns]
     ties = list(ties) or place or ["issue_key"]
     chosen = records.where(window)
@@ -132,10 +123,51 @@ def advice_run(
         keyed = built.withColumns({name: value for name, (value, _) in ranks.items()})
         done = F.col("prompt_error").isNull()
         built = adv.until_processed(keyed, stop_after, order, done).drop(*ranks)
-    written = adv.attach_advice(built, replies, level, model, "prompt_error")
+    return adv.attach_advice(built, replies, level, model, "prompt_error")
+
+
+def advice_run(
+    records: DataFrame,
+    template: str,
+    replies: DataFrame,
+    level: str = "issue",
+    model: str = "",
+    since: object = None,
+    until: object = None,
+    **choice,
+) -> tuple[DataFrame, DataFrame]:
+    """(advised records, one-row counters) of one run at a context depth.
+
+    Rows are taken until `stop_after` of them have a prompt; rows whose prompt cannot be
+    built are written with their error and do not count. `ties` names ascending columns of
+    the input's order; by default the landed place, where the records have it, else the
+    issue key. Without `rank_before_process` that order alone decides. The rank goes by
+    `primary`, `secondary`, `recent_first` and `date_on` as in `choose_issues`.
+    """
+    window = issues.in_window(since, until, choice.get("date_on", "creation"))
+    written = _advised(records, template, replies, level, model, window, **choice)
     return written, adv.run_counters(records, window, written)
 
 
+def write_advice_run(
+    records: DataFrame,
+    template: str,
+    replies: DataFrame,
+    write: Callable[[DataFrame], None],
+    level: str = "issue",
+    model: str = "",
+    since: object = None,
+    until: object = None,
+    **choice,
+) -> dict[str, int]:
+    """`advice_run`, handed to `write`, which must write it once; the counters of that very pass."""
+    window = issues.in_window(since, until, choice.get("date_on", "creation"))
+    counters = adv.RunCounters()
+    seen = counters.reading(records, window)
+    write(counters.writing(_advised(seen, template, replies, level, model, window, **choice)))
+    return counters.get()
+
+
 def export_csv(
     spark: SparkSession, jsonl_path: str, csv_path: str, schema: str | None = None, **shape
 ) -> DataFrame:
@@ -173,16 +205,19 @@ def landed_blocks(spark: SparkSession, path: str, sources: DataFrame, out_path:
 def landed_advice(
     spark: SparkSession, path: str, template: str, replies: DataFrame, out_path: str, level: str = "block",
     format: str = "auto", **choice,
-) -> DataFrame:
+) -> dict[str, int]:
     """Landed bugs with their context → JSON lines, each as it came with its advice, without `blocks`.
 
     Returns the counters of the run.
     """
     schema = f"{BUG_SCHEMA}, blocks array<{BLOCK}>, creation_date string, update_date string"
     records = jsonl.read_records(spark, path, schema, format, REST)
-    written, counters = advice_run(records, template, replies, level, **choice)
-    sinks.write_verbatim(written, out_path, REST, [adv.ADVICE_COLUMN[level]], ["blocks", "user_prompt", "advice_status"])
-    return counters
+    gone = ["blocks", "user_prompt", "advice_status"]
+
+    def write(advised: DataFrame) -> None:
+        sinks.write_verbatim(advised, out_path, REST, [adv.ADVICE_COLUMN[level]], gone)
+
+    return write_advice_run(records, template, replies, write, level, **choice)
 
 
 def bi_tables(measures: DataFrame, gate: DataFrame, issue_docs: DataFrame) -> dict[str, DataFrame]:

@@ -6,10 +6,13 @@ recursive query, call sites by a plain join of names and lines, and so on.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from lintlake.functions import render as rd
 from lintlake.functions.text import LANGUAGE_BY_SUFFIX, TRUNCATION_MARK, WHITESPACE
 from lintlake.operators.kpi import KPI_THRESHOLDS
 from lintlake.plans import views
+from lintlake.schemas import MEASURE_COLUMNS, QUALITY_COLUMNS, SEVERE_ISSUE_COLUMNS
 
 WS = "'" + WHITESPACE + "'"
 WORD = r"[\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]"
@@ -471,6 +474,7 @@ sites AS MATERIALIZED (SELECT r.*, greatest(1, line - 6)::int AS context_start,
 SQL["call_sites"] = f"""
 {_DEEP}, {CALLS} SELECT name, class_name, def_dir, stem, file, line, code, includes_bug_header, same_dir,
   same_top_module, score, rank, context_start, context_end, context, includes FROM sites"""
+SQL["indexed_call_sites"] = SQL["call_sites"]
 SQL["all_call_sites"] = f"""
 {_DEEP}, {CALLS} SELECT name, class_name, score, count(*) AS n FROM ranked GROUP BY ALL"""
 
@@ -715,6 +719,35 @@ SELECT {_THROUGH}, {_keys(_END, _ERROR, "'bug_block_advice'")}, CASE WHEN issue_
   CASE WHEN issue_key NOT LIKE '%7' THEN concat('Explain ', issue_key) END AS explanation,
   CASE WHEN issue_key NOT LIKE '%7' THEN concat('```c', {NL}, 'x;', {NL}, '```') END AS code_update
 FROM bugs JOIN failed USING (issue_key)"""
+SQL["advice_run_written"] = f"SELECT *, written AS landed FROM ({SQL['advice_run_counters']})"
+SQL["publish_changes"] = f"""
+WITH {ISSUES}
+SELECT issue_key, CASE WHEN seq % 5 <> 0 THEN severity END AS severity, CASE WHEN seq % 5 <> 0 THEN status END AS status,
+  CASE WHEN seq % 5 <> 0 THEN effort END AS effort,
+  CASE WHEN seq % 3 = 0 THEN 'new' WHEN seq % 5 = 0 THEN 'removed' ELSE 'changed' END AS change FROM issues
+WHERE (seq % 3 = 0 AND seq % 5 <> 0) OR (seq % 3 <> 0 AND (seq % 5 = 0 OR seq % 7 = 0))"""
+
+
+def _counted(name: str, rows: str, columns: Sequence[str]) -> str:
+    return f"SELECT '{name}' AS name, count(*) AS n, '{','.join(sorted(columns))}' AS columns FROM ({rows})"
+
+
+SQL["written_tables"] = " UNION ALL ".join((
+    _counted("measures", SQL["measures_long"], MEASURE_COLUMNS),
+    _counted("quality_gate", SQL["quality_conditions"], QUALITY_COLUMNS),
+    _counted("severe_issues", "SELECT 1 FROM orders WHERE o_orderkey % 50 <> 49", SEVERE_ISSUE_COLUMNS),
+    _counted("measures_audit", SQL["project_kpi_audit"], ("project_key", "metric", "value", "op", "threshold", "status", "reason")),
+    _counted("gate_audit", SQL["gate_audit"], (
+        "project_key", "gate_status", "metric_key", "condition_status", "comparator", "error_threshold", "actual_value",
+        "kpi_status", "reason")),
+))
+SQL["project_texts"] = f"SELECT project, text || {NL} AS text FROM ({SQL['kpi_audit_texts']})"
+SQL["json_document"] = SQL["project_facet"]
+SQL["tolerant_lines"] = f"""
+SELECT CASE WHEN {_ODD} THEN concat('E', event_id) END AS issue_key, CASE WHEN NOT {_ODD} THEN event_id END AS first
+FROM events WHERE {_ODD} OR event_id % 2 = 1"""
+SQL["saved_index"] = f"""
+SELECT component_key, rel_path, name, language, module, ext, saved_as FROM ({SQL['component_index']}), (VALUES ('jsonl'), ('csv')) AS v(saved_as)"""
 
 
 def all_sql() -> dict[str, str]:

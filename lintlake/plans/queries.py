@@ -12,6 +12,7 @@ from lintlake.functions import render as rd
 from lintlake.functions import text as tx
 from lintlake.operators import advice as adv
 from lintlake.operators import (
+    call_index,
     calls,
     components,
     context,
@@ -536,6 +537,21 @@ def call_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def indexed_call_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a kept index: built over older sources, brought up to date, searched without a source."""
+    folder = _landing(spark, "calls")
+    sources = views.source_files(spark, sf_dir)
+    place = F.pmod(F.crc32("file_path"), F.lit(4))
+    older = sources.where(place != 1).withColumn("text", F.when(place == 2, F.concat(F.lit("old(1);\n"), "text")).otherwise(F.col("text")))
+    gone = sources.limit(1).select(F.lit("gone/file.cpp").alias("file_path"), F.lit("fn1(x);\nfn2(x);").alias("text"))
+    call_index.update(older.unionByName(gone), folder)
+    call_index.update(sources, folder)
+    anchors = _anchored(spark, sf_dir).where("anchor is not null").select("anchor.*")
+    found = call_index.rank_call_sites(staging.cut_lineage(calls.profiles(anchors)), folder)
+    return found.withColumn("includes", F.array_join("includes", "\n"))
+
+
 @query
 def all_call_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every call site, without a limit, counted per function and score."""
@@ -663,8 +679,8 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adv.run_counters(found, issues.in_window(since="1996-01-01"), _advised(spark, sf_dir))
 
 
-def _run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A run over all issues since 1996 that stops at 500 prompts; some keys have two replies."""
+def _run_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All issues, and replies; some keys have two."""
     found = views.issues(spark, sf_dir).selectExpr(
         "*", "component AS file_path", "start_line AS end_line", "rule AS code_snippet"
     )
@@ -672,8 +688,14 @@ def _run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         "issue_key", "'m-2' AS model", "'2024-01-02' AS run_ts", "concat('Explain ', seq, ' ```\\nfix\\n```') AS raw"
     )
     older = replies.where("crc32(issue_key) % 2 = 0").withColumns({"run_ts": F.lit("2024-01-01"), "raw": F.lit("old")})
+    return found, replies.unionByName(older)
+
+
+def _run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A run over all issues since 1996 that stops at 500 prompts."""
+    records, replies = _run_inputs(spark, sf_dir)
     return chains.advice_run(
-        found, ISSUE_TEMPLATE, replies.unionByName(older), "issue", "m-1", stop_after=500, since="1996-01-01", ties=("seq",)
+        records, ISSUE_TEMPLATE, replies, "issue", "m-1", since="1996-01-01", stop_after=500, ties=("seq",)
     )
 
 
@@ -691,6 +713,19 @@ def advice_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir)[1]
 
 
+@query
+def advice_run_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run written as JSON lines, counted by the pass that writes it; `landed` rows are read back."""
+    path = _landing(spark, "advice")
+    records, replies = _run_inputs(spark, sf_dir)
+    counters = chains.write_advice_run(
+        records, ISSUE_TEMPLATE, replies, lambda advised: sinks.write_jsonl(advised, path), "issue", "m-1",
+        since="1996-01-01", stop_after=500, ties=("seq",),
+    )
+    landed = jsonl.read_jsonl(spark, path).count()
+    return spark.range(1).select(*[F.lit(n).alias(c) for c, n in {**counters, "landed": landed}.items()])
+
+
 # --- text and export ------------------------------------------------------------------------
 
 
@@ -882,3 +917,78 @@ def verbatim_advice(spark: SparkSession, sf_dir: str) -> DataFrame:
     chains.landed_advice(spark, path, BLOCK_TEMPLATE, replies, out, "block", "jsonl")
     advice = lambda p: F.expr(f"try_variant_get(record, '$.bug_block_advice.{p}', 'string')").alias(p)
     return _passed_through(jsonl.read_jsonl(spark, out), *[advice(p) for p in ("model", "explanation", "code_update")])
+
+
+@query
+def publish_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two publishes of the issues: what the second hands out, with tombstones of what is gone."""
+    folder, columns = _landing(spark, "published"), ["severity", "status", "effort"]
+    all_issues = views.issues(spark, sf_dir)
+    before = all_issues.where("seq % 3 <> 0").withColumn("status", F.expr("CASE WHEN seq % 7 = 0 THEN 'REOPENED' ELSE status END"))
+    sinks.publish(before, folder, ["issue_key"], columns)
+    version = sinks.publish(all_issues.where("seq % 5 <> 0"), folder, ["issue_key"], columns)
+    return sinks.read_changes(spark, folder, version)
+
+
+@query
+def written_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BI tables and KPI audits of the project documents as CSV, an empty one left out: rows and columns read back."""
+    measures, gate = _measure_documents(spark, sf_dir), _gate_documents(spark, sf_dir)
+    pages = jsonl.landed_pages(landed_lines(spark, sf_dir)).withColumn("project", F.concat(F.lit("page"), "page_no"))
+    documents = measures, gate, pages.where("issues is not null")
+    audits = chains.kpi_audits(*documents)
+    tables = chains.bi_tables(*documents) | {n: audits[n] for n in ("measures_audit", "gate_audit")}
+    tables["nothing"] = tables["measures"].where("project_key is null and metric = 'none'")
+    written = sinks.write_tables(tables, _landing(spark, "tables"))
+    found = None
+    for name, path in sorted(written.items()):
+        table = files.read_csv(spark, path)
+        one = table.agg(F.count("*").alias("n")).select(
+            F.lit(name).alias("name"), "n", F.lit(",".join(sorted(table.columns))).alias("columns")
+        )
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@query
+def project_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit texts written to a folder per project and read back as whole files, in project order."""
+    path = _landing(spark, "texts")
+    sinks.write_project_texts(kpi.audit_texts(kpi.kpi_audit(views.measures(spark, sf_dir))), path)
+    back = files.read_texts(spark, f"{path}/*")
+    return back.select(F.regexp_extract("file", "project=([^/]+)/", 1).alias("project"), "text").orderBy("project")
+
+
+@query
+def json_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A summary written as one JSON document with an envelope, read back as a document."""
+    path = _landing(spark, "document")
+    counts = kpi.project_facet(views.issues(spark, sf_dir))
+    sinks.write_summary_json(counts, path, "results")
+    kinds = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in counts.schema.fields)
+    back = files.read_json_document(spark, path, f"results array<struct<{kinds}>>")
+    return back.select(F.explode("results").alias("r")).select("r.*")
+
+
+@query
+def tolerant_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines with broken ones between them: the well-formed ones, whatever they hold."""
+    path = _landing(spark, "tolerant")
+    views.odd_records(spark, sf_dir).write.text(path)
+    kept = jsonl.read_jsonl(spark, path)
+    return kept.select(
+        F.expr("try_variant_get(record, '$.issue_key', 'string')").alias("issue_key"),
+        F.expr("try_variant_get(record, '$[0]', 'long')").alias("first"),
+    )
+
+
+@query
+def saved_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component index saved as JSON lines and as CSV, both read back."""
+    path = _landing(spark, "index")
+    index = component_index(spark, sf_dir)
+    components.save_index(index, f"{path}/jsonl", f"{path}/csv")
+    schema = ", ".join(f"{c} {t}" for c, t in index.dtypes)
+    lines = spark.read.schema(schema).json(f"{path}/jsonl").withColumn("saved_as", F.lit("jsonl"))
+    table = files.read_csv(spark, f"{path}/csv", schema).withColumn("saved_as", F.lit("csv"))
+    return lines.unionByName(table).fillna("")

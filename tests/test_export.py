@@ -124,6 +124,28 @@ def test_callsite_prompt_budget(spark):
     assert "// CALLSITE #20\n// File: a/g.cpp\n" in full and "// same_dir: True" in full
 
 
+def test_own_call_sites_come_first(spark):
+    site = "struct<file:string,line:int,code:string>"
+    rows = [
+        ("own", [("own.cpp", 1, "f(1);")], None, [("f", "int f()", [("a.cpp", 9, "f(9);")])]),
+        ("second", [], [("two.cpp", 2, "f(2);")], [("f", "int f()", [("a.cpp", 9, "f(9);")])]),
+        ("anchor", None, [], [("f", "", []), ("f", "", [("a.cpp", 9, "f(9);")])]),
+        ("none", [], None, []),
+    ]
+    bugs = spark.createDataFrame(
+        rows, f"issue_key string, call_sites array<{site}>, callsite_blocks array<{site}>, "
+        f"anchors array<struct<name:string,signature:string,call_sites:array<{site}>>>"
+    ).selectExpr("*", "'MAJOR' AS severity", "'BUG' AS type", "'r' AS rule", "'m' AS message", "'f' AS file_path", "1 AS start_line",
+                 "1 AS end_line", "'c' AS code_snippet", "CAST(NULL AS array<struct<level:int,indent:int,start:int,end:int,code:string>>) AS blocks")
+    got = {r["issue_key"]: r["user_prompt"] for r in prompts.callsite_prompts(bugs, "{call_sites_section}").collect()}
+    assert "// File: own.cpp" in got["own"] and "signature" not in got["own"] and "a.cpp" not in got["own"]
+    assert "// File: two.cpp" in got["second"] and "signature" not in got["second"]
+    assert "// File: a.cpp" in got["anchor"] and "// Suspected callee signature: f" in got["anchor"]
+    assert got["none"] == "// No call sites were discovered for this bug.\n"
+    without = prompts.callsite_prompts(bugs.drop("anchors"), "{call_sites_section}")
+    assert {r["issue_key"]: r["user_prompt"] for r in without.collect()}["anchor"] == got["none"]
+
+
 def test_unknown_hole_marks_rows(spark):
     df = spark.createDataFrame([("A", "BUG")], "issue_key string, type string")
     out = chains.build_prompts(df, "{no_such_hole}", "issue").first()
