@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lintlake.llm.shared import arrow_map, handed_over, text_digest
+from lintlake.llm.shared import arrow_map, done_with, handed_over, text_digest
 
 #: A word ends a line with a chance of one in so many, a line ends a chunk likewise.
 WORD_DIVISOR = 3
@@ -266,6 +266,7 @@ def _met(chunks: DataFrame) -> DataFrame:
     # split the hash of a hot chunk in the joins.
     often = handed_over(chunks.groupBy("hash").count().where("count > 1").select("hash"), "repeated-hashes")
     met = handed_over(chunks.join(often, "hash"), "repeated-chunks")
+    done_with(chunks, often)
     place = F.struct(*KEY, "start")
     grouped = met.groupBy("hash").agg(
         F.min(F.struct(*KEY, "start", "prior", "next")).alias("f"), F.max(place).alias("last")
@@ -277,16 +278,20 @@ def _met(chunks: DataFrame) -> DataFrame:
         *met.columns, (place == first_place).alias("is_first"), differs("prior").alias("left"), differs("next").alias("right")
     )
     flagged = handed_over(flagged.drop("prior", "next"), "flagged-chunks")
+    done_with(met, first)
     copies = flagged.where("not is_first").drop("is_first")
     asked = copies.groupBy("hash").agg(F.bool_or("left").alias("left"), F.bool_or("right").alias("right"))
-    firsts = flagged.where("is_first").drop("is_first", "left", "right").join(handed_over(asked, "asked-sides"), "hash")
-    return copies.unionByName(firsts)
+    asked = handed_over(asked, "asked-sides")
+    firsts = flagged.where("is_first").drop("is_first", "left", "right").join(asked, "hash")
+    both = handed_over(copies.unionByName(firsts), "wanted-chunks")
+    done_with(flagged, asked)
+    return both
 
 
-def _spans(chunks: DataFrame) -> DataFrame:
+def _spans(met: DataFrame) -> DataFrame:
     """(KEY, spans): of every document the chunks of `_met`; rows that repeat a document list them once."""
     columns = ["start", "stop", "after", "words", "hash", "left", "right", "from_byte", "to_byte"]
-    return _met(chunks).groupBy(*KEY).agg(F.collect_set(F.struct(*columns)).alias("spans"))
+    return met.groupBy(*KEY).agg(F.collect_set(F.struct(*columns)).alias("spans"))
 
 
 _RUN = "known boolean, id0 long, digest long, start int, stop int, words int"
@@ -355,7 +360,8 @@ def repeats(
 ) -> DataFrame:
     """(KEY, start, stop, words): spans that repeat earlier text, extended, in no order; they may overlap."""
     keyed = chunk_table(documents, seed_words, long_words, doc_id, text).select("*", *_key()).drop("doc_id")
-    spans = _spans(handed_over(keyed, "chunks"))
+    met = _met(handed_over(keyed, "chunks"))
+    spans = _spans(met)
     # Bytes: a place in a text of characters is found by counting from its beginning.
     part = lambda a, z: f"substring(_bytes, {a} + 1, {z} - {a})"
     begins, ends = f"s.from_byte <= {REACH}", f"s.to_byte + {REACH} >= octet_length(_bytes)"
@@ -373,13 +379,17 @@ def repeats(
         )
     )
     bodies = handed_over(bodies, "bodies")
+    done_with(met)
     grouped = bodies.groupBy("hash", "body").agg(
         F.min(F.struct(*KEY, "start", "left", "right")).alias("f"), F.count("*").alias("copies")
     )
     first = handed_over(grouped.where("copies > 1").drop("copies"), "first-chunks")
     is_first = F.struct(*KEY, "start") == F.struct(*[F.col(f"f.{c}") for c in (*KEY, "start")])
     copies = bodies.join(first, ["hash", "body"]).where(~is_first)
-    return _extended(copies.select(*own, "left", "right", F.col("f.left").alias("f_left"), F.col("f.right").alias("f_right")))
+    copies = copies.select(*own, "left", "right", F.col("f.left").alias("f_left"), F.col("f.right").alias("f_right"))
+    found = handed_over(_extended(copies), "repeats")
+    done_with(bodies, first)
+    return found
 
 
 def _runs(spans: DataFrame, min_words: int) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -47,7 +48,26 @@ def handed_over(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[read] = path
+    return read
+
+
+#: Where the tables of `handed_over` lie, as long as they are in use.
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def done_with(*tables: DataFrame) -> None:
+    """Delete hand-over tables that no later step reads, and let go of finished shuffles.
+
+    Call it only when what was made of them is handed over itself. Spark removes the files
+    of a shuffle once the driver's collector finds its plan unused, so that is asked to run.
+    """
+    for table in tables:
+        spark, path = table.sparkSession, _PATHS.pop(table)
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+    tables[0].sparkSession._jvm.java.lang.System.gc()
 
 
 def small_batches(spark: SparkSession) -> None:
