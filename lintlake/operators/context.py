@@ -6,6 +6,8 @@ computed once per file; the only shuffle is the equi-join of issues and files on
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,128 +94,123 @@ def snippets(
 # --- nested blocks ---------------------------------------------------------
 
 
-#: Lines whose links are built in one inner fold, so that appending copies a short array.
-LINK_ROWS = 256
+#: Entries of a level of the index under one entry of the next.
+FAN = 16
+#: Levels of the index, enough for FAN ** LEVELS lines.
+LEVELS = 7
+_NO_INDENT = 2_147_483_647
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def nearest_lower(indents: Column) -> Column:
-    """For each line the position of the nearest line above with less indent, null if none.
+def indent_index(indents: Column) -> Column:
+    """Indents → array of levels: the indents, the least of every FAN of them, of every FAN of those, …
 
-    One pass with a monotonic stack: lines at least as indented as the present one are taken
-    off, so the stack never holds more lines than there are distinct indents. A blank line
-    (null) links to the nearest line above that is not blank.
+    Built once per file in one pass. A search for the nearest less indented line looks at a
+    few entries of each level, so it costs the logarithm of the file's length.
     """
-    stack_type, links_type = "array<struct<pos:int,ind:int>>", "array<int>"
-    no_links = F.array().cast(links_type)
-
-    def state(at: Column, stack: Column, links: Column) -> Column:
-        return F.struct(at.cast("int").alias("at"), stack.alias("stack"), links.alias("links"))
-
-    def line(acc: Column, ind: Column) -> Column:
-        def placed(lower: Column) -> Column:
-            top = F.get(lower, F.size(lower) - 1)["pos"]
-            mine = F.struct(acc["at"].alias("pos"), ind.alias("ind"))
-            stack = F.when(ind.isNull(), lower).otherwise(F.concat(lower, F.array(mine).cast(stack_type)))
-            return state(acc["at"] + 1, stack, F.concat(acc["links"], F.array(top).cast(links_type)))
-
-        lower = F.filter(acc["stack"], lambda s: ind.isNull() | (s["ind"] < ind))
-        return F.get(F.transform(F.array(lower), placed), F.lit(0))
-
-    def chunk(acc: Column, rows: Column) -> Column:
-        inner = F.aggregate(rows, state(acc["at"], acc["stack"], no_links), line)
-        return F.get(
-            F.transform(
-                F.array(inner),
-                lambda done: F.struct(
-                    done["at"].alias("at"), done["stack"].alias("stack"),
-                    F.concat(acc["links"], F.array(done["links"])).alias("links"),
-                ),
-            ),
-            F.lit(0),
-        )
 
-    n = F.size(indents)
-    rows = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((n - 1) / LINK_ROWS)).cast("int")),
-        lambda i: F.slice(indents, i * LINK_ROWS + 1, F.lit(LINK_ROWS)),
-    )
-    nothing = F.struct(
-        F.lit(0).alias("at"), F.array().cast(stack_type).alias("stack"), F.array().cast(f"array<{links_type}>").alias("links")
-    )
-    return F.aggregate(rows, nothing, chunk, lambda acc: F.flatten(acc["links"]))
+    def least(level: Column) -> Column:
+        last = F.greatest(F.lit(0), F.ceil(F.size(level) / FAN).cast("int") - 1)
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.array_min(F.slice(level, i * FAN + 1, F.lit(FAN))))
 
+    def build(levels: list[Column]) -> Column:
+        if len(levels) == LEVELS:
+            return F.array(*levels)
+        more = _let(least(levels[-1]), lambda level: build([*levels, level]))
+        return F.when(F.size(levels[-1]) <= FAN, F.array(*levels)).otherwise(more)
 
-def indent_links(indents: Column) -> Column:
-    """struct(up, down, depth): the nearest less indented line either way, and the number of distinct indents."""
-    last = F.size(indents) - 1
-    return F.struct(
-        nearest_lower(indents).alias("up"),
-        F.reverse(F.transform(nearest_lower(F.reverse(indents)), lambda x: last - x)).alias("down"),
-        F.size(F.array_distinct(indents)).alias("depth"),
-    )
+    return _let(F.transform(indents, lambda x: F.coalesce(x, F.lit(_NO_INDENT))), lambda level: build([level]))
 
 
-def _chain(indents: Column, links: Column, first: Column, below: Column, depth: Column) -> Column:
-    """Follow the links from line `first`; keep each line that is less indented than all before.
+def nearest_lower(index: Column, place: Column, bound: Column, up: bool) -> Column:
+    """Position of the nearest line above (below) position `place` with an indent below `bound`, or null.
 
-    Every link leads to a less indented line, so no more are followed than there are
-    distinct indents, whatever the length of the file.
+    Climbs from the entries beside `place` to those beside its group and so on, until a
+    group holds a lower indent, and goes down inside that group.
     """
-    kept_type = "array<struct<pos:int,ind:int>>"
+    nowhere = F.array().cast("array<int>")
 
-    def state(pos: Column, bound: Column, kept: Column) -> Column:
-        return F.struct(pos.alias("pos"), bound.alias("bound"), kept.alias("kept"))
+    def lower(level: Column, first: Column, last: Column) -> Column:
+        """The nearest of positions first … last of a level that is lower."""
+        at = F.when(first <= last, F.sequence(first, last)).otherwise(nowhere)
+        found = F.filter(at, lambda i: F.get(level, i) < bound)
+        return F.get(found, F.size(found) - 1) if up else F.get(found, F.lit(0))
 
-    def step(acc: Column, _: Column) -> Column:
-        ind, onward = F.get(indents, acc["pos"]), F.get(links, acc["pos"])
-        more = F.concat(acc["kept"], F.array(F.struct(acc["pos"].alias("pos"), ind.alias("ind"))).cast(kept_type))
-        return (
-            F.when(acc["pos"].isNull(), acc)
-            .when(ind < acc["bound"], state(onward, ind, more))
-            .otherwise(state(onward, acc["bound"], acc["kept"]))
-        )
+    def state(level: Column, at: Column, found: Column) -> Column:
+        return F.struct(level.cast("int").alias("level"), at.cast("int").alias("at"), found.cast("int").alias("found"))
 
-    start = state(first.cast("int"), below.cast("int"), F.array().cast(kept_type))
-    return F.aggregate(F.sequence(F.lit(0), depth + 1), start, step, lambda acc: acc["kept"])
+    def climb(acc: Column, entries: Column) -> Column:
+        group = F.floor(acc["at"] / FAN).cast("int")
+        if up:
+            found = lower(entries, group * FAN, acc["at"] - 1)
+        else:
+            found = lower(entries, acc["at"] + 1, F.least(group * FAN + FAN, F.size(entries)) - 1)
+        onward = _let(found, lambda x: state(
+            F.when(x.isNull(), acc["level"] + 1).otherwise(acc["level"]), F.when(x.isNull(), group).otherwise(acc["at"]), x
+        ))
+        return F.when(acc["found"].isNotNull(), acc).otherwise(onward)
 
+    def descend(at: Column, level: Column) -> Column:
+        entries = F.get(index, level)
+        return lower(entries, at * FAN, F.least(at * FAN + FAN, F.size(entries)) - 1)
 
-def _levels(first_indent: Column, up: Column, down: Column, n: Column) -> Column:
-    """Levels from the core outward: array of struct(indent, start, end), 0-based lines."""
-    start = F.struct(
-        first_indent.alias("indent"),
-        F.array().cast("array<struct<indent:int,start:int,end:int>>").alias("levels"),
-    )
+    def down(end: Column) -> Column:
+        levels = F.when(end["level"] > 0, F.sequence(end["level"] - 1, F.lit(0))).otherwise(nowhere)
+        return F.when(end["found"].isNotNull(), F.aggregate(levels, end["found"], descend))
+
+    reached = F.aggregate(index, state(F.lit(0), place, F.lit(None)), climb)
+    return F.when(place.isNotNull(), _let(reached, down))
+
+
+def _levels(index: Column, first_indent: Column, top: Column, bottom: Column, n: Column, depth: Column) -> Column:
+    """Levels from the core (positions top … bottom) outward: array of struct(indent, start, end).
+
+    A level of indent c reaches to the nearest less indented line on either side; the next c
+    is the smaller of those two indents. There are no more levels than distinct indents.
+    """
+    kept_type = "array<struct<indent:int,start:int,end:int>>"
+
+    def state(indent: Column, above: Column, below: Column, levels: Column) -> Column:
+        return F.struct(
+            indent.cast("int").alias("indent"), above.cast("int").alias("above"), below.cast("int").alias("below"),
+            levels.alias("levels"),
+        )
 
     def step(acc: Column, _: Column) -> Column:
-        above = F.get(F.filter(up, lambda x: x["ind"] < acc["indent"]), F.lit(0))
-        below = F.get(F.filter(down, lambda x: x["ind"] < acc["indent"]), F.lit(0))
-        level = F.struct(
-            acc["indent"].alias("indent"),
-            F.coalesce(above["pos"] + 1, F.lit(0)).alias("start"),
-            F.coalesce(below["pos"] - 1, n - 1).alias("end"),
+        def onward(near: Column) -> Column:
+            above, below = near["above"], near["below"]
+            level = F.struct(
+                acc["indent"].alias("indent"),
+                F.coalesce(above + 1, F.lit(0)).alias("start"),
+                F.coalesce(below - 1, n - 1).alias("end"),
+            )
+            indents = F.get(index, F.lit(0))
+            outer = F.least(F.get(indents, above), F.get(indents, below))
+            return state(outer, above, below, F.concat(acc["levels"], F.array(level).cast(kept_type)))
+
+        near = F.struct(
+            nearest_lower(index, acc["above"], acc["indent"], True).alias("above"),
+            nearest_lower(index, acc["below"], acc["indent"], False).alias("below"),
         )
-        return F.when(
-            acc["indent"].isNotNull(),
-            F.struct(
-                F.least(above["ind"], below["ind"]).alias("indent"),
-                F.concat(acc["levels"], F.array(level)).alias("levels"),
-            ),
-        ).otherwise(acc)
+        return F.when(acc["indent"].isNotNull(), _let(near, onward)).otherwise(acc)
 
-    rounds = F.sequence(F.lit(0), F.size(up) + F.size(down))
-    return F.aggregate(rounds, start, step, lambda acc: acc["levels"])
+    start = state(first_indent, top, bottom, F.array().cast(kept_type))
+    return F.aggregate(F.sequence(F.lit(0), depth), start, step, lambda acc: acc["levels"])
 
 
-def blocks(df: DataFrame, lines: str = "_lines", indents: str = "_indents", links: str = "_links") -> DataFrame:
+def blocks(df: DataFrame, lines: str = "_lines", indents: str = "_indents", index: str = "_index") -> DataFrame:
     """Add `blocks`: the core lines' block and every enclosing one, outermost last.
 
     `df` has start_line, end_line, the file's lines with their ends, the leading blanks of
-    each line (null for a blank line) and the file's `indent_links`. A block of indent c
+    each line (null for a blank line) and the file's `indent_index`. A block of indent c
     reaches up and down to the nearest less indented line; the next c is the smaller of
-    those two indents. Beyond its core a bug looks at the lines its links lead to, not at
-    the file.
+    those two indents. Beyond its core a bug asks the index, it does not walk the file.
     """
-    lines_, ind, link = F.col(lines), F.col(indents), F.col(links)
+    lines_, ind = F.col(lines), F.col(indents)
     n = F.size(lines_)
 
     def clamp(c: Column) -> Column:
@@ -225,16 +222,12 @@ def blocks(df: DataFrame, lines: str = "_lines", indents: str = "_indents", link
     first = F.coalesce(
         F.array_min(F.slice(ind, F.col("_cs") + 1, F.col("_ce") - F.col("_cs") + 1)), F.lit(0)
     )
-    above = F.when(F.col("_cs") > 0, F.col("_cs") - 1)
-    below = F.when(F.col("_ce") < n - 1, F.col("_ce") + 1)
     usable = (n > 0) & F.col("start_line").isNotNull()
-    walked = core.withColumn("_first", first).withColumns(
-        {
-            "_up": F.when(usable, _chain(ind, link["up"], above, F.col("_first"), link["depth"])),
-            "_down": F.when(usable, _chain(ind, link["down"], below, F.col("_first"), link["depth"])),
-        }
+    depth = F.size(F.array_distinct(ind))
+    walked = core.withColumn("_first", first).withColumn(
+        "_levels", F.when(usable, _levels(F.col(index), F.col("_first"), F.col("_cs"), F.col("_ce"), n, depth))
     )
-    levels = _levels(F.col("_first"), F.col("_up"), F.col("_down"), n)
+    levels = F.col("_levels")
     nested = F.transform(
         levels,
         lambda b, i: F.struct(
@@ -250,12 +243,12 @@ def blocks(df: DataFrame, lines: str = "_lines", indents: str = "_indents", link
     empty = F.array().cast(f"array<{BLOCK}>")
     return walked.withColumn(
         "blocks",
-        F.when(F.col("_up").isNotNull(), nested).when(n == 0, empty),
-    ).drop("_cs", "_ce", "_first", "_up", "_down")
+        F.when(levels.isNotNull(), nested).when(n == 0, empty),
+    ).drop("_cs", "_ce", "_first", "_levels")
 
 
 def file_features(sources: DataFrame) -> DataFrame:
-    """Per file: lines with ends, leading blanks per line and their links, header lines, include block."""
+    """Per file: lines with ends, leading blanks per line and their index, header lines, include block."""
     lined = sources.select("file_path", tx.split_lines(F.col("text")).alias("_lines"))
     indents = F.transform("_lines", lambda t: F.when(~tx.is_blank(t), tx.indent_spaces(t)))
     bare = lined.withColumns({"_bare": tx.bare_lines(F.col("_lines")), "_indents": indents})
@@ -263,7 +256,7 @@ def file_features(sources: DataFrame) -> DataFrame:
         "file_path",
         "_lines",
         "_indents",
-        indent_links(F.col("_indents")).alias("_links"),
+        indent_index(F.col("_indents")).alias("_index"),
         code.headers(F.col("_bare")).alias("_headers"),
         code.include_block(F.col("_bare")).alias("_includes"),
     )
@@ -287,7 +280,7 @@ def bug_blocks(bugs: DataFrame, sources: DataFrame, keep_file: bool = False) ->
             F.when(F.col("start_line").isNull(), F.lit("missing_start_line")),
         ),
     )
-    return out if keep_file else out.drop("_lines", "_indents", "_links", "_headers", "_includes")
+    return out if keep_file else out.drop("_lines", "_indents", "_index", "_headers", "_includes")
 
 
 # --- enclosing function ----------------------------------------------------
@@ -358,5 +351,5 @@ def enclosing_function(
     return found.withColumn(
         "anchor", F.when(F.col("_h").isNotNull() & has_blocks, anchor)
     ).withColumn("error", F.coalesce(error, "error")).drop(
-        "_h", "_bi", "_bottom", "_top", "_lines", "_indents", "_links", "_headers", "_includes"
+        "_h", "_bi", "_bottom", "_top", "_lines", "_indents", "_index", "_headers", "_includes"
     )

@@ -155,19 +155,23 @@ def test_edges(spark):
     assert heads == [("a.cpp", "class", "A", 2, 3), ("a.cpp", "function", "f", 4, 7)]
 
 
-def test_links_reach_the_nearest_less_indented_line(spark):
+def test_index_finds_the_nearest_less_indented_line(spark):
     rng = random.Random(8)
     cases = [[], [None], [None, None], [0], [4, None, 2]]
-    cases += [[rng.choice([None, 0, 2, 2, 4, 8, 9]) for _ in range(rng.randint(1, 60))] for _ in range(60)]
-    cases += [[rng.choice([None, 0, 1, 2, 3]) for _ in range(n)] for n in (255, 256, 257, 700)]
-    rows = spark.createDataFrame(list(enumerate(cases)), "i int, ind array<int>")
-    got = {r["i"]: r["l"] for r in rows.select("i", context.indent_links(F.col("ind")).alias("l")).collect()}
-
-    def nearest(ind, order, i):
-        return next((j for j in order if ind[j] is not None and (ind[i] is None or ind[j] < ind[i])), None)
-
+    cases += [[rng.choice([None, 0, 2, 2, 4, 8, 9]) for _ in range(rng.randint(1, 60))] for _ in range(40)]
+    cases += [[rng.choice([None, 4, 5, 6, 7, 7, 7, 7, 7]) for _ in range(n)] for n in (15, 16, 17, 255, 256, 257, 700, 5000)]
+    cases += [[3] + [9] * 4500 + [1]]
+    rows, want = [], {}
     for i, ind in enumerate(cases):
-        n = len(ind)
-        assert got[i]["up"] == [nearest(ind, range(k - 1, -1, -1), k) for k in range(n)], ind
-        assert got[i]["down"] == [nearest(ind, range(k + 1, n), k) for k in range(n)], ind
-        assert got[i]["depth"] == len(set(ind))
+        for q in range(12):
+            at, bound = rng.randrange(max(len(ind), 1)), rng.choice([0, 1, 3, 5, 6, 9, 10])
+            rows.append((i, q, ind, at, bound))
+            low = [j for j, x in enumerate(ind) if x is not None and x < bound]
+            want[i, q] = (max([j for j in low if j < at], default=None), min([j for j in low if j > at], default=None))
+    df = spark.createDataFrame(rows, "i int, q int, ind array<int>, at int, bound int").repartition(8)
+    index = df.withColumn("x", context.indent_index(F.col("ind")))
+    near = [context.nearest_lower(F.col("x"), F.col("at"), F.col("bound"), up).alias(n) for n, up in (("up", True), ("down", False))]
+    got = {(r.i, r.q): (r.up, r.down) for r in index.select("i", "q", *near).collect()}
+    assert got == want
+    depths = {r.i: r.n for r in index.select("i", F.size("x").alias("n")).distinct().collect()}
+    assert depths[3] == 1 and depths[len(cases) - 1] == 4
