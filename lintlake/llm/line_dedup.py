@@ -7,8 +7,8 @@ Method
     is divisible by `DIVISOR`. So a boundary depends on the content before it alone and finds
     itself again behind an insertion, also where a passage begins and ends in the middle of a
     sentence. A physical line of `long_words` words or more also begins and ends a chunk.
-    Chunks of at least two lines and `SEED_WORDS` words, and long lines, are looked for in all
-    documents. A chunk that is equal byte for byte to an earlier one (smallest id, then
+    A smaller chunk joins the one before it. Chunks of at least two lines and `SEED_WORDS`
+    words, and long lines, are looked for in all documents. A chunk that is equal byte for byte to an earlier one (smallest id, then
     position) is a seed. It is extended over whole words to both sides for as long as the two
     texts agree; chunks behind one another and their extensions make a run. Runs of `min_words` words or more go, with the white space behind them.
     Whatever goes is equal to text at an earlier place, so its first occurrence stays.
@@ -183,6 +183,10 @@ def _chunks_of(texts: list[bytes], seed_words: int, long_words: int) -> Chunks:
     ends |= since % MAX_LINES == MAX_LINES - 1
     to = np.flatnonzero(ends)
     at = np.concatenate(([0], to[:-1] + 1))
+    # What is too small to be looked for belongs to the chunk before it, if no edge is between.
+    big = last[to] - first[at] + 1 >= np.where(to > at, seed_words, long_words)
+    heads = np.flatnonzero(big | np.append(True, edge[to[:-1]]))
+    to, at = np.append(to[heads[1:] - 1], to[-1]), at[heads]
     words = last[to] - first[at] + 1
     own, c_start, c_stop = text[at], start[at], stop[to]
     follows = np.append(own[1:] == own[:-1], False)

@@ -32,10 +32,17 @@ cells AS (SELECT {keys}, sum(tokens)::DOUBLE AS t FROM classed GROUP BY ALL HAVI
     joins, last = "", "w0"
     for axis in mixing.AXES:
         steps.append(f"{axis}_raw(n, s) AS (VALUES {shares(axis)})")
+        # What has no target but tokens (null and unlisted names) keeps its share of the corpus.
+        steps.append(f"{axis}_held AS (SELECT {axis}_class AS n, sum(t) / (SELECT sum(t) FROM cells) AS h FROM cells GROUP BY 1)")
         steps.append(
-            f"{axis}_share AS (SELECT n, s / sum(s) OVER () AS s FROM {axis}_raw "
-            f"WHERE n IN (SELECT {axis}_class FROM cells))"
+            f"{axis}_set AS (SELECT n, h, s, sum(CASE WHEN n <> '{mixing.OTHER}' THEN s ELSE 0 END) OVER () AS named "
+            f"FROM {axis}_raw JOIN {axis}_held USING (n))"
         )
+        steps.append(
+            f"{axis}_full AS (SELECT n, CASE WHEN n <> '{mixing.OTHER}' OR s > 1e-9 THEN s WHEN h >= 1 OR named = 0 THEN 1.0 "
+            f"ELSE named * h / (1 - h) END::DOUBLE AS s FROM {axis}_set)"
+        )
+        steps.append(f"{axis}_share AS (SELECT n, s / sum(s) OVER () AS s FROM {axis}_full)")
         joins += f" JOIN {axis}_share AS j_{axis} ON j_{axis}.n = {axis}_class"
     given = ", ".join(f"j_{a}.s AS {a}_s" for a in mixing.AXES)
     steps.append(f"w0 AS MATERIALIZED (SELECT cells.*, {given}, {mixing.KEEP!r}::DOUBLE AS w, "

@@ -82,3 +82,28 @@ def test_no_target_with_tokens_is_uniform(make):
     docs = make([(i, prose(i, 30)) for i in range(20)])
     targets = mixing.TARGETS | {"lang": {"en": 0.0, "fr": 1.0}}
     assert {round(r.probability, 6) for r in mixing.drawn(docs, targets).collect()} == {mixing.KEEP}
+
+
+def test_checking_sql_on_null_and_unlisted_categories(make, tmp_path):
+    import duckdb
+
+    from lintlake.llm import oracle
+
+    docs = make([(i, prose(i, 20 + i % 50)) for i in range(150)], lang=None, source="nowhere")
+    for seed, lang, source in ((1, "en", "src0"), (2, "xx", "src1"), (3, "fr", None), (4, "de", "src2")):
+        docs = docs.unionByName(make([(1000 * seed + i, prose(i + seed, 30) + " 123" * (i % 2)) for i in range(120)], lang=lang, source=source))
+    for name, rows in (("mixed", docs), ("strange", docs.where("source = 'nowhere'"))):
+        path = str(tmp_path / name)
+        rows.select("doc_id", "text", "lang", "source").write.parquet(path)
+        db = duckdb.connect()
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+        cursor = db.execute(oracle.all_sql()["op6_mixing"])
+        names = [d[0] for d in cursor.description]
+        want = {r[names.index("doc_id")]: dict(zip(names, r, strict=True)) for r in cursor.fetchall()}
+        got = mixing.drawn(rows).collect()
+        assert len(want) == len(got)
+        for r in got:
+            w = want[r._row.doc_id]
+            assert r.probability == pytest.approx(w["probability"], abs=2e-9) and r.kept == w["kept"]
+            assert (r.source_class, r.lang_class, r.topic_class) == (w["source_class"], w["lang_class"], w["topic_class"])
+            assert r.probability > 0
