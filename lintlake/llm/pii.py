@@ -69,7 +69,7 @@ PATTERNS = {
     "card": r"(?<![0-9A-Za-z.+-])(?:[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9A-Za-z]|[.-][0-9])",
     "phone": r"(?:\+[0-9]{1,3}[ .-]?|(?<![0-9A-Za-z.+-]))(?:\([0-9]{2,4}\) ?|[0-9]{3}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z]|[.-][0-9])",
     "international": r"\+(?:[0-9]{8,15}|[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?|[0-9]{1,4}[ .-])[0-9]{2,8}(?:[ .-][0-9]{2,8}){0,4})(?![0-9A-Za-z]|[.-][0-9])",
-    "national": rf"(?<![0-9A-Za-z.+/-])(?:{_NATIONAL})(?![0-9A-Za-z]|[ ./-][0-9])",
+    "national": rf"(?<![0-9A-Za-z.+/-])(?<![0-9][ .-])(?:{_NATIONAL})(?![0-9A-Za-z]|[ ./-][0-9])",
 }
 
 
