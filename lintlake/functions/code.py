@@ -123,12 +123,10 @@ def included_stems(includes: Column, longest: Column | int = MAX_ARRAY) -> Colum
     runs = F.flatten(
         F.transform(
             F.filter(includes, lambda line: F.contains(line, F.lit(".h"))),
+            # What stands before the k-th '.h', found by its bytes and not place by place.
             lambda line: F.transform(
-                F.filter(
-                    F.sequence(F.lit(1), F.length(line)),
-                    lambda i: F.substr(line, i, F.lit(2)) == ".h",
-                ),
-                lambda i: F.substring_index(F.left(line, i - 1), "/", -1),
+                F.sequence(F.lit(1), F.size(F.split(line, r"\.h")) - 1),
+                lambda k: F.substring_index(F.call_function("substring_index", line, F.lit(".h"), k), "/", -1),
             ),
         )
     )

@@ -12,6 +12,9 @@ in its most specific bucket scores at least as much, hence a line outside a buck
 first N has N better ones there: the union of the buckets a function looks into contains
 its exact top N. The cut is a rank limit, applied in every task before the shuffle.
 
+A call line travels as (file, line) through filing and ranking. Its text is read from its
+file again, with the lines around it, for the ranked sites only.
+
 `scope` carries the class rule: lines without a class qualifier are open to all
 functions; a qualified line is open to functions without a class and to those whose
 class it names.
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from lintlake.functions import code
 from lintlake.functions import text as tx
 from lintlake.operators.context import window_text
-from lintlake.operators.skew import spread_join
+from lintlake.operators.skew import PARTS, dealt, hot_keys, repeated, spread_join
 from lintlake.operators.staging import cut_lineage
 
 PROFILE = ("name", "class_name", "def_dir", "stem")
@@ -60,7 +63,7 @@ def call_lines(sources: DataFrame, longest: DataFrame | None = None) -> DataFram
 
     searched = sources.where(code.is_searched_file(F.col("file_path"))).select(
         F.col("file_path").alias("file"),
-        tx.bare_lines(tx.split_lines(F.col("text"))).alias("_bare"),
+        tx.bare_split(F.col("text")).alias("_bare"),
         bound("name").alias("_longest"),
         bound("stem").alias("longest_stem"),
     )
@@ -86,8 +89,8 @@ def call_lines(sources: DataFrame, longest: DataFrame | None = None) -> DataFram
     )
 
 
-def _tokens(files: DataFrame, names: DataFrame) -> DataFrame:
-    """(file, line, code, name): call lines of the wanted names, definitions left out.
+def _tokens(files: DataFrame) -> DataFrame:
+    """(file, line, code, name): call lines, definitions left out.
 
     Outer explodes keep the optimizer from adding a size filter that would compute the
     call arrays twice.
@@ -99,15 +102,14 @@ def _tokens(files: DataFrame, names: DataFrame) -> DataFrame:
         .select("*", F.col("c.line").alias("line"), F.col("c.code").alias("code"),
                 F.explode_outer("c.names").alias("name"))
         .drop("c")
-        .join(names, "name", "left_semi")
         .where(~code.defines(F.col("code"), F.col("name")))
     )
 
 
-def _scoped(tokens: DataFrame) -> DataFrame:
-    """One row per scope a call line is open to."""
+def _scopes() -> Column:
+    """The scopes a call line is open to."""
     qualifier = code.other_class_qualifier(F.col("code"), F.col("name"))
-    scopes = F.when(qualifier.isNull(), F.array(F.lit(OPEN))).otherwise(
+    return F.when(qualifier.isNull(), F.array(F.lit(OPEN))).otherwise(
         F.array_distinct(
             F.concat(
                 F.array(F.lit(UNCLASSED), F.concat(F.lit("="), qualifier)),
@@ -118,7 +120,6 @@ def _scoped(tokens: DataFrame) -> DataFrame:
             )
         )
     )
-    return tokens.withColumn("scope", F.explode_outer(scopes))
 
 
 def _key(name: Column, scope: Column, area: Column, stem: Column) -> Column:
@@ -158,14 +159,24 @@ def rank_for_profiles(
     with_context: bool = True,
 ) -> DataFrame:
     """`rank_call_sites` for profiles that are already a table: they are read several times."""
+    top = _ranked_sites(wanted, sources, max_call_sites, with_context)
+    return _attach_context(top, sources, context_window) if with_context else top
+
+
+def _paths_repeat(sources: DataFrame) -> bool:
+    """Whether some path names several texts; one job over the paths alone."""
+    again = sources.groupBy("file_path").count().where("file_path is not null and count > 1")
+    return not again.isEmpty()
+
+
+def _ranked_sites(wanted: DataFrame, sources: DataFrame, max_call_sites: int | None, code_later: bool) -> DataFrame:
+    """The ranked sites without context. With `code_later` they come without `code`, unless a
+    path names several texts, so that a file and a line do not tell the code."""
     longest = wanted.agg(F.max(F.length("name")).alias("name"), F.max(F.length("stem")).alias("stem"))
     files = call_lines(sources, longest)
-    top = (
-        _all_pairs(wanted, files)
-        if max_call_sites is None
-        else top_pairs(wanted, _filed(wanted, files), max_call_sites)
-    )
-    return _attach_context(top, sources, context_window) if with_context else top
+    if max_call_sites is None:
+        return _all_pairs(wanted, files)
+    return top_pairs(wanted, _filed(wanted, files, not code_later or _paths_repeat(sources)), max_call_sites)
 
 
 def relevant_stems(files: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -186,19 +197,26 @@ def relevant_stems(files: DataFrame, wanted: DataFrame) -> DataFrame:
 BUCKET = ("name", "scope", "area", "bucket_stem")
 
 
-def _filed(wanted: DataFrame, files: DataFrame) -> DataFrame:
+def _filed(wanted: DataFrame, files: DataFrame, keep_code: bool) -> DataFrame:
     """Call lines of wanted names, one row per bucket they are filed into."""
-    no_stems = F.array().cast("array<string>")
-    located = files.join(relevant_stems(files, wanted), "file", "left").select(
-        "file", "calls", F.coalesce("stems", no_stems).alias("stems")
-    )
-    return in_buckets(_tokens(located, wanted.select("name").distinct()))
+    tokens = with_scopes(_tokens(files.select("file", "calls")), keep_code)
+    return in_buckets(tokens.join(wanted.select("name").distinct(), "name", "left_semi"), relevant_stems(files, wanted))
 
 
-def in_buckets(tokens: DataFrame) -> DataFrame:
-    """Call lines (name, file, line, code, stems), one row per bucket."""
+def with_scopes(tokens: DataFrame, keep_code: bool) -> DataFrame:
+    """Call lines (name, file, line, code) → + `scopes`; the code goes before any shuffle."""
+    kept = ["name", "file", "line", "code"] if keep_code else ["name", "file", "line"]
+    return tokens.select(*kept, _scopes().alias("scopes"))
+
+
+def in_buckets(tokens: DataFrame, stems: DataFrame) -> DataFrame:
+    """Call lines (name, file, line, scopes and perhaps code), one row per bucket; `stems` is by file."""
+    no_stems = F.array().cast("array<string>")
     return (
-        _scoped(tokens).select(
+        tokens.join(stems, "file", "left")
+        .withColumn("stems", F.coalesce("stems", no_stems))
+        .select("*", F.explode_outer("scopes").alias("scope"))
+        .select(
             "*",
             F.explode(_areas(tx.top_module(F.col("file")), tx.dir_name(F.col("file")))).alias(
                 "area"
@@ -211,7 +229,7 @@ def in_buckets(tokens: DataFrame) -> DataFrame:
             F.explode(F.concat(F.array(F.lit("")), "stems")).alias("bucket_stem"),
             "file",
             "line",
-            "code",
+            *[c for c in tokens.columns if c == "code"],
         )
     )
 
@@ -243,7 +261,7 @@ def count_call_sites(anchors: DataFrame, sources: DataFrame) -> DataFrame:
     """
     wanted = cut_lineage(profiles(anchors))
     longest = wanted.agg(F.max(F.length("name")).alias("name"), F.max(F.length("stem")).alias("stem"))
-    sizes = _filed(wanted, call_lines(sources, longest)).groupBy(*BUCKET).agg(F.count("*").alias("n"))
+    sizes = _filed(wanted, call_lines(sources, longest), False).groupBy(*BUCKET).agg(F.count("*").alias("n"))
     found = spread_join(_lookups(wanted), sizes, list(BUCKET), list(PROFILE), how="inner")
     kinds = {"all": F.col("area") == "", "module": F.startswith("area", F.lit("m:")), "folder": F.startswith("area", F.lit("d:"))}
     sums = []
@@ -267,15 +285,19 @@ def count_call_sites(anchors: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def top_pairs(wanted: DataFrame, filed: DataFrame, limit: int) -> DataFrame:
+    """The best `limit` sites of every profile, with `code` where the filed lines have it."""
     key = list(BUCKET)
+    carried = [c for c in filed.columns if c == "code"]
     in_order = Window.partitionBy(*key).orderBy("file", "line")
+    lookups = _lookups(wanted)
+    # Most buckets are those of folders and headers that no profile asks for.
     heads = (
         filed.withColumn("_n", F.row_number().over(in_order))
         .where(F.col("_n") <= limit)
+        .join(lookups.select(*key).distinct(), key, "left_semi")
         .groupBy(*key)
-        .agg(F.collect_list(F.struct("file", "line", "code")).alias("sites"))
+        .agg(F.collect_list(F.struct("file", "line", *carried)).alias("sites"))
     )
-    lookups = _lookups(wanted)
     candidates = (
         spread_join(lookups, heads, key, list(PROFILE), how="inner")
         .select(*PROFILE, "bucket_stem", F.explode("sites").alias("s"))
@@ -284,16 +306,17 @@ def top_pairs(wanted: DataFrame, filed: DataFrame, limit: int) -> DataFrame:
         .repartition(*PROFILE)
         .groupBy(*PROFILE, "file", "line")
         .agg(
-            F.first("code").alias("code"),
-            (F.max("bucket_stem") != "").alias("includes_bug_header"),
+            *[F.first(c).alias(c) for c in carried],
+            F.max(F.col("bucket_stem") != "").alias("includes_bug_header"),
         )
     )
     return _ranked(candidates).where(F.col("rank") <= limit)
 
 
 def _all_pairs(wanted: DataFrame, files: DataFrame) -> DataFrame:
-    tokens = _tokens(files.select("file", "calls", F.col("includes").alias("_inc")),
-                     wanted.select("name").distinct())
+    tokens = _tokens(files.select("file", "calls", F.col("includes").alias("_inc"))).join(
+        wanted.select("name").distinct(), "name", "left_semi"
+    )
     pairs = spread_join(tokens, wanted, ["name"], ["file", "line"], how="inner")
     qualifier = code.other_class_qualifier(F.col("code"), F.col("name"))
     same_class = F.contains(
@@ -332,17 +355,27 @@ def _ranked(sites: DataFrame) -> DataFrame:
 
 
 def _attach_context(sites: DataFrame, sources: DataFrame, around: int) -> DataFrame:
-    """Add the lines around each call and the include block of its file.
+    """Add the code of each call, the lines around it and the include block of its file.
 
     Each file is one row on the right; a file many sites point at is split by the adaptive
     skew join.
     """
     files = sources.select(
-        F.col("file_path").alias("file"), tx.split_lines(F.col("text")).alias("_lines")
-    ).withColumn("includes", code.include_block(tx.bare_lines(F.col("_lines"))))
-    around_call = window_text(F.col("_lines"), F.col("line"), F.col("line"), around)
+        F.col("file_path").alias("file"), tx.bare_split(F.col("text")).alias("_bare")
+    ).withColumn("includes", code.include_block(F.col("_bare")))
+    return with_windows(sites, files, around)
+
+
+def with_windows(sites: DataFrame, files: DataFrame, around: int) -> DataFrame:
+    """Sites and files (file, _bare, includes) → sites with code, context and includes."""
+    around_call = window_text(F.col("_bare"), F.col("line"), F.col("line"), around, bare=True)
+    own = F.col("code") if "code" in sites.columns else tx.strip(F.get("_bare", F.col("line") - 1))
+    columns = [c for c in sites.columns if c != "code"]
+    place = columns.index("line") + 1
     return sites.join(files, "file").select(
-        *sites.columns,
+        *columns[:place],
+        own.alias("code"),
+        *columns[place:],
         around_call["start_line"].alias("context_start"),
         around_call["end_line"].alias("context_end"),
         around_call["code"].alias("context"),
@@ -375,17 +408,6 @@ def attach_call_sites(
     """
     anchors = bugs.where("anchor is not null").select("anchor.*")
     wanted = cut_lineage(profiles(anchors))
-    nested = (
-        rank_for_profiles(wanted, sources, max_call_sites, context_window)
-        .groupBy(*PROFILE)
-        .agg(F.array_sort(F.collect_list(F.struct("rank", *CALL_SITE))).alias("_sites"))
-        .select(
-            *[F.col(c).alias(f"_{c}") for c in PROFILE],
-            F.transform(
-                "_sites", lambda s: F.struct(*[s[c].alias(c) for c in CALL_SITE])
-            ).alias("_sites"),
-        )
-    )
     keyed = bugs.withColumns(
         {
             "_name": F.col("anchor.name"),
@@ -395,8 +417,24 @@ def attach_call_sites(
         }
     )
     keys = [f"_{c}" for c in PROFILE]
+    placed = [*keys, "_slice"]
     counts = wanted.select(*[F.col(c).alias(f"_{c}") for c in PROFILE], "count")
-    joined = spread_join(keyed, nested, keys, ["issue_key"], counts=counts)
+    hot = F.broadcast(hot_keys(counts, keys, PARTS))
+    # The slices are made while the sites are thin, so their texts are shuffled once: the
+    # grouping leaves them where the join looks for them.
+    top = _ranked_sites(wanted, sources, max_call_sites, True).withColumnsRenamed({c: f"_{c}" for c in PROFILE})
+    nested = (
+        _attach_context(repeated(top, hot, keys), sources, context_window)
+        .groupBy(*placed)
+        .agg(F.array_sort(F.collect_list(F.struct("rank", *CALL_SITE))).alias("_sites"))
+        .select(
+            *placed,
+            F.transform(
+                "_sites", lambda s: F.struct(*[s[c].alias(c) for c in CALL_SITE])
+            ).alias("_sites"),
+        )
+    )
+    joined = dealt(keyed, hot, keys, ["issue_key"]).join(nested, placed, "left").drop("_slice")
     sites_type = dict(joined.dtypes)["_sites"]
     sites = F.coalesce("_sites", F.array().cast(sites_type))
     full = F.struct(

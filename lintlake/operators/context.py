@@ -262,6 +262,9 @@ def file_features(sources: DataFrame) -> DataFrame:
     )
 
 
+FILE_COLUMNS = ("_lines", "_indents", "_index", "_headers", "_includes", "_nested")
+
+
 def bug_blocks(bugs: DataFrame, sources: DataFrame, keep_file: bool = False) -> DataFrame:
     """Bugs + blocks; a bug whose file is missing or that has no line gets an error.
 
@@ -269,7 +272,9 @@ def bug_blocks(bugs: DataFrame, sources: DataFrame, keep_file: bool = False) ->
     """
     prior = F.col("error") if "error" in bugs.columns else F.lit(None).cast("string")
     joined = with_file(bugs, file_features(needed_sources(sources, bugs)))
-    out = blocks(joined).withColumn(
+    # Whether there are blocks: known without the blocks, for readers that need no more of them.
+    nested = F.coalesce((F.size("_lines") > 0) & F.col("start_line").isNotNull(), F.lit(False))
+    out = blocks(joined).withColumn("_nested", nested).withColumn(
         "error",
         F.coalesce(
             prior,
@@ -280,36 +285,37 @@ def bug_blocks(bugs: DataFrame, sources: DataFrame, keep_file: bool = False) ->
             F.when(F.col("start_line").isNull(), F.lit("missing_start_line")),
         ),
     )
-    return out if keep_file else out.drop("_lines", "_indents", "_index", "_headers", "_includes")
+    return out if keep_file else out.drop(*FILE_COLUMNS)
 
 
 # --- enclosing function ----------------------------------------------------
 
 
-def window_text(lines: Column, line: Column, last_line: Column, around: int) -> Column:
-    """struct(start_line, end_line, code) of lines [line - around, last_line + around]."""
+def window_text(lines: Column, line: Column, last_line: Column, around: int, bare: bool = False) -> Column:
+    """struct(start_line, end_line, code) of lines [line - around, last_line + around].
+
+    `bare`: the lines come without their ends.
+    """
     n = F.size(lines)
     first = F.greatest(F.lit(1), line - around)
     last = F.least(n, last_line + around)
-    bare = F.transform(F.slice(lines, first, F.greatest(F.lit(0), last - first + 1)), tx.drop_line_end)
+    shown = F.slice(lines, first, F.greatest(F.lit(0), last - first + 1))
+    shown = shown if bare else F.transform(shown, tx.drop_line_end)
     return F.struct(
         first.alias("start_line"),
         last.alias("end_line"),
-        F.when(n > 0, F.array_join(bare, "\n")).otherwise(F.lit("")).alias("code"),
+        F.when(n > 0, F.array_join(shown, "\n")).otherwise(F.lit("")).alias("code"),
     )
 
 
-def enclosing_function(
-    bugs: DataFrame, search_window: int = 200, context_window: int = 6
-) -> DataFrame:
-    """Bugs with blocks and file columns → + `anchor`, null with an error where none is found.
+def _headed(bugs: DataFrame, search_window: int) -> DataFrame:
+    """Bugs with blocks and file columns → + `_h`, the header of the enclosing function.
 
     The nearest header line at most `search_window` lines above the bug and less indented
     than the bug line. The headers of a file are already listed, so this is a filter on a
     short array.
     """
     start = F.col("start_line")
-    end = F.coalesce("end_line", "start_line")
     lines = F.col("_lines")
     n = F.size(lines)
     bug_line = tx.drop_line_end(F.get(lines, start - 1))
@@ -325,9 +331,13 @@ def enclosing_function(
         ),
         F.lit(-1),
     )
+    return prepared.withColumn("_h", header)
+
+
+def _anchor_fields(context_window: int) -> list[Column]:
+    start = F.col("start_line")
     whole = F.try_element_at("blocks", F.lit(-1))
-    found = prepared.withColumn("_h", header)
-    anchor = F.struct(
+    return [
         F.lit("function").alias("kind"),
         F.col("_h.name").alias("name"),
         F.col("file_path").alias("def_file"),
@@ -336,10 +346,31 @@ def enclosing_function(
         whole["indent"].alias("block_indent"),
         F.col("_h.signature").alias("signature"),
         code.class_name(F.col("_h.signature")).alias("class_name"),
-        window_text(lines, start, end, context_window).alias("bug_context"),
+        window_text(F.col("_lines"), start, F.coalesce("end_line", "start_line"), context_window).alias("bug_context"),
         F.col("_includes").alias("def_includes"),
-    )
-    has_blocks = F.coalesce(F.size("blocks"), F.lit(0)) > 0
+    ]
+
+
+def _has_blocks(bugs: DataFrame) -> Column:
+    return F.col("_nested") if "_nested" in bugs.columns else F.coalesce(F.size("blocks"), F.lit(0)) > 0
+
+
+def anchors(bugs: DataFrame, search_window: int = 200, context_window: int = 6) -> DataFrame:
+    """The anchors of `enclosing_function`, one row per bug that has one, a column per field.
+
+    What the reader does not ask for, such as the blocks' texts, is never built.
+    """
+    found = _headed(bugs, search_window).where(F.col("_h").isNotNull() & _has_blocks(bugs))
+    return found.select(*_anchor_fields(context_window))
+
+
+def enclosing_function(
+    bugs: DataFrame, search_window: int = 200, context_window: int = 6
+) -> DataFrame:
+    """Bugs with blocks and file columns → + `anchor`, null with an error where none is found."""
+    found = _headed(bugs, search_window)
+    has_blocks = _has_blocks(bugs)
+    anchor = F.struct(*_anchor_fields(context_window))
     error = (
         F.when(F.coalesce("file_path", F.lit("")) == "", "Missing file_path in bug metadata.")
         .when(~has_blocks, "Missing blocks; run the block extraction first.")
@@ -350,6 +381,4 @@ def enclosing_function(
     )
     return found.withColumn(
         "anchor", F.when(F.col("_h").isNotNull() & has_blocks, anchor)
-    ).withColumn("error", F.coalesce(error, "error")).drop(
-        "_h", "_bi", "_bottom", "_top", "_lines", "_indents", "_index", "_headers", "_includes"
-    )
+    ).withColumn("error", F.coalesce(error, "error")).drop("_h", "_bi", "_bottom", "_top", *FILE_COLUMNS)
