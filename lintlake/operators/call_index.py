@@ -1,14 +1,16 @@
 """A kept index of call lines, so that a run over the same sources reads no source text.
 
 The index is a folder of generations. A generation holds the files that are new or differ in
-their text since the one before: a row per file (`files`: hash of the text, include block)
-and a row per called name and line (`calls`: the line and the lines around it), filed by a
-hash of the name and sorted by the name. A file counts in the newest generation that names
+their text since the one before: a row per file (`files`: hash of the text, include block,
+lines) and a row per called name and line (`calls`: the line and the lines around it), filed
+by a hash of the name and sorted by the name. A file counts in the newest generation that names
 it; one that is gone leaves a row that says so. So a changed source replaces its own rows and
 touches no other's, and what is written grows with the change, not with the sources.
 
 A search reads the folders that the hashes of its names point at, and of them the row groups
-that hold the names. Names above `longest` characters are not filed (a token of a minified
+that hold the names. It ranks (file, line) alone and takes the texts of the ranked sites
+from the lines of their files, so the lines around a call that is not shown are not read.
+Names above `longest` characters are not filed (a token of a minified
 file would file each of its endings); a search for one fails instead of missing it.
 """
 
@@ -27,6 +29,7 @@ from lintlake.operators.issues import best_row
 SHELVES = 64
 LONGEST = 512
 FILE = "file string, sha string, gone boolean, includes array<string>, generation int"
+LINES = f"{FILE}, lines array<string>"
 CALL = (
     "name string, file string, line int, code string, context_start int, context_end int, context string, "
     "generation int, shelf int"
@@ -45,11 +48,11 @@ def _generations(spark: SparkSession, folder: str) -> list[int]:
     return sorted(int(str(f.getPath().getParent().getName()).split("=")[1]) for f in found)
 
 
-def _files(spark: SparkSession, folder: str, generations: list[int]) -> DataFrame:
+def _files(spark: SparkSession, folder: str, generations: list[int], schema: str = FILE) -> DataFrame:
     paths = [f"{folder}/files/generation={g}" for g in generations]
     if not paths:
-        return spark.createDataFrame([], FILE)
-    return spark.read.schema(FILE).option("basePath", f"{folder}/files").parquet(*paths)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{folder}/files").parquet(*paths)
 
 
 def current_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,15 +104,19 @@ def update(sources: DataFrame, folder: str, around: int = 6, longest: int = LONG
         "name", "file", "line", "code", F.col("w.start_line").alias("context_start"), F.col("w.end_line").alias("context_end"),
         F.col("w.code").alias("context"), _shelf(F.col("name")).alias("shelf"),
     )
-    # A popular name is dealt over tasks by its file; within a task names lie together.
-    dealt = rows.repartition("shelf", F.pmod(F.xxhash64("file"), F.lit(8))).sortWithinPartitions("shelf", "name", "file", "line")
-    dealt.write.mode("overwrite").partitionBy("shelf").parquet(f"{folder}/calls/generation={generation}")
+    # Every task files what its own files hold, so the lines around calls, many times the text, are
+    # not shuffled, and a popular name is dealt by its files; within a task names lie together.
+    filed = rows.sortWithinPartitions("shelf", "name", "file", "line")
+    filed.write.mode("overwrite").option("compression", "zstd").partitionBy("shelf").parquet(
+        f"{folder}/calls/generation={generation}"
+    )
     gone = both.where("sha is null").select(
         F.col("file_path").alias("file"), F.lit(None).cast("string").alias("sha"), F.lit(True).alias("gone"),
-        F.lit(None).cast("array<string>").alias("includes"),
+        F.lit(None).cast("array<string>").alias("includes"), F.lit(None).cast("array<string>").alias("lines"),
     )
-    kept = listed.select("file", "sha", F.lit(False).alias("gone"), code.include_block(F.col("_bare")).alias("includes"))
-    kept.unionByName(gone).write.mode("overwrite").parquet(f"{folder}/files/generation={generation}")
+    includes = code.include_block(F.col("_bare"))
+    kept = listed.select("file", "sha", F.lit(False).alias("gone"), includes.alias("includes"), F.col("_bare").alias("lines"))
+    kept.unionByName(gone).write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/files/generation={generation}")
     return generation
 
 
@@ -141,13 +148,23 @@ def rank_call_sites(wanted: DataFrame, folder: str, max_call_sites: int = 20, lo
         "longest_stem", F.coalesce(wanted.agg(F.max(F.length("stem"))).scalar(), F.lit(0))
     )
     stems = calls.relevant_stems(files, wanted)
-    no_stems = F.array().cast("array<string>")
-    tokens = lines.select("name", "file", "line", "code").join(stems, "file", "left").withColumn(
-        "stems", F.coalesce("stems", no_stems)
-    )
-    top = calls.top_pairs(wanted, calls.in_buckets(tokens), max_call_sites)
-    around = lines.select("name", "file", "line", "context_start", "context_end", "context")
-    includes = files.select("file", "includes")
-    return top.join(around, ["name", "file", "line"]).join(includes, "file").select(
-        *top.columns, "context_start", "context_end", "context", "includes"
-    )
+    generations = _generations(spark, folder)
+    several = _files(spark, folder, generations).groupBy("file", "generation").count().where("count > 1")
+    # Where a path names several texts of one update, a file and a line do not tell the code.
+    carried = not several.isEmpty()
+    tokens = calls.with_scopes(lines, carried)
+    top = calls.top_pairs(wanted, calls.in_buckets(tokens, stems), max_call_sites)
+    place = ["name", "file", "line", "context_start", "context_end"]
+    if carried:
+        around = lines.select(*place, "context")
+        return top.join(around, ["name", "file", "line"]).join(files.select("file", "includes"), "file").select(
+            *top.columns, "context_start", "context_end", "context", "includes"
+        )
+    now = files.select("file", "generation", "includes")
+    texts = _files(spark, folder, generations, LINES).select("file", "generation", "lines").join(now, ["file", "generation"])
+    shown = F.slice("lines", F.col("context_start"), F.col("context_end") - F.col("context_start") + 1)
+    before = top.columns.index("line") + 1
+    return top.join(lines.select(*place), ["name", "file", "line"]).join(texts, "file").select(
+        *top.columns[:before], tx.strip(F.get("lines", F.col("line") - 1)).alias("code"), *top.columns[before:],
+        "context_start", "context_end", F.array_join(shown, "\n").alias("context"), "includes",
+    )
