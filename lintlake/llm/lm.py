@@ -32,13 +32,13 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +59,7 @@ RATE = 0.007
 ROUND_TOKENS = 1_500_000
 LANES = 256
 COUNTED_WORDS = 200_000
+GATHERED = 4_000_000
 FOLDS = 5
 END = b""
 _LN10 = math.log(10.0)
@@ -81,32 +82,70 @@ def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % TAIL_CLASSES
 
 
+def _tail_classes(words: pa.Array) -> np.ndarray:
+    endings = pc.binary_slice(words, -3).dictionary_encode()
+    classes = np.array([tail_class(e) for e in endings.dictionary.to_pylist()], dtype=np.int64)
+    return classes[endings.indices.to_numpy()]
+
+
 def _source(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     return documents.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
     )
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they hold `GATHERED` bytes, so that what is done once for
+    each is done seldom; none is empty."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+        if size >= GATHERED:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def coded_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """What `words_of` gives for each text and then its end, the empty word: (different
+    words, place among these of every word of all texts in order, words per text)."""
+    said = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    # The end is put first, so it is there and its place is 0.
+    flat = pa.concat_arrays([pa.array([""]), said.flatten()]).dictionary_encode()
+    codes = flat.indices.to_numpy()[1:].astype(np.int64)
+    owner = np.repeat(np.arange(len(texts)), said.value_lengths().to_numpy())
+    # A blank before the first word or after the last one gives an empty piece.
+    real = codes > 0
+    sizes = np.bincount(owner[real], minlength=len(texts)) + 1
+    inner = np.ones(sizes.sum(), dtype=bool)
+    inner[sizes.cumsum() - 1] = False
+    out = np.zeros(len(inner), dtype=np.int64)
+    out[inner] = codes[real]
+    return flat.dictionary.view(pa.binary()), out, sizes
+
+
+def _summed(counts: list[pa.Table]) -> pa.Table:
+    found = pa.concat_tables(counts).group_by("word", use_threads=False).aggregate([("c", "sum")])
+    return found.select(["word", "c_sum"]).rename_columns(["word", "c"])
+
+
 def word_counts(source: DataFrame) -> DataFrame:
     """(word, c): counts over all texts of `source`; the end of a text is the empty word."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), type=pa.binary()), pa.array(list(counts.values()), type=pa.int64())],
-                names=["word", "c"],
-            )
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(words_of(text))
-                counts[END] += 1
-                if len(counts) >= COUNTED_WORDS:
-                    yield out()
-                    counts.clear()
-        yield out()
+        held: list[pa.Table] = []
+        for batch in _gathered(batches):
+            words, codes, _ = coded_words(batch.column(0))
+            held.append(pa.table({"word": words, "c": np.bincount(codes, minlength=len(words))}))
+            if sum(t.num_rows for t in held) >= 2 * COUNTED_WORDS:
+                held = [_summed(held)]
+                if held[0].num_rows >= COUNTED_WORDS:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from _summed(held).to_batches()
 
     return arrow_map(source.select("text"), work, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -176,7 +215,7 @@ class Network:
     def __init__(self, own_class: np.ndarray, p: dict[str, np.ndarray]) -> None:
         self.p, self.own = p, len(own_class)
         self.starts = np.searchsorted(own_class, np.arange(OWN_CLASSES + 1))
-        self.class_of = np.concatenate([own_class, OWN_CLASSES + np.arange(TAIL_CLASSES)]).astype(np.int64)
+        self.class_of = np.concatenate([own_class, OWN_CLASSES + np.arange(TAIL_CLASSES)]).astype(np.int16)
         self.start_token = self.own + TAIL_CLASSES
 
     @classmethod
@@ -200,153 +239,305 @@ class Network:
         }
         return cls(own_class, p)
 
-    def step(self, x: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
+    def step(self, x: np.ndarray, h: np.ndarray) -> np.ndarray:
         k = HIDDEN
         hu = h @ self.p["u"]
-        gates = 1 / (1 + np.exp(-(x[:, : 2 * k] + hu[:, : 2 * k])))
-        z, r = gates[:, :k], gates[:, k:]
-        n = np.tanh(x[:, 2 * k :] + r * hu[:, 2 * k :])
-        new = n + z * (h - n)
-        if keep is not None:
-            keep.append((z, r, n, hu[:, 2 * k :], h))
+        gates = x[:, : 2 * k] + hu[:, : 2 * k]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        n = gates[:, k:] * hu[:, 2 * k :]
+        n += x[:, 2 * k :]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= gates[:, :k]
+        new += n
         return new
 
     def inputs(self) -> np.ndarray:
         """The input part of the gates for every token."""
         return self.p["embed"] @ self.p["wx"] + self.p["b"]
 
-    def log_probs(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def log_probs(
+        self, h: np.ndarray, target: np.ndarray, grads: dict | None = None, scale: float = 1.0
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Natural log of class and inner word share of each target; with `grads`, the
-        gradient of minus their sum by the states, and the weights' gradients added."""
+        gradient of minus their sum times `scale` by the states, and the weights' gradients added."""
         p, at = self.p, self.class_of[target]
-        logits = h @ p["oc"] + p["bc"]
-        logits -= logits.max(axis=1, keepdims=True)
-        shares = np.exp(logits)
-        sums = shares.sum(axis=1)
-        rows = np.arange(len(target))
-        out = logits[rows, at].astype(np.float64) - np.log(sums)
-        dh = None
-        if grads is not None:
-            shares /= sums[:, None]
-            shares[rows, at] -= 1
-            dh = shares @ p["oc"].T
-            grads["oc"] += h.T @ shares
-            grads["bc"] += shares.sum(axis=0)
+        # Sorted by class: the own words come first, and each class is one slice.
         order = np.argsort(at, kind="stable")
-        edges = np.searchsorted(at[order], np.arange(OWN_CLASSES + 1))
-        for c in range(OWN_CLASSES):
-            some = order[edges[c] : edges[c + 1]]
-            if not len(some):
-                continue
-            a, b = self.starts[c], self.starts[c + 1]
-            inner = h[some] @ p["ow"][a:b].T + p["bw"][a:b]
-            inner -= inner.max(axis=1, keepdims=True)
-            e = np.exp(inner)
-            s = e.sum(axis=1)
-            mine, local = np.arange(len(some)), target[some] - a
-            out[some] += inner[mine, local] - np.log(s)
+        at, word, h = at[order], target[order], h.take(order, axis=0)
+        out = np.empty(len(order), dtype=np.float64)
+        dh = None if grads is None else np.empty_like(h)
+        self._classes(h, at, out, dh, grads, scale)
+        edges = np.searchsorted(at, np.arange(OWN_CLASSES + 1))
+        if edges[-1]:
+            self._inner(h, word[: edges[-1]], at[: edges[-1]], edges.tolist(), out, dh, grads, scale)
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        return out[back], dh if dh is None else dh.take(back, axis=0)
+
+    def _classes(self, h, at, out, dh, grads, scale) -> None:
+        """Set `out` to the shares of classes, and with `grads` `dh` and their gradients."""
+        oc, bias = self.p["oc"], self.p["bc"] - self.p["bc"].max()
+        # Without a risk of overflow the largest term of each row need not be taken off.
+        safe = _longest(h) * _longest(oc.T) <= _SAFE
+        weight = np.exp(bias) if safe else np.ones_like(bias)
+        rows, room = np.arange(_ROWS), np.empty((_ROWS, len(bias)), dtype=h.dtype)
+        weighted = np.ascontiguousarray((oc * weight).T)
+        d_oc, d_bc = np.zeros_like(oc), np.zeros_like(bias)
+        for lo in range(0, len(h), _ROWS):
+            some, mine = h[lo : lo + _ROWS], at[lo : lo + _ROWS]
+            n = len(some)
+            shares = np.matmul(some, oc, out=room[:n])
+            if not safe:
+                shares += bias
+                shares -= shares.max(axis=1, keepdims=True)
+            out[lo : lo + n] = shares[rows[:n], mine]
+            np.exp(shares, out=shares)
+            sums = shares @ weight
+            out[lo : lo + n] -= np.log(sums)
             if grads is not None:
-                e /= s[:, None]
-                e[mine, local] -= 1
-                dh[some] += e @ p["ow"][a:b]
-                grads["ow"][a:b] += e.T @ h[some]
-                grads["bw"][a:b] += e.sum(axis=0)
-        return out, dh
-
-    def train_window(self, tokens: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[dict, np.ndarray]:
-        """Gradients of one window (lanes x steps; target -1 is padding), and the next state."""
+                shares[rows[:n], mine] -= sums / weight[mine]
+                part = scale / sums
+                back = np.matmul(shares, weighted, out=dh[lo : lo + n])
+                back *= part[:, None]
+                d_oc += (some * part[:, None]).T @ shares
+                d_bc += part @ shares
+        if safe:
+            out += bias[at]
+        if grads is not None:
+            grads["oc"] += d_oc * weight
+            grads["bc"] += d_bc * weight
+
+    def _inner(self, h, word, at, edges, out, dh, grads, scale) -> None:
+        """Add the shares inside classes to `out`, and with `grads` the gradients to `dh` and them.
+
+        All pairs of a target and a word of its class lie in one array, class by class. The
+        bias is one more weight, of a state that is always one.
+        """
+        k, starts = HIDDEN, self.starts.tolist()
+        weights = np.concatenate([self.p["ow"], self.p["bw"][:, None]], axis=1)
+        h = np.concatenate([h[: len(word)], np.ones((len(word), 1), dtype=h.dtype)], axis=1)
+        width = np.diff(self.starts)[at]
+        ends = width.cumsum()
+        first = ends - width
+        pairs = np.empty(ends[-1], dtype=h.dtype)
+        blocks, lo = [], 0
+        for c in range(OWN_CLASSES):
+            a, b, i, j = edges[c], edges[c + 1], starts[c], starts[c + 1]
+            if a < b:
+                hi = lo + (b - a) * (j - i)
+                block = pairs[lo:hi].reshape(b - a, j - i)
+                np.matmul(h[a:b], weights[i:j].T, out=block)
+                blocks.append((a, b, i, j, block))
+                lo = hi
+        mine = first + word - self.starts[at]
+        pairs -= np.maximum.reduceat(pairs, first).repeat(width)
+        out[: len(word)] += pairs[mine]
+        np.exp(pairs, out=pairs)
+        sums = np.add.reduceat(pairs, first)
+        out[: len(word)] -= np.log(sums)
+        if grads is None:
+            return
+        pairs *= (scale / sums).repeat(width)
+        pairs[mine] -= scale
+        by_h, by_weights = np.empty((len(word), k), dtype=h.dtype), np.zeros_like(weights)
+        for a, b, i, j, block in blocks:
+            np.matmul(block, self.p["ow"][i:j], out=by_h[a:b])
+            np.matmul(block.T, h[a:b], out=by_weights[i:j])
+        dh[: len(word)] += by_h
+        grads["ow"] += by_weights[:, :k]
+        grads["bw"] += by_weights[:, k]
+
+    def train_window(
+        self, tokens: np.ndarray, targets: np.ndarray, h: np.ndarray, grads: dict | None = None
+    ) -> tuple[dict, np.ndarray]:
+        """Gradients of one window (lanes x steps; target -1 is padding), and the next state.
+
+        States and gates go step by step, then feature by feature, then lane by lane; the
+        gates by the rows new, keep, reset, state's part of new. Each step is one pass over
+        small arrays that stay in a core's cache, and so is each step back.
+        """
         p, k = self.p, HIDDEN
-        grads = {name: np.zeros_like(v) for name, v in p.items()}
-        x = p["embed"][tokens] @ p["wx"] + p["b"]
-        kept, states = [], []
-        for t in range(tokens.shape[1]):
-            h = self.step(x[:, t], h, kept)
-            states.append(h)
-        hs = np.stack(states, axis=1)
-        real = targets >= 0
-        _, dflat = self.log_probs(hs[real], targets[real], grads)
-        scale = np.float32(1 / max(int(real.sum()), 1))
+        if grads is None:
+            grads = {name: np.empty_like(v) for name, v in p.items()}
+        for g in grads.values():
+            g.fill(0)
+        lanes, steps = tokens.shape
+        kind, given = p["u"].dtype, tokens.T.ravel()
+        # The bias is one more weight, of an input that is always one.
+        from_x = np.roll(np.concatenate([p["wx"], p["b"][None]]).T, k, axis=0)
+        to_x, from_h = np.ascontiguousarray(from_x[:, :k]), np.ascontiguousarray(p["u"].T)
+        from_x[k:] *= -1
+        from_h[: 2 * k] *= -1
+        x = np.concatenate([p["embed"], np.ones((len(p["embed"]), 1), dtype=kind)], axis=1)
+        x = x.take(given, axis=0).reshape(steps, lanes, k + 1)
+
+        state = np.empty((steps + 1, k, lanes), dtype=kind)
+        state[0] = h.T
+        gates, some = np.empty((steps, 4 * k, lanes), dtype=kind), np.empty((k, lanes), dtype=kind)
+        part = np.empty((2 * k, lanes), dtype=kind)
+        for put, now, new, gate in zip(x, state, state[1:], gates, strict=False):
+            n, both, r, hun = gate[:k], gate[k : 3 * k], gate[2 * k : 3 * k], gate[3 * k :]
+            np.matmul(from_x, put.T, out=gate[: 3 * k])
+            np.matmul(from_h[: 2 * k], now, out=part)
+            np.matmul(from_h[2 * k :], now, out=hun)
+            both += part
+            np.exp(both, out=both)
+            both += 1
+            np.reciprocal(both, out=both)
+            np.multiply(r, hun, out=some)
+            n += some
+            np.tanh(n, out=n)
+            np.subtract(now, n, out=new)
+            new *= gate[k : 2 * k]
+            new += n
+
+        told = targets.T.ravel()
+        real = np.flatnonzero(told >= 0)
+        hs = np.ascontiguousarray(state[1:].transpose(0, 2, 1)).reshape(-1, k)
+        _, dreal = self.log_probs(hs.take(real, axis=0), told[real], grads, 1 / max(len(real), 1))
         dhs = np.zeros_like(hs)
-        dhs[real] = dflat
-        dx = np.zeros_like(x)
-        back = np.zeros_like(h)
-        for t in range(tokens.shape[1] - 1, -1, -1):
-            z, r, n, hun, before = kept[t]
-            dh = dhs[:, t] + back
-            dz = dh * (before - n) * z * (1 - z)
-            dn = dh * (1 - z) * (1 - n * n)
-            dr = dn * hun * r * (1 - r)
-            inner = np.concatenate([dz, dr, dn * r], axis=1)
-            grads["u"] += before.T @ inner
-            back = dh * z + inner @ p["u"].T
-            dx[:, t, :k], dx[:, t, k : 2 * k], dx[:, t, 2 * k :] = dz, dr, dn
-        flat = dx.reshape(-1, 3 * k)
-        grads["wx"] += p["embed"][tokens].reshape(-1, k).T @ flat
-        grads["b"] += flat.sum(axis=0)
-        np.add.at(grads["embed"], tokens.ravel(), flat @ p["wx"].T)
-        return {name: g * scale for name, g in grads.items()}, h
+        dhs[real] = dreal
+        dhs = np.ascontiguousarray(dhs.reshape(steps, lanes, k).transpose(0, 2, 1))
+
+        dx, d = np.empty((steps, lanes, k), dtype=kind), np.empty((4 * k, lanes), dtype=kind)
+        dn, dz, dr, dhun = (d[i * k : (i + 1) * k] for i in range(4))
+        by_x, by_h = np.zeros_like(from_x), np.zeros_like(from_h)
+        rest, back = np.empty_like(some), np.empty_like(some)
+        for t in range(steps - 1, -1, -1):
+            now, gate, dh = state[t], gates[t], dhs[t]
+            n, z, r, hun = gate[:k], gate[k : 2 * k], gate[2 * k : 3 * k], gate[3 * k :]
+            # By n: dh (1 - z) (1 - n n); by z: dh (before - n) z (1 - z).
+            np.subtract(1, z, out=rest)
+            rest *= dh
+            np.multiply(n, n, out=some)
+            np.subtract(1, some, out=some)
+            np.multiply(rest, some, out=dn)
+            np.subtract(now, n, out=dz)
+            dz *= z
+            dz *= rest
+            # By the state's part: dn r; by r: dn hun r (1 - r).
+            np.multiply(dn, r, out=dhun)
+            np.subtract(1, r, out=dr)
+            dr *= hun
+            dr *= dhun
+            np.matmul(d[: 3 * k].T, to_x, out=dx[t])
+            by_x += d[: 3 * k] @ x[t]
+            by_h += d[k:] @ now.T
+            if t:
+                dh *= z
+                dh += np.matmul(p["u"], d[k:], out=back)
+                dhs[t - 1] += dh
+        by_x = np.roll(by_x.T, -k, axis=1)
+        grads["wx"] += by_x[:k]
+        grads["b"] += by_x[k]
+        grads["u"] += by_h.T
+        # One flat sum by place is many times faster than one by rows, and pairs of numbers
+        # (complex ones, to numpy) take half the places.
+        pair = np.result_type(kind, np.complex64)
+        places = (given[:, None] * (k // 2) + np.arange(k // 2)).ravel()
+        np.add.at(grads["embed"].reshape(-1).view(pair), places, dx.reshape(-1).view(pair))
+        return grads, np.ascontiguousarray(state[steps].T)
+
+
+#: States whose words are scored at once.
+_CELLS = 32_768
+#: Rows whose class shares are held at once: products of this size stay in a core's cache.
+_ROWS = 240
+#: Weights changed at once, for the same reason.
+_STRIP = 16_384
+#: Exponents up to this size neither overflow nor vanish in single precision.
+_SAFE = 70.0
+
+
+def _longest(rows: np.ndarray) -> float:
+    return math.sqrt(float(np.einsum("ij,ij->i", rows, rows).max(initial=0)))
 
 
 class _Adam:
-    def __init__(self, p: dict[str, np.ndarray]) -> None:
-        self.m = {k: np.zeros_like(v) for k, v in p.items()}
-        self.v = {k: np.zeros_like(v) for k, v in p.items()}
+    """Steps over all weights as one vector."""
+
+    def __init__(self, flat: np.ndarray) -> None:
+        self.m, self.v = np.zeros_like(flat), np.zeros_like(flat)
         self.t = 0
 
-    def apply(self, p: dict[str, np.ndarray], grads: dict[str, np.ndarray]) -> None:
+    def apply(self, flat: np.ndarray, grads: np.ndarray) -> None:
         self.t += 1
-        norm = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        norm = math.sqrt(float(grads @ grads))
         clip = min(1.0, 1.0 / max(norm, 1e-9))
-        rate = RATE * math.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t)
-        for k, g in grads.items():
-            g = g * np.float32(clip)
-            self.m[k] += (g - self.m[k]) * np.float32(0.1)
-            self.v[k] += (g * g - self.v[k]) * np.float32(0.01)
-            p[k] -= np.float32(rate) * self.m[k] / (np.sqrt(self.v[k]) + np.float32(1e-6))
-
-
-class _Places(dict):
-    """Token of each own word; other words get their tail class."""
-
-    def __init__(self, words: list[bytes]) -> None:
-        super().__init__(zip(words, range(len(words)), strict=True))
-        self.own = len(words)
-
-    def __missing__(self, word: bytes) -> int:
-        return self.own + tail_class(word)
+        rate = np.float32(RATE * math.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t))
+        for at in range(0, len(flat), _STRIP):
+            m, v = self.m[at : at + _STRIP], self.v[at : at + _STRIP]
+            # A tenth of the gradient, and a hundredth of its square.
+            some = grads[at : at + _STRIP] * np.float32(clip * 0.1)
+            m *= np.float32(0.9)
+            m += some
+            some *= some
+            v *= np.float32(0.99)
+            v += some
+            np.sqrt(v, out=some)
+            some += np.float32(1e-6)
+            np.divide(m, some, out=some)
+            some *= rate
+            flat[at : at + _STRIP] -= some
+
+
+def _flat(p: dict[str, np.ndarray]) -> np.ndarray:
+    return np.concatenate([p[k].ravel() for k in Network.SHAPES])
+
+
+def _views(flat: np.ndarray, shapes: dict[str, tuple[int, ...]]) -> dict[str, np.ndarray]:
+    """The weights by name, as parts of one vector."""
+    out, at = {}, 0
+    for k in Network.SHAPES:
+        n = math.prod(shapes[k])
+        out[k], at = flat[at : at + n].reshape(shapes[k]), at + n
+    return out
 
 
 def _train_part(network: Network, docs: Iterator[tuple[int, bytes]], own_words: list[bytes], part: int) -> int:
-    """Train on the runs of this round; tokens seen."""
-    places, adam, seen = _Places(own_words), _Adam(network.p), 0
+    """Train on the runs of this round of texts; tokens seen."""
+    places, own = dict(zip(own_words, range(len(own_words)), strict=True)), len(own_words)
+    token = lambda w: places[w] if w in places else own + tail_class(w)
+    return _train_tokens(network, ((h, np.array([token(w) for w in [*words_of(t), END]])) for h, t in docs), part)
+
+
+def _train_tokens(network: Network, docs: Iterator[tuple[int, np.ndarray]], part: int) -> int:
+    """Train on the runs of this round of documents given as tokens; tokens seen."""
+    shapes = {k: network.p[k].shape for k in Network.SHAPES}
+    flat = _flat(network.p)
+    network.p, slopes = _views(flat, shapes), np.zeros_like(flat)
+    grads, adam, seen = _views(slopes, shapes), _Adam(flat), 0
     run = WINDOW * RUN_WINDOWS
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    tokens = np.empty((BATCH, run), dtype=np.int64)
+    targets = np.empty((BATCH, run), dtype=np.int64)
+    held = 0
 
     def learn() -> None:
-        nonlocal seen
-        tokens = np.full((len(held), run), network.start_token, dtype=np.int64)
-        targets = np.full((len(held), run), -1, dtype=np.int64)
-        for i, (before, after) in enumerate(held):
-            tokens[i, : len(before)], targets[i, : len(after)] = before, after
-        h = np.zeros((len(held), HIDDEN), dtype=np.float32)
+        nonlocal seen, held
+        h = np.zeros((held, HIDDEN), dtype=np.float32)
         for at in range(0, run, WINDOW):
-            window = targets[:, at : at + WINDOW]
-            if (window >= 0).any():
-                grads, h = network.train_window(tokens[:, at : at + WINDOW], window, h)
-                adam.apply(network.p, grads)
-                seen += int((window >= 0).sum())
-        held.clear()
-
-    for place, text in docs:
-        words = words_of(text)
+            window = targets[:held, at : at + WINDOW]
+            real = int((window >= 0).sum())
+            if real:
+                _, h = network.train_window(tokens[:held, at : at + WINDOW], window, h, grads)
+                adam.apply(flat, slopes)
+                seen += real
+        held = 0
+
+    for place, ids in docs:
         first = (place + part * (RUN_STRIDE // ROUNDS)) % RUN_STRIDE
-        for at in range(first * run, len(words) + 1, run * RUN_STRIDE):
-            ids = [places[w] for w in words[max(at - 1, 0) : at + run]]
-            if at + run > len(words):
-                ids.append(places[END])
-            ids = ids if at else [network.start_token, *ids]
-            held.append((np.array(ids[:-1]), np.array(ids[1:])))
-            if len(held) == BATCH:
+        for at in range(first * run, len(ids), run * RUN_STRIDE):
+            some = ids[at : at + run]
+            n = len(some)
+            tokens[held, 0] = ids[at - 1] if at else network.start_token
+            tokens[held, 1:n], targets[held, :n] = some[:-1], some
+            tokens[held, n:], targets[held, n:] = network.start_token, -1
+            held += 1
+            if held == BATCH:
                 learn()
     if held:
         learn()
@@ -358,29 +549,21 @@ _SLICE = 8_192
 
 
 def train(training: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    """Weights after ROUNDS rounds of local training and averaging; `training` has id_hash, text."""
+    """Weights after ROUNDS rounds of local training and averaging; `training` has id_hash, ids."""
     fresh = Network.fresh(vocabulary)
-    own_class, own_words = vocabulary.class_of_own, vocabulary.words[: vocabulary.own]
+    own_class, flat = vocabulary.class_of_own, _flat(fresh.p)
     shapes = {k: fresh.p[k].shape for k in Network.SHAPES}
-    flat = np.concatenate([fresh.p[k].ravel() for k in Network.SHAPES])
     context = training.sparkSession.sparkContext
 
-    def unflatten(values: np.ndarray) -> dict[str, np.ndarray]:
-        out, at = {}, 0
-        for k, shape in shapes.items():
-            n = int(np.prod(shape))
-            out[k], at = values[at : at + n].reshape(shape).astype(np.float32).copy(), at + n
-        return out
-
     for part in range(ROUNDS):
         sent = context.broadcast(flat)
 
         def work(batches: Iterator[pa.RecordBatch], part: int = part, sent=sent) -> Iterator[pa.RecordBatch]:
-            network = Network(own_class, unflatten(sent.value))
-            docs = ((h, t) for b in batches for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-            seen = _train_part(network, docs, own_words, part)
+            network = Network(own_class, _views(sent.value, shapes))
+            docs = (row for b in batches for row in zip(b.column(0).to_pylist(), _tokens(b.column(1)), strict=True))
+            seen = _train_tokens(network, docs, part)
             if seen:
-                values = np.concatenate([network.p[k].ravel() for k in Network.SHAPES])
+                values = _flat(network.p)
                 for at in range(0, len(values), _SLICE):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([at // _SLICE]), pa.array([float(seen)]),
@@ -393,11 +576,11 @@ def train(training: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
             mean = sum(s * np.frombuffer(w, dtype="<f4").astype(np.float64) for s, w in zip(share, rows["weights"], strict=True))
             return pd.DataFrame({"slice": [key[0]], "weights": [mean.astype("<f4").tobytes()]})
 
-        local = arrow_map(training.select("id_hash", "text"), work, "slice long, seen double, weights binary")
+        local = arrow_map(training.select("id_hash", "ids"), work, "slice long, seen double, weights binary")
         means = local.groupBy("slice").applyInPandas(average, "slice long, weights binary").orderBy("slice").collect()
         if means:
             flat = np.concatenate([np.frombuffer(m["weights"], dtype="<f4") for m in means])
-    return unflatten(flat)
+    return _views(flat, shapes)
 
 
 def score_lanes(network: Network, docs: list[np.ndarray]) -> np.ndarray:
@@ -409,132 +592,156 @@ def score_lanes(network: Network, docs: list[np.ndarray]) -> np.ndarray:
     if not docs:
         return sums
     lengths = np.array([len(d) for d in docs])
-    lanes = max(1, min(LANES, len(docs), int(lengths.sum() // max(lengths.max(), 1)) + 1))
+    lanes = min(LANES, len(docs))
     load, on = np.zeros(lanes, dtype=np.int64), [[] for _ in range(lanes)]
     for i in np.argsort(-lengths, kind="stable"):
         lane = int(load.argmin())
         on[lane].append(i)
         load[lane] += lengths[i]
+    # Step by step, then lane by lane in order of falling load: the lanes in use come first.
     order = np.argsort(-load, kind="stable")
     steps = int(load.max())
-    target = np.full((lanes, steps), -1, dtype=np.int32)
-    owner = np.zeros((lanes, steps), dtype=np.int32)
-    begins = np.zeros((lanes, steps), dtype=bool)
+    active = lanes - np.searchsorted(load[order][::-1], np.arange(steps), side="right")
+    offset = np.concatenate([[0], active.cumsum()])
+    target = np.empty(offset[-1], dtype=np.int64)
+    before, owner = np.empty_like(target), np.empty_like(target)
+    begins: dict[int, list[int]] = {}
     for row, lane in enumerate(order):
         at = 0
         for i in on[lane]:
-            n = lengths[i]
-            target[row, at : at + n], owner[row, at : at + n], begins[row, at] = docs[i], i, True
-            at += n
-    before = np.full_like(target, network.start_token)
-    before[:, 1:] = np.where(begins[:, 1:], network.start_token, target[:, :-1])
-    active = (target >= 0).sum(axis=0)  # lanes are in order of falling load
-    inputs = network.inputs()
-    h = np.zeros((lanes, HIDDEN), dtype=np.float32)
-    for at in range(0, steps, 64):
-        stop = min(at + 64, steps)
-        states = np.zeros((stop - at, active[at], HIDDEN), dtype=np.float32)
-        for t in range(at, stop):
-            n = active[t]
-            own = np.where(begins[:n, t, None], np.float32(0), h[:n])
-            h[:n] = states[t - at, :n] = network.step(inputs[before[:n, t]], own)
-        told = target[: active[at], at:stop].T
-        real = told >= 0
-        logs, _ = network.log_probs(states[real], told[real].astype(np.int64))
-        sums += np.bincount(owner[: active[at], at:stop].T[real], weights=logs, minlength=len(docs))
+            cells = offset[at : at + lengths[i]] + row
+            target[cells], owner[cells] = docs[i], i
+            before[cells[0]], before[cells[1:]] = network.start_token, docs[i][:-1]
+            begins.setdefault(at, []).append(row)
+            at += lengths[i]
+    inputs, h = network.inputs(), np.zeros((lanes, HIDDEN), dtype=np.float32)
+    cells, first = offset.tolist(), 0
+    states: list[np.ndarray] = []
+    for t in range(steps):
+        lo, hi = cells[t], cells[t + 1]
+        h = h[: hi - lo]
+        if t in begins:
+            h = h.copy()
+            h[begins[t]] = 0
+        h = network.step(inputs.take(before[lo:hi], axis=0), h)
+        states.append(h)
+        if hi - first >= _CELLS or t == steps - 1:
+            logs, _ = network.log_probs(np.concatenate(states), target[first:hi])
+            sums += np.bincount(owner[first:hi], weights=logs, minlength=len(docs))
+            first, states = hi, []
     return sums
 
 
-_PARTS = (
-    "key long, doc_id long, held boolean, n_tokens long, n_known long, base double, model double, "
-    "word binary, times long"
+_TOKENS = (
+    "key long, doc_id long, held boolean, id_hash long, n_tokens long, n_known long, base double, model double, "
+    "ids binary, words array<binary>, times array<long>"
 )
+_DOCUMENT = ("key", "doc_id", "held", "n_tokens", "n_known", "base", "model")
 
 
-def _scored_parts(source: DataFrame, vocabulary: Vocabulary, weights: dict[str, np.ndarray]) -> DataFrame:
-    """A row per document with what its task knows, and one per document and rare word.
+def _tokens(ids: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(i, dtype="<u2") for i in ids.to_pylist()]
 
-    The document's own row carries a word no text can hold, different for each document.
-    """
-    context = source.sparkSession.sparkContext
-    sent = context.broadcast((vocabulary, weights))
+
+def tokenised(source: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """A row per document: its tokens as 16-bit numbers, what the head of the vocabulary
+    tells of its scores, and its words outside the head with how often each occurs."""
+    sent = source.sparkSession.sparkContext.broadcast(vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own_weights = sent.value
-        network = Network(known.class_of_own, own_weights)
-        head = dict(zip(known.words, range(len(known.words)), strict=True))
-        own, part = known.own, TaskContext.get().partitionId() << 40
-        log_count = np.log10(known.counts + 0.5) if len(known.words) else np.zeros(1)
-        tail_log = np.log10(known.tail_sums)
-        head_tail = np.array([tail_class(w) for w in known.words] or [0])
-        end, number = head.get(END, -1), 0
-        held: list[tuple] = []
+        known = sent.value
+        head = pa.array(known.words, type=pa.binary())
+        own, key = known.own, TaskContext.get().partitionId() << 40
+        head_tail = _tail_classes(head)
+        tail_log, log_count = np.log10(known.tail_sums), np.log10(known.counts + 0.5)
+        # By place in the head; the last entry stands for words outside, whose place is -1.
+        token_of = np.append(np.where(np.arange(len(head)) < own, np.arange(len(head)), own + head_tail), 0)
+        base_of = np.append(log_count, 0.0)
+        model_of = np.append(np.where(np.arange(len(head)) < own, 0.0, log_count - tail_log[head_tail]), 0.0)
+        names = [c.split()[0] for c in _TOKENS.split(", ")]
+        for batch in _gathered(batches):
+            n = batch.num_rows
+            words, codes, sizes = coded_words(batch.column("text"))
+            at = pc.fill_null(pc.index_in(words, value_set=head), -1).to_numpy().astype(np.int64)
+            outside = np.flatnonzero(at < 0)
+            tails = _tail_classes(words.take(pa.array(outside)))
+            token, model = token_of[at], model_of[at]
+            token[outside], model[outside] = own + tails, -tail_log[tails]
+            ends = sizes.cumsum()
+            sums = [np.add.reduceat(v[codes], ends - sizes) for v in ((at >= 0).astype(np.int64), base_of[at], model)]
+            ids = token.astype("<u2")[codes]
+            # One row per document and word outside the head, in the order of the documents.
+            rare = np.flatnonzero(at[codes] < 0)
+            pairs = np.repeat(np.arange(n), sizes)[rare] * len(words) + codes[rare]
+            pairs, times = np.unique(pairs, return_counts=True)
+            bounds = pa.array(np.searchsorted(pairs, np.arange(n + 1) * len(words)), type=pa.int32())
+            starts = pa.py_buffer(np.append(0, ends * 2).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key + np.arange(n)), *(batch.column(c) for c in ("doc_id", "held", "id_hash")),
+                 pa.array(sizes), *map(pa.array, sums),
+                 pa.Array.from_buffers(pa.binary(), n, [None, starts, pa.py_buffer(ids)]),
+                 pa.ListArray.from_arrays(bounds, words.take(pa.array(pairs % len(words)))),
+                 pa.ListArray.from_arrays(bounds, pa.array(times))],
+                names=names,
+            )
+            key += n
+
+    doc_id = F.col("doc_id")
+    ready = source.select(doc_id.cast("long"), held_out(doc_id).alias("held"), id_hash(doc_id).alias("id_hash"), "text")
+    return arrow_map(ready, work, _TOKENS)
+
+
+def _modelled(tokens: DataFrame, vocabulary: Vocabulary, weights: dict[str, np.ndarray]) -> DataFrame:
+    """The documents' own columns, with the network's part added to `model`."""
+    sent = tokens.sparkSession.sparkContext.broadcast((vocabulary.class_of_own, weights))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = Network(*sent.value)
+        held: list[pa.RecordBatch] = []
+        docs: list[np.ndarray] = []
+        count = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            nonlocal number
-            rows, docs = [], []
-            for doc_id, is_held, text in held:
-                words = words_of(text)
-                at = np.fromiter((head.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-                at = np.append(at, end)
-                rare = Counter(words[i] for i in np.flatnonzero(at[:-1] < 0))
-                if end < 0:
-                    rare[END] += 1
-                tail = np.where(at >= 0, head_tail[at], 0)
-                for i in np.flatnonzero(at < 0):
-                    tail[i] = tail_class(words[i] if i < len(words) else END)
-                outside = (at < 0) | (at >= own)
-                docs.append(np.where(outside, own + tail, at).astype(np.int32))
-                base = float(log_count[at[at >= 0]].sum())
-                model = float(log_count[at[at >= own]].sum()) - float(tail_log[tail[outside]].sum())
-                key = part + number
-                number += 1
-                rows.append((key, doc_id, is_held, len(at), int((at >= 0).sum()), base, model, b" %d" % key, 0))
-                rows += [(key, None, None, 0, 0, 0.0, 0.0, w, n) for w, n in rare.items()]
-            logs = score_lanes(network, docs) / _LN10
-            own_rows = iter(logs.tolist())
-            rows = [(*r[:6], r[6] + next(own_rows), *r[7:]) if not r[8] else r for r in rows]
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                     pa.binary(), pa.int64())
-            names = [c.split()[0] for c in _PARTS.split(", ")]
-            for i in range(0, len(rows), 50_000):
-                columns = zip(*rows[i : i + 50_000], strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)], names=names
-                )
-
-        tokens = 0
+            logs, at = score_lanes(network, docs) / _LN10, 0
+            for batch in held:
+                model = batch.column("model").to_numpy() + logs[at : at + batch.num_rows]
+                at += batch.num_rows
+                yield batch.set_column(batch.schema.get_field_index("model"), "model", pa.array(model))
+
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held.append(row)
-                tokens += len(row[2]) // 6
-            if tokens >= ROUND_TOKENS:
+            held.append(batch.select(list(_DOCUMENT)))
+            docs += _tokens(batch.column("ids"))
+            count += sum(map(len, docs[-batch.num_rows :]))
+            if count >= ROUND_TOKENS:
                 yield from out()
-                held, tokens = [], 0
+                held, docs, count = [], [], 0
         yield from out()
 
-    ready = source.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held"), "text")
-    return arrow_map(ready, work, _PARTS)
+    kept = tokens.select(*_DOCUMENT, "ids")
+    return arrow_map(kept, work, ", ".join(f for f in _TOKENS.split(", ") if f.split()[0] in _DOCUMENT))
 
 
 def score(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document."""
     source = _source(documents, doc_id, text)
-    training = source.where(~held_out(F.col("doc_id"))).select(id_hash(F.col("doc_id")).alias("id_hash"), "text")
-    counts = handed_over(word_counts(training), "word-counts")
+    counts = handed_over(word_counts(source.where(~held_out(F.col("doc_id")))), "word-counts")
     known = vocabulary(counts)
-    parts = _scored_parts(source, known, train(training, known))
+    tokens = handed_over(tokenised(source, known), "tokens")
+    own = _modelled(tokens, known, train(tokens.where(~F.col("held")), known))
     # Counts of words in the head are known to the tasks; an absent count is zero.
-    log_count = F.when(F.col("times") > 0, F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).otherwise(0.0)
-    found = F.when((F.col("times") > 0) & F.col("c").isNotNull(), F.col("times")).otherwise(0)
+    rare = tokens.select("key", F.explode(F.arrays_zip("words", "times")).alias("w"))
+    rare = rare.select("key", F.col("w.words").alias("word"), F.col("w.times").alias("times")).join(counts, "word", "left")
+    rare = rare.select(
+        "key", F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0).alias("n_known"),
+        (F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("base"),
+    ).withColumn("model", F.col("base"))
     whole = math.log10(known.total + 0.5 * (known.distinct + 1))
     return (
-        parts.join(counts, "word", "left")
+        own.unionByName(rare, allowMissingColumns=True)
         .groupBy("key")
         .agg(
             F.max("doc_id").alias("doc_id"), F.max("held").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
-            F.sum(F.col("n_known") + found).alias("n_known"), F.sum(F.col("base") + log_count).alias("base"),
-            F.sum(F.col("model") + log_count).alias("score"),
+            F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.sum("model").alias("score"),
         )
         .select(
             "doc_id", "held_out", "n_tokens", "n_known", F.lit(known.total).cast("long").alias("train_tokens"),
