@@ -17,7 +17,8 @@ Scale
     Counts are partly summed in tasks before they are shuffled; what is gathered grows with
     the corpus and stays in a table in the shared folder. The driver sees the head of the
     vocabulary (`HEAD_WORDS`, a proven bound) and averaged weights. Words outside the head
-    meet their counts in an equi-join, one row per document and word. Every token of every
+    meet their counts in an equi-join, one row per document and word. Texts are split twice,
+    to be counted and to be handed over as 16-bit tokens; training and scoring read these. Every token of every
     training document is trained on once: `RUN_STRIDE` equals `ROUNDS`, and a run's number
     and the document's id decide its round. Training grows with the corpus and has no cap. A task holds `ROUND_TOKENS`
     tokens of documents at once or one document.
@@ -242,8 +243,7 @@ class Network:
     def step(self, x: np.ndarray, h: np.ndarray) -> np.ndarray:
         k = HIDDEN
         hu = h @ self.p["u"]
-        gates = x[:, : 2 * k] + hu[:, : 2 * k]
-        np.negative(gates, out=gates)
+        gates = x[:, : 2 * k] - hu[:, : 2 * k]
         np.exp(gates, out=gates)
         gates += 1
         np.reciprocal(gates, out=gates)
@@ -256,33 +256,44 @@ class Network:
         return new
 
     def inputs(self) -> np.ndarray:
-        """The input part of the gates for every token."""
-        return self.p["embed"] @ self.p["wx"] + self.p["b"]
+        """The input part of the gates for every token; of keep and reset, with the sign turned."""
+        x = self.p["embed"] @ self.p["wx"] + self.p["b"]
+        x[:, : 2 * HIDDEN] *= -1
+        return x
 
     def log_probs(
-        self, h: np.ndarray, target: np.ndarray, grads: dict | None = None, scale: float = 1.0
+        self, h: np.ndarray, target: np.ndarray, grads: dict | None = None, scale: float = 1.0, rows: np.ndarray | None = None
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Natural log of class and inner word share of each target; with `grads`, the
-        gradient of minus their sum times `scale` by the states, and the weights' gradients added."""
-        p, at = self.p, self.class_of[target]
+        """Natural log of class and inner word share of each target; with `grads`, the gradient
+        of minus their sum times `scale` by the states; the weights' gradients, which the
+        caller has set to zero, are filled in.
+
+        `rows` are the states that the targets belong to; without it, all in order."""
+        at = self.class_of[target]
         # Sorted by class: the own words come first, and each class is one slice.
         order = np.argsort(at, kind="stable")
-        at, word, h = at[order], target[order], h.take(order, axis=0)
-        out = np.empty(len(order), dtype=np.float64)
-        dh = None if grads is None else np.empty_like(h)
-        self._classes(h, at, out, dh, grads, scale)
+        at, word = at[order], target[order]
+        place = order if rows is None else rows[order]
+        some = h.take(place, axis=0)
+        sorted_out = np.empty(len(order), dtype=np.float64)
+        by_h = None if grads is None else np.empty_like(some)
+        self._classes(some, at, sorted_out, by_h, grads, scale)
         edges = np.searchsorted(at, np.arange(OWN_CLASSES + 1))
         if edges[-1]:
-            self._inner(h, word[: edges[-1]], at[: edges[-1]], edges.tolist(), out, dh, grads, scale)
-        back = np.empty_like(order)
-        back[order] = np.arange(len(order))
-        return out[back], dh if dh is None else dh.take(back, axis=0)
+            self._inner(some, word[: edges[-1]], at[: edges[-1]], edges.tolist(), sorted_out, by_h, grads, scale)
+        out, dh = np.empty_like(sorted_out), None
+        out[order] = sorted_out
+        if grads is not None:
+            dh = np.zeros_like(h)
+            dh[place] = by_h
+        return out, dh
 
     def _classes(self, h, at, out, dh, grads, scale) -> None:
         """Set `out` to the shares of classes, and with `grads` `dh` and their gradients."""
         oc, bias = self.p["oc"], self.p["bc"] - self.p["bc"].max()
         # Without a risk of overflow the largest term of each row need not be taken off.
-        safe = _longest(h) * _longest(oc.T) <= _SAFE
+        reach = max(h.max(initial=0), -h.min(initial=0)) * math.sqrt(len(oc) * float((oc * oc).sum(axis=0).max()))
+        safe = reach <= _SAFE
         weight = np.exp(bias) if safe else np.ones_like(bias)
         rows, room = np.arange(_ROWS), np.empty((_ROWS, len(bias)), dtype=h.dtype)
         weighted = np.ascontiguousarray((oc * weight).T)
@@ -308,18 +319,15 @@ class Network:
         if safe:
             out += bias[at]
         if grads is not None:
-            grads["oc"] += d_oc * weight
-            grads["bc"] += d_bc * weight
+            np.multiply(d_oc, weight, out=grads["oc"])
+            np.multiply(d_bc, weight, out=grads["bc"])
 
     def _inner(self, h, word, at, edges, out, dh, grads, scale) -> None:
         """Add the shares inside classes to `out`, and with `grads` the gradients to `dh` and them.
 
-        All pairs of a target and a word of its class lie in one array, class by class. The
-        bias is one more weight, of a state that is always one.
+        All pairs of a target and a word of its class lie in one array, class by class.
         """
-        k, starts = HIDDEN, self.starts.tolist()
-        weights = np.concatenate([self.p["ow"], self.p["bw"][:, None]], axis=1)
-        h = np.concatenate([h[: len(word)], np.ones((len(word), 1), dtype=h.dtype)], axis=1)
+        ow, bw, starts = self.p["ow"], self.p["bw"], self.starts.tolist()
         width = np.diff(self.starts)[at]
         ends = width.cumsum()
         first = ends - width
@@ -330,7 +338,8 @@ class Network:
             if a < b:
                 hi = lo + (b - a) * (j - i)
                 block = pairs[lo:hi].reshape(b - a, j - i)
-                np.matmul(h[a:b], weights[i:j].T, out=block)
+                np.matmul(h[a:b], ow[i:j].T, out=block)
+                block += bw[i:j]
                 blocks.append((a, b, i, j, block))
                 lo = hi
         mine = first + word - self.starts[at]
@@ -343,13 +352,13 @@ class Network:
             return
         pairs *= (scale / sums).repeat(width)
         pairs[mine] -= scale
-        by_h, by_weights = np.empty((len(word), k), dtype=h.dtype), np.zeros_like(weights)
+        by_h, ones = np.empty((len(word), HIDDEN), dtype=h.dtype), np.ones(len(word), dtype=h.dtype)
+        d_ow, d_bw = grads["ow"], grads["bw"]
         for a, b, i, j, block in blocks:
-            np.matmul(block, self.p["ow"][i:j], out=by_h[a:b])
-            np.matmul(block.T, h[a:b], out=by_weights[i:j])
+            np.matmul(block, ow[i:j], out=by_h[a:b])
+            np.matmul(block.T, h[a:b], out=d_ow[i:j])
+            np.matmul(ones[a:b], block, out=d_bw[i:j])
         dh[: len(word)] += by_h
-        grads["ow"] += by_weights[:, :k]
-        grads["bw"] += by_weights[:, k]
 
     def train_window(
         self, tokens: np.ndarray, targets: np.ndarray, h: np.ndarray, grads: dict | None = None
@@ -372,8 +381,8 @@ class Network:
         to_x, from_h = np.ascontiguousarray(from_x[:, :k]), np.ascontiguousarray(p["u"].T)
         from_x[k:] *= -1
         from_h[: 2 * k] *= -1
-        x = np.concatenate([p["embed"], np.ones((len(p["embed"]), 1), dtype=kind)], axis=1)
-        x = x.take(given, axis=0).reshape(steps, lanes, k + 1)
+        x = np.ones((steps, lanes, k + 1), dtype=kind)
+        x[:, :, :k] = p["embed"].take(given, axis=0).reshape(steps, lanes, k)
 
         state = np.empty((steps + 1, k, lanes), dtype=kind)
         state[0] = h.T
@@ -397,10 +406,8 @@ class Network:
 
         told = targets.T.ravel()
         real = np.flatnonzero(told >= 0)
-        hs = np.ascontiguousarray(state[1:].transpose(0, 2, 1)).reshape(-1, k)
-        _, dreal = self.log_probs(hs.take(real, axis=0), told[real], grads, 1 / max(len(real), 1))
-        dhs = np.zeros_like(hs)
-        dhs[real] = dreal
+        by_lane = np.ascontiguousarray(state.transpose(0, 2, 1))
+        _, dhs = self.log_probs(by_lane[1:].reshape(-1, k), told[real], grads, 1 / max(len(real), 1), real)
         dhs = np.ascontiguousarray(dhs.reshape(steps, lanes, k).transpose(0, 2, 1))
 
         dx, d = np.empty((steps, lanes, k), dtype=kind), np.empty((4 * k, lanes), dtype=kind)
@@ -426,7 +433,7 @@ class Network:
             dr *= dhun
             np.matmul(d[: 3 * k].T, to_x, out=dx[t])
             by_x += d[: 3 * k] @ x[t]
-            by_h += d[k:] @ now.T
+            by_h += d[k:] @ by_lane[t]
             if t:
                 dh *= z
                 dh += np.matmul(p["u"], d[k:], out=back)
@@ -453,10 +460,6 @@ _STRIP = 16_384
 _SAFE = 70.0
 
 
-def _longest(rows: np.ndarray) -> float:
-    return math.sqrt(float(np.einsum("ij,ij->i", rows, rows).max(initial=0)))
-
-
 class _Adam:
     """Steps over all weights as one vector."""
 
@@ -514,18 +517,22 @@ def _train_tokens(network: Network, docs: Iterator[tuple[int, np.ndarray]], part
     run = WINDOW * RUN_WINDOWS
     tokens = np.empty((BATCH, run), dtype=np.int64)
     targets = np.empty((BATCH, run), dtype=np.int64)
+    lengths = np.zeros(BATCH, dtype=np.int64)
     held = 0
 
     def learn() -> None:
         nonlocal seen, held
+        # The longest runs first, so that those with nothing left can be left out.
+        order = np.argsort(-lengths[:held], kind="stable")
+        before, after = tokens[order], targets[order]
         h = np.zeros((held, HIDDEN), dtype=np.float32)
         for at in range(0, run, WINDOW):
-            window = targets[:held, at : at + WINDOW]
-            real = int((window >= 0).sum())
-            if real:
-                _, h = network.train_window(tokens[:held, at : at + WINDOW], window, h, grads)
+            n = int((lengths[:held] > at).sum())
+            if n:
+                window = after[:n, at : at + WINDOW]
+                _, h = network.train_window(before[:n, at : at + WINDOW], window, h[:n], grads)
                 adam.apply(flat, slopes)
-                seen += real
+                seen += int((window >= 0).sum())
         held = 0
 
     for place, ids in docs:
@@ -536,6 +543,7 @@ def _train_tokens(network: Network, docs: Iterator[tuple[int, np.ndarray]], part
             tokens[held, 0] = ids[at - 1] if at else network.start_token
             tokens[held, 1:n], targets[held, :n] = some[:-1], some
             tokens[held, n:], targets[held, n:] = network.start_token, -1
+            lengths[held] = n
             held += 1
             if held == BATCH:
                 learn()
@@ -726,25 +734,21 @@ def score(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     source = _source(documents, doc_id, text)
     counts = handed_over(word_counts(source.where(~held_out(F.col("doc_id")))), "word-counts")
     known = vocabulary(counts)
-    tokens = handed_over(tokenised(source, known), "tokens")
+    # Nearly every value is another one, so dictionaries of them would be given up anyway.
+    tokens = handed_over(tokenised(source, known), "tokens", **{"parquet.enable.dictionary": "false"})
     own = _modelled(tokens, known, train(tokens.where(~F.col("held")), known))
     # Counts of words in the head are known to the tasks; an absent count is zero.
     rare = tokens.select("key", F.explode(F.arrays_zip("words", "times")).alias("w"))
     rare = rare.select("key", F.col("w.words").alias("word"), F.col("w.times").alias("times")).join(counts, "word", "left")
-    rare = rare.select(
-        "key", F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0).alias("n_known"),
-        (F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("base"),
-    ).withColumn("model", F.col("base"))
+    rare = rare.groupBy("key").agg(
+        F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
+        F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_log"),
+    )
+    rare_log = F.coalesce("rare_log", F.lit(0.0))
     whole = math.log10(known.total + 0.5 * (known.distinct + 1))
-    return (
-        own.unionByName(rare, allowMissingColumns=True)
-        .groupBy("key")
-        .agg(
-            F.max("doc_id").alias("doc_id"), F.max("held").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
-            F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.sum("model").alias("score"),
-        )
-        .select(
-            "doc_id", "held_out", "n_tokens", "n_known", F.lit(known.total).cast("long").alias("train_tokens"),
-            (F.col("base") - F.col("n_tokens") * whole).alias("base_score"), "score",
-        )
+    return own.join(rare, "key", "left").select(
+        "doc_id", F.col("held").alias("held_out"), "n_tokens",
+        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        F.lit(known.total).cast("long").alias("train_tokens"),
+        (F.col("base") + rare_log - F.col("n_tokens") * whole).alias("base_score"), (F.col("model") + rare_log).alias("score"),
     )

@@ -41,13 +41,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def handed_over(df: DataFrame, name: str) -> DataFrame:
+def handed_over(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write `df` as Parquet to the shared folder and go on from the files.
 
     Cuts the lineage: a lost executor costs a re-read of files, not a second computation.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     read = df.sparkSession.read.schema(df.schema).parquet(path)
     _PATHS[read] = path
     return read

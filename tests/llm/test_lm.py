@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lintlake.llm import lm
@@ -128,3 +129,55 @@ def test_every_token_is_trained_on_once():
             docs = [(place, " ".join(f"w{i % 12}" for i in range(words)).encode())]
             seen = [lm._train_part(lm.Network.fresh(v), iter(docs), v.words, part) for part in range(lm.ROUNDS)]
             assert sum(seen) == words + 1
+
+
+def test_texts_are_not_read_again_by_the_network(make, tmp_path):
+    """Training and scoring go on from tokens that are handed over once."""
+    path = str(tmp_path / "documents")
+    documents = make([(i, prose(i, 30)) for i in range(20)])
+    documents.write.parquet(path)
+    scored = lm.score(documents.sparkSession.read.parquet(path))
+    assert scored.inputFiles() and not any(path in f for f in scored.inputFiles())
+
+
+def test_words_are_coded_as_they_are_split():
+    pieces = ["a", "B", "É", "\x00", "\x1c", "\x85", "\xa0", " ", " ", "\t", "\n", "\x0b", "\x0c", "\r"]
+    rng = np.random.default_rng(5)
+    texts = ["", " ", " a ", *("".join(rng.choice(pieces, n)) for n in rng.integers(1, 30, 400))]
+    column = pa.array([t.encode() for t in texts])
+    for some in (column, column.slice(0, 2), column.slice(9, 50)):
+        words, codes, sizes = lm.coded_words(some)
+        got, at = [words[i].as_py() for i in codes.tolist()], 0
+        for text, n in zip(some.to_pylist(), sizes.tolist(), strict=True):
+            assert got[at : at + n] == [*lm.words_of(text), b""]
+            at += n
+        assert at == len(got)
+    odd = [b"", b"a", b"ab", b"abc", b"abcd", "日本".encode(), b"\xff\xfe\x01z"]
+    assert lm._tail_classes(pa.array(odd)).tolist() == [lm.tail_class(w) for w in odd]
+
+
+def test_large_states_neither_overflow_nor_vanish():
+    net, rng = network(), np.random.default_rng(6)
+    net.p["oc"] *= 60
+    h = rng.standard_normal((300, lm.HIDDEN)).astype(np.float32)
+    target = rng.integers(0, net.own + lm.TAIL_CLASSES, 300)
+    logits = h.astype(float) @ net.p["oc"] + net.p["bc"]
+    at = net.class_of[target]
+    top = logits.max(axis=1)
+    want = logits[np.arange(300), at] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
+    tail = target >= net.own
+    assert net.log_probs(h, target)[0][tail] == pytest.approx(want[tail], rel=1e-4, abs=1e-3)
+
+
+def test_steps_over_all_weights():
+    """A few steps by the plain rule, on more weights than one strip."""
+    rng, n = np.random.default_rng(8), lm._STRIP + 5
+    flat, m, v = rng.standard_normal(n).astype(np.float32), np.zeros(n), np.zeros(n)
+    want, adam = flat.astype(float), lm._Adam(flat)
+    for t in range(1, 5):
+        g = rng.standard_normal(n).astype(np.float32)
+        adam.apply(flat, g)
+        g = g.astype(float) / max(np.sqrt((g.astype(float) ** 2).sum()), 1)
+        m, v = m + (g - m) * 0.1, v + (g * g - v) * 0.01
+        want -= lm.RATE * math.sqrt(1 - 0.99**t) / (1 - 0.9**t) * m / (np.sqrt(v) + 1e-6)
+    assert flat == pytest.approx(want, rel=1e-3, abs=1e-5)
