@@ -97,15 +97,16 @@ def _source(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches put together until they hold `GATHERED` bytes, so that what is done once for
-    each is done seldom; none is empty."""
+    each is done seldom, and those of long texts cut to about that; none is empty."""
     held, size = [], 0
     for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            size += batch.nbytes
-        if size >= GATHERED:
-            yield pa.concat_batches(held)
-            held, size = [], 0
+        rows = max(1, batch.num_rows * GATHERED // max(batch.nbytes, 1))
+        for at in range(0, batch.num_rows, rows):
+            held.append(batch.slice(at, rows))
+            size += held[-1].nbytes
+            if size >= GATHERED:
+                yield pa.concat_batches(held)
+                held, size = [], 0
     if held:
         yield pa.concat_batches(held)
 

@@ -181,3 +181,14 @@ def test_steps_over_all_weights():
         m, v = m + (g - m) * 0.1, v + (g * g - v) * 0.01
         want -= lm.RATE * math.sqrt(1 - 0.99**t) / (1 - 0.9**t) * m / (np.sqrt(v) + 1e-6)
     assert flat == pytest.approx(want, rel=1e-3, abs=1e-5)
+
+
+def test_batches_are_gathered_and_those_of_long_texts_cut(monkeypatch):
+    monkeypatch.setattr(lm, "GATHERED", 1_000)
+    texts = [b"", b"ab", b"c" * 30, *[b"d" * 900] * 40, *[b"e"] * 300, b"f" * 5_000, b""]
+    batch = lambda some: pa.RecordBatch.from_arrays([pa.array(some, type=pa.binary())], names=["text"])
+    given = [batch(texts[:3]), batch([]), batch(texts[3:43]), *(batch([t]) for t in texts[43:])]
+    got = list(lm._gathered(iter(given)))
+    assert [t for b in got for t in b.column(0).to_pylist()] == texts
+    assert all(b.num_rows and (b.nbytes < 3_000 or b"f" in b.column(0)[-1].as_py()) for b in got)
+    assert len(got) < 60 and list(lm._gathered(iter([batch([])]))) == []
