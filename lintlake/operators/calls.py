@@ -22,6 +22,8 @@ class it names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ from lintlake.functions import code
 from lintlake.functions import text as tx
 from lintlake.operators.context import window_text
 from lintlake.operators.skew import PARTS, dealt, hot_keys, repeated, spread_join
-from lintlake.operators.staging import cut_lineage
+from lintlake.operators.staging import bytes_of, hand_over, new_folder, write_over
 
 PROFILE = ("name", "class_name", "def_dir", "stem")
 OPEN, UNCLASSED = "any", "none"
@@ -147,7 +149,7 @@ def rank_call_sites(
     of pairs, so ask for it only where that is wanted.
     """
     return rank_for_profiles(
-        cut_lineage(profiles(anchors)), sources, max_call_sites, context_window, with_context
+        hand_over(profiles(anchors), "profiles"), sources, max_call_sites, context_window, with_context
     )
 
 
@@ -203,9 +205,9 @@ def _filed(wanted: DataFrame, files: DataFrame, keep_code: bool) -> DataFrame:
     return in_buckets(tokens.join(wanted.select("name").distinct(), "name", "left_semi"), relevant_stems(files, wanted))
 
 
-def with_scopes(tokens: DataFrame, keep_code: bool) -> DataFrame:
-    """Call lines (name, file, line, code) → + `scopes`; the code goes before any shuffle."""
-    kept = ["name", "file", "line", "code"] if keep_code else ["name", "file", "line"]
+def with_scopes(tokens: DataFrame, keep_code: bool, *more: str) -> DataFrame:
+    """Call lines (name, file, line, code) → + `scopes`, with the columns `more`; the code goes before any shuffle."""
+    kept = ["name", "file", "line", *more, *["code"] * keep_code]
     return tokens.select(*kept, _scopes().alias("scopes"))
 
 
@@ -259,7 +261,7 @@ def count_call_sites(anchors: DataFrame, sources: DataFrame) -> DataFrame:
     No pair is formed: lines are counted per bucket, and since a folder lies in its module
     and a module in the whole, the counts of a score are differences of bucket counts.
     """
-    wanted = cut_lineage(profiles(anchors))
+    wanted = hand_over(profiles(anchors), "profiles")
     longest = wanted.agg(F.max(F.length("name")).alias("name"), F.max(F.length("stem")).alias("stem"))
     sizes = _filed(wanted, call_lines(sources, longest), False).groupBy(*BUCKET).agg(F.count("*").alias("n"))
     found = spread_join(_lookups(wanted), sizes, list(BUCKET), list(PROFILE), how="inner")
@@ -398,17 +400,48 @@ CALL_SITE = (
 )
 
 
+#: Rounds in which the lists of large tables are made, and handed-over bytes of site texts for a round.
+ROUNDS = 8
+ROUND_BYTES = 64 << 20
+
+
 def attach_call_sites(
-    bugs: DataFrame, sources: DataFrame, max_call_sites: int = 20, context_window: int = 6
+    bugs: DataFrame,
+    sources: DataFrame,
+    max_call_sites: int = 20,
+    context_window: int = 6,
+    then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Bugs with `anchor` → `anchors`: array of the anchor with its ranked `call_sites`.
 
     The nested list holds at most `max_call_sites` sites; for all of them use the flat
     `rank_call_sites`.
+
+    `then` is what comes of the bugs row by row, such as their prompts. The lists are many
+    times the sources, so where they are large it is made and handed over in rounds of
+    profiles: the disk holds the shuffled texts of one round, and no list.
     """
-    anchors = bugs.where("anchor is not null").select("anchor.*")
-    wanted = cut_lineage(profiles(anchors))
-    keyed = bugs.withColumns(
+    # Read for the profiles, for the bugs with an anchor and for those without.
+    bugs = hand_over(bugs, "anchored-bugs")
+    found = bugs.where("anchor is not null")
+    wanted = hand_over(profiles(found.select("anchor.*")), "profiles")
+    keys = [f"_{c}" for c in PROFILE]
+    counts = wanted.select(*[F.col(c).alias(f"_{c}") for c in PROFILE], "count")
+    hot = F.broadcast(hot_keys(counts, keys, PARTS))
+    hot_names = F.broadcast(
+        hot_keys(counts.groupBy("_name").agg(F.sum("count").alias("count")), ["_name"], PARTS)
+        .withColumnRenamed("_slices", "_seats")
+    )
+
+    def seated(rows: DataFrame) -> DataFrame:
+        """Rows with a profile and its `_slice` → + `_seat`: a popular name is dealt by its profiles."""
+        deal = F.coalesce(F.pmod(F.xxhash64(*keys, "_slice"), F.col("_seats")), F.lit(0))
+        seat = F.when(F.col("_name").isNull(), F.col("_slice")).otherwise(deal).cast("int")
+        return rows.join(hot_names, "_name", "left").withColumn("_seat", seat).drop("_seats")
+
+    top = _ranked_sites(wanted, sources, max_call_sites, True).withColumnsRenamed({c: f"_{c}" for c in PROFILE})
+    texts = hand_over(_site_texts(seated(repeated(top.dropna(subset=keys), hot, keys)), sources, context_window), "site-texts")
+    keyed = found.withColumns(
         {
             "_name": F.col("anchor.name"),
             "_class_name": F.coalesce("anchor.class_name", F.lit("")),
@@ -416,32 +449,67 @@ def attach_call_sites(
             "_stem": tx.file_stem(F.col("anchor.def_file")),
         }
     )
-    keys = [f"_{c}" for c in PROFILE]
-    placed = [*keys, "_slice"]
-    counts = wanted.select(*[F.col(c).alias(f"_{c}") for c in PROFILE], "count")
-    hot = F.broadcast(hot_keys(counts, keys, PARTS))
-    # The slices are made while the sites are thin, so their texts are shuffled once: the
-    # grouping leaves them where the join looks for them.
-    top = _ranked_sites(wanted, sources, max_call_sites, True).withColumnsRenamed({c: f"_{c}" for c in PROFILE})
-    nested = (
-        _attach_context(repeated(top, hot, keys), sources, context_window)
-        .groupBy(*placed)
-        .agg(F.array_sort(F.collect_list(F.struct("rank", *CALL_SITE))).alias("_sites"))
-        .select(
-            *placed,
-            F.transform(
-                "_sites", lambda s: F.struct(*[s[c].alias(c) for c in CALL_SITE])
-            ).alias("_sites"),
-        )
+    reader = texts.schema["_readers"].dataType.elementType
+    own = {*keys[1:], "_slice"}
+    itself = F.array(F.struct(
+        *[F.col(f.name) if f.name in own else F.lit(None).cast(f.dataType).alias(f.name) for f in reader.fields]
+    ))
+    askers = seated(dealt(keyed, hot, keys, ["issue_key"])).select(
+        "_name", "_seat", itself.alias("_readers"), F.lit(True).alias("_asks"), *[F.col(f"`{c}`") for c in bugs.columns]
+    )
+    site_fields = texts.schema["_site"].dataType.names
+    site = F.when(~F.col("_asks"), F.struct(F.col("_r.rank").alias("rank"), *[
+        (F.col("_site")[c] if c in site_fields else F.col("_r")[c]).alias(c) for c in CALL_SITE
+    ]))
+    # The sites of a seat's profile come first, so every bug after them sees them all.
+    before = Window.partitionBy("_name", "_seat", *keys[1:], "_slice").orderBy("_asks").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    joined = dealt(keyed, hot, keys, ["issue_key"]).join(nested, placed, "left").drop("_slice")
-    sites_type = dict(joined.dtypes)["_sites"]
-    sites = F.coalesce("_sites", F.array().cast(sites_type))
-    full = F.struct(
-        *[F.col(f"anchor.{f}").alias(f) for f in bugs.schema["anchor"].dataType.names],
-        sites.alias("call_sites"),
+    kept = [F.col(f"`{c}`") for c in bugs.columns if c != "anchor"]
+    sites = F.transform(F.array_sort("_sites"), lambda s: F.struct(*[s[c].alias(c) for c in CALL_SITE]))
+    fields = bugs.schema["anchor"].dataType.names
+    full = F.array(F.struct(*[F.col(f"anchor.{f}").alias(f) for f in fields], sites.alias("call_sites")))
+
+    def listed(part: Column) -> DataFrame:
+        # A site's text goes once to a seat and is given to its readers there; the bugs sit beside
+        # it, so the texts are not shuffled for every function that shows them.
+        together = (
+            texts.where(part)
+            .withColumn("_asks", F.lit(False))
+            .unionByName(askers.where(part), allowMissingColumns=True)
+            .repartition("_name", "_seat")
+            .withColumn("_r", F.explode("_readers"))
+            .drop("_readers")
+            .select("*", *[F.col(f"_r.{c}").alias(c) for c in (*keys[1:], "_slice")])
+        )
+        given = together.withColumn("_one", site).withColumn("_sites", F.collect_list("_one").over(before))
+        return given.where("_asks").select(*kept, full.alias("anchors"))
+
+    def unlisted(like: DataFrame) -> DataFrame:
+        none = F.array().cast(like.schema["anchors"].dataType)
+        return bugs.where("anchor is null").select(*kept, none.alias("anchors"))
+
+    rounds = min(ROUNDS, bytes_of(texts) // ROUND_BYTES + 1) if then else 1
+    if rounds == 1:
+        whole = listed(F.lit(True))
+        whole = whole.unionByName(unlisted(whole))
+        return then(whole) if then else whole
+    folder, turn = new_folder(bugs.sparkSession, "rounds"), F.pmod(F.xxhash64("_name", "_seat"), F.lit(rounds))
+    for i in range(rounds):
+        write_over(then(listed(turn == i)), folder, "append")
+    return write_over(then(unlisted(listed(F.lit(True)))), folder, "append")
+
+
+def _site_texts(sites: DataFrame, sources: DataFrame, around: int) -> DataFrame:
+    """(_name, _seat, _site, _readers): the text of each site, once for all profiles of a seat that show it.
+
+    A reader is a profile with its slice and what the pair has of its own: rank, score, flags.
+    """
+    seat = ["_name", "_seat", "file", "line"]
+    shown = sites.groupBy(*seat).agg(
+        F.collect_list(F.struct(*[c for c in sites.columns if c not in seat])).alias("_readers")
     )
-    return joined.withColumn(
-        "anchors",
-        F.when(F.col("anchor").isNotNull(), F.array(full)).otherwise(F.slice(F.array(full), 1, 0)),
-    ).drop("anchor", "_sites", *keys)
+    full = _attach_context(shown, sources, around)
+    carried = "code" in sites.columns
+    site = [c for c in ("file", "line", "code", "context_start", "context_end", "context", "includes") if c != "code" or not carried]
+    return full.select("_name", "_seat", F.struct(*site).alias("_site"), "_readers")

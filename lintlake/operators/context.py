@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lintlake.functions import code
 from lintlake.functions import text as tx
-from lintlake.operators.skew import spread_join
+from lintlake.operators.skew import PARTS, dealt, hot_keys, repeated, spread_join
 
 def source_lines(sources: DataFrame) -> DataFrame:
     """(file_path, text) → one row per line: (file_path, line_no, text without its end)."""
@@ -42,6 +42,21 @@ def with_file(
     return spread_join(issues, files, ["file_path"], [spread_by])
 
 
+def with_needed_file(
+    issues: DataFrame, sources: DataFrame, features: Callable[[DataFrame], DataFrame], spread_by: str = "issue_key"
+) -> DataFrame:
+    """`with_file` of the `features` of the needed sources, whose texts are shuffled once.
+
+    Files meet the slices of their issues first: whether a file is needed, its features and
+    the join all find the text where that shuffle has put it.
+    """
+    on = ["file_path", "_slice"]
+    hot = F.broadcast(hot_keys(issues.groupBy("file_path").count(), ["file_path"], PARTS))
+    asking = dealt(issues, hot, ["file_path"], [spread_by])
+    needed = repeated(sources, hot, ["file_path"]).join(asking.select(*on).distinct(), on, "left_semi")
+    return asking.join(features(needed), on, "left").drop("_slice")
+
+
 # --- snippets --------------------------------------------------------------
 
 
@@ -249,11 +264,12 @@ def blocks(df: DataFrame, lines: str = "_lines", indents: str = "_indents", inde
 
 def file_features(sources: DataFrame) -> DataFrame:
     """Per file: lines with ends, leading blanks per line and their index, header lines, include block."""
-    lined = sources.select("file_path", tx.split_lines(F.col("text")).alias("_lines"))
+    own = [c for c in sources.columns if c != "text"]
+    lined = sources.select(*own, tx.split_lines(F.col("text")).alias("_lines"))
     indents = F.transform("_lines", lambda t: F.when(~tx.is_blank(t), tx.indent_spaces(t)))
     bare = lined.withColumns({"_bare": tx.bare_lines(F.col("_lines")), "_indents": indents})
     return bare.select(
-        "file_path",
+        *own,
         "_lines",
         "_indents",
         indent_index(F.col("_indents")).alias("_index"),
@@ -271,7 +287,7 @@ def bug_blocks(bugs: DataFrame, sources: DataFrame, keep_file: bool = False) ->
     `keep_file` leaves the file columns for `enclosing_function`.
     """
     prior = F.col("error") if "error" in bugs.columns else F.lit(None).cast("string")
-    joined = with_file(bugs, file_features(needed_sources(sources, bugs)))
+    joined = with_needed_file(bugs, sources, file_features)
     # Whether there are blocks: known without the blocks, for readers that need no more of them.
     nested = F.coalesce((F.size("_lines") > 0) & F.col("start_line").isNotNull(), F.lit(False))
     out = blocks(joined).withColumn("_nested", nested).withColumn(

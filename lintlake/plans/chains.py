@@ -44,11 +44,12 @@ def bug_context(
     max_call_sites: int = 20,
     search_window: int = 200,
     context_window: int = 6,
+    then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Bug records → + blocks and anchors with ranked call sites."""
+    """Bug records → + blocks and anchors with ranked call sites, or what `then` makes of them row by row."""
     blocked = context.bug_blocks(bugs, sources, keep_file=True)
     anchored = context.enclosing_function(blocked, search_window, context_window)
-    return calls.attach_call_sites(anchored, sources, max_call_sites, context_window)
+    return calls.attach_call_sites(anchored, sources, max_call_sites, context_window, then)
 
 
 PROMPTS = {

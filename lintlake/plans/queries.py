@@ -551,7 +551,7 @@ def indexed_call_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     call_index.update(older.unionByName(gone), folder)
     call_index.update(sources, folder)
     anchors = context.anchors(_blocked(spark, sf_dir))
-    found = call_index.rank_call_sites(staging.cut_lineage(calls.profiles(anchors)), folder)
+    found = call_index.rank_call_sites(staging.hand_over(calls.profiles(anchors), "profiles"), folder)
     return found.withColumn("includes", F.array_join("includes", "\n"))
 
 
@@ -598,10 +598,13 @@ def prompt_block(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def prompt_callsite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The complete chain: blocks, anchors, call sites, prompt within 24,000 characters."""
-    deep = chains.bug_context(views.bugs(spark, sf_dir), views.source_files(spark, sf_dir))
-    return prompts.callsite_prompts(deep, CALLSITE_TEMPLATE).select(
-        "issue_key", "error", "callsite_limit", "user_prompt"
-    )
+
+    def written(deep: DataFrame) -> DataFrame:
+        return prompts.callsite_prompts(deep, CALLSITE_TEMPLATE).select(
+            "issue_key", "error", "callsite_limit", "user_prompt"
+        )
+
+    return chains.bug_context(views.bugs(spark, sf_dir), views.source_files(spark, sf_dir), then=written)
 
 
 @query
