@@ -2,28 +2,31 @@
 
 The index is a folder of generations. A generation holds the files that are new or differ in
 their text since the one before: a row per file (`files`: hash of the text, include block,
-lines) and a row per called name and line (`calls`: the line and the lines around it), filed
-by a hash of the name and sorted by the name. A file counts in the newest generation that names
+lines) and a row per called name and line (`calls`: the line, and which lines are around it),
+filed by a hash of the name and sorted by the name. A file counts in the newest generation that names
 it; one that is gone leaves a row that says so. So a changed source replaces its own rows and
 touches no other's, and what is written grows with the change, not with the sources.
 
 A search reads the folders that the hashes of its names point at, and of them the row groups
 that hold the names. It ranks (file, line) alone and takes the texts of the ranked sites
-from the lines of their files, so the lines around a call that is not shown are not read.
+from the lines of their files, so the lines around calls, many times the sources, are neither
+kept nor read for calls that are not shown. `context` is filed where it is the line alone.
 Names above `longest` characters are not filed (a token of a minified
 file would file each of its endings); a search for one fails instead of missing it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lintlake.functions import code
 from lintlake.functions import text as tx
 from lintlake.operators import calls
-from lintlake.operators.context import window_text
 from lintlake.operators.issues import best_row
+from lintlake.operators.staging import hand_over, tidy
 
 #: Folders of names in a generation.
 SHELVES = 64
@@ -32,7 +35,7 @@ FILE = "file string, sha string, gone boolean, includes array<string>, generatio
 LINES = f"{FILE}, lines array<string>"
 CALL = (
     "name string, file string, line int, code string, context_start int, context_end int, context string, "
-    "generation int, shelf int"
+    "text string, generation int, shelf int"
 )
 
 
@@ -40,6 +43,11 @@ def _shelf(name: Column) -> Column:
     return F.pmod(F.xxhash64(name), F.lit(SHELVES)).cast("int")
 
 
+def _text_id(sha: Column) -> Column:
+    """Tells the texts of one path in one update apart."""
+    return F.left(sha, F.lit(16))
+
+
 def _generations(spark: SparkSession, folder: str) -> list[int]:
     """Generations whose files are complete; their list is as long as the history of updates."""
     paths = spark._jvm.org.apache.hadoop.fs.Path
@@ -79,7 +87,6 @@ def update(sources: DataFrame, folder: str, around: int = 6, longest: int = LONG
         F.col("file_path").alias("file"), "sha", tx.split_lines(F.col("text")).alias("_lines")
     )
     listed = fresh.withColumn("_bare", tx.bare_lines(F.col("_lines")))
-    # The lines around a call are cut inside the file's own row, before it is exploded.
     found = F.filter(
         F.transform(
             "_bare",
@@ -87,63 +94,72 @@ def update(sources: DataFrame, folder: str, around: int = 6, longest: int = LONG
                 F.contains(t, F.lit("(")),
                 F.struct(
                     (i + 1).alias("line"), tx.strip(t).alias("code"), code.called_names(t, longest).alias("names"),
-                    window_text(F.col("_lines"), i + 1, i + 1, around).alias("w"),
+                    t.alias("bare"),
                 ),
             ),
         ),
         lambda c: F.size(c["names"]) > 0,
     )
     lines = (
-        listed.select("file", F.explode_outer(found).alias("c")).where("c is not null")
-        .select("file", F.col("c.line").alias("line"), F.col("c.code").alias("code"), F.col("c.w").alias("w"),
-                F.explode_outer("c.names").alias("name"))
+        listed.select("file", "sha", F.size("_bare").alias("n"), F.explode_outer(found).alias("c")).where("c is not null")
+        .select("file", "sha", "n", "c.line", "c.code", "c.bare", F.explode_outer("c.names").alias("name"))
         .where(F.length("name") <= longest)
         .where(~code.defines(F.col("code"), F.col("name")))
     )
+    first, last = F.greatest(F.lit(1), F.col("line") - around), F.least(F.col("n"), F.col("line") + around)
     rows = lines.select(
-        "name", "file", "line", "code", F.col("w.start_line").alias("context_start"), F.col("w.end_line").alias("context_end"),
-        F.col("w.code").alias("context"), _shelf(F.col("name")).alias("shelf"),
+        "name", "file", "line", "code", first.alias("context_start"), last.alias("context_end"),
+        F.when(first == last, F.col("bare")).alias("context"), _text_id(F.col("sha")).alias("text"),
+        _shelf(F.col("name")).alias("shelf"),
     )
-    # Every task files what its own files hold, so the lines around calls, many times the text, are
-    # not shuffled, and a popular name is dealt by its files; within a task names lie together.
+    # Every task files what its own files hold, so call lines are not shuffled, and a popular
+    # name is dealt by its files; within a task names lie together.
     filed = rows.sortWithinPartitions("shelf", "name", "file", "line")
-    filed.write.mode("overwrite").option("compression", "zstd").partitionBy("shelf").parquet(
-        f"{folder}/calls/generation={generation}"
-    )
+    with tidy(spark):
+        filed.write.mode("overwrite").option("compression", "zstd").partitionBy("shelf").parquet(
+            f"{folder}/calls/generation={generation}"
+        )
     gone = both.where("sha is null").select(
         F.col("file_path").alias("file"), F.lit(None).cast("string").alias("sha"), F.lit(True).alias("gone"),
         F.lit(None).cast("array<string>").alias("includes"), F.lit(None).cast("array<string>").alias("lines"),
     )
     includes = code.include_block(F.col("_bare"))
     kept = listed.select("file", "sha", F.lit(False).alias("gone"), includes.alias("includes"), F.col("_bare").alias("lines"))
-    kept.unionByName(gone).write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/files/generation={generation}")
+    with tidy(spark):
+        kept.unionByName(gone).write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/files/generation={generation}")
     return generation
 
 
 def calls_of(spark: SparkSession, folder: str, names: DataFrame) -> DataFrame:
     """Filed call lines of the names (name), from files as they are now."""
+    return _found(spark, folder, names, lambda rows: rows).drop("generation")
+
+
+def _found(spark: SparkSession, folder: str, names: DataFrame, narrow: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`calls_of` with their generation. `narrow` keeps what is asked for, and name, file, generation and
+    shelf, before anything is shuffled."""
     generations = _generations(spark, folder)
     paths = [f"{folder}/calls/generation={g}" for g in generations]
     if not paths:
-        return spark.createDataFrame([], CALL).drop("generation", "shelf")
+        return narrow(spark.createDataFrame([], CALL)).drop("shelf")
     rows = spark.read.schema(CALL).option("basePath", f"{folder}/calls").parquet(*paths)
     # A search for few names reads few folders. At most SHELVES numbers come to the driver.
     shelves = [r.shelf for r in names.select(_shelf(F.col("name")).alias("shelf")).distinct().collect()]
     wanted = names.select("name", _shelf(F.col("name")).alias("shelf")).distinct()
-    found = rows.where(F.col("shelf").isin(shelves)).join(wanted, ["shelf", "name"], "left_semi")
+    found = narrow(rows.where(F.col("shelf").isin(shelves))).join(wanted, ["shelf", "name"], "left_semi")
     now = best_row(_files(spark, folder, generations), ["file"], [F.col("generation")], last=True)
-    return found.join(now.where("not gone").select("file", "generation"), ["file", "generation"], "left_semi").drop(
-        "generation", "shelf"
-    )
+    return found.join(now.where("not gone").select("file", "generation"), ["file", "generation"], "left_semi").drop("shelf")
 
 
 def rank_call_sites(wanted: DataFrame, folder: str, max_call_sites: int = 20, longest: int = LONGEST) -> DataFrame:
-    """As `calls.rank_call_sites`, from the index alone. `wanted` holds profiles and is read several times."""
+    """As `calls.rank_call_sites`, from the index alone. `wanted` holds profiles and is read several times.
+
+    The ranked sites are handed over, so what their ranking shuffled is gone when their texts are.
+    """
     spark = wanted.sparkSession
     too_long = F.concat(F.lit("not in the index, which files shorter names: "), F.left("name", F.lit(80)))
     checked = F.when(F.length("name") > longest, F.raise_error(too_long).cast("string")).otherwise(F.col("name"))
     wanted = wanted.withColumn("name", checked)
-    lines = calls_of(spark, folder, wanted)
     files = current_files(spark, folder).withColumn(
         "longest_stem", F.coalesce(wanted.agg(F.max(F.length("stem"))).scalar(), F.lit(0))
     )
@@ -152,19 +168,25 @@ def rank_call_sites(wanted: DataFrame, folder: str, max_call_sites: int = 20, lo
     several = _files(spark, folder, generations).groupBy("file", "generation").count().where("count > 1")
     # Where a path names several texts of one update, a file and a line do not tell the code.
     carried = not several.isEmpty()
-    tokens = calls.with_scopes(lines, carried)
-    top = calls.top_pairs(wanted, calls.in_buckets(tokens, stems), max_call_sites)
-    place = ["name", "file", "line", "context_start", "context_end"]
+    tokens = _found(spark, folder, wanted, lambda rows: calls.with_scopes(rows, carried, "shelf", "generation"))
+    top = calls.top_pairs(wanted, calls.in_buckets(tokens.drop("generation"), stems), max_call_sites)
+    top = hand_over(top, "ranked-sites")
+    of_file = ["file", "generation", *["text"] * carried]
+    place = ["name", "line", "context_start", "context_end", "context", *of_file]
+    around = _found(spark, folder, wanted, lambda rows: rows.select("shelf", *place))
+    texts = _files(spark, folder, generations, LINES).withColumn("text", _text_id(F.col("sha")))
+    shown = F.slice("lines", F.col("context_start"), F.col("context_end") - F.col("context_start") + 1)
+    context = F.coalesce("context", F.array_join(shown, "\n")).alias("context")
     if carried:
-        around = lines.select(*place, "context")
+        # A text that comes twice counts once here, since each of its call lines is filed twice.
+        texts = texts.groupBy(*of_file).agg(F.first("lines").alias("lines"))
+        around = around.join(texts, of_file, "left").select("name", "file", "line", "context_start", "context_end", context)
         return top.join(around, ["name", "file", "line"]).join(files.select("file", "includes"), "file").select(
             *top.columns, "context_start", "context_end", "context", "includes"
         )
-    now = files.select("file", "generation", "includes")
-    texts = _files(spark, folder, generations, LINES).select("file", "generation", "lines").join(now, ["file", "generation"])
-    shown = F.slice("lines", F.col("context_start"), F.col("context_end") - F.col("context_start") + 1)
     before = top.columns.index("line") + 1
-    return top.join(lines.select(*place), ["name", "file", "line"]).join(texts, "file").select(
+    sites = top.join(around, ["name", "file", "line"])
+    return sites.join(texts.select(*of_file, "includes", "lines"), of_file).select(
         *top.columns[:before], tx.strip(F.get("lines", F.col("line") - 1)).alias("code"), *top.columns[before:],
-        "context_start", "context_end", F.array_join(shown, "\n").alias("context"), "includes",
+        "context_start", "context_end", context, "includes",
     )

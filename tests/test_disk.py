@@ -4,7 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from lintlake.operators import calls, context, staging
+from lintlake.operators import call_index, calls, context, staging
 
 FILES = [
     ("m/a/one.cpp", "int run(int a)\n  {\n    go(1);\n    run(2);\n  }\n"),
@@ -77,3 +77,22 @@ def test_shuffles_behind_a_hand_over_are_gone(spark):
         time.sleep(0.2)
     assert not left
     assert spark.conf.get(staging.TIDY, "false") == "false"
+
+
+def test_an_index_keeps_no_lines_around_calls(spark, tmp_path):
+    rows = [("a/x.cpp", "\n".join(f"f{i}(1);" for i in range(30))), ("a/y.cpp", "go(1);")]
+    call_index.update(spark.createDataFrame(rows, "file_path string, text string"), str(tmp_path))
+    filed = spark.read.parquet(f"{tmp_path}/calls/generation=1").collect()
+    assert len(filed) == 31 and [r.context for r in filed if r.context is not None] == ["go(1);"]
+    assert {(r.context_start, r.context_end) for r in filed if r.name == "f9"} == {(4, 16)}
+
+
+def test_an_index_tells_texts_of_one_path_apart(spark, tmp_path):
+    rows = [("a/x.cpp", "go(1);\n  a;\n  b;"), ("a/x.cpp", "  c;\n  d;\ngo(2);"), ("a/y.cpp", "go(3);\n  e;"), ("a/y.cpp", "go(3);\n  e;")]
+    call_index.update(spark.createDataFrame(rows, "file_path string, text string"), str(tmp_path), around=1)
+    wanted = spark.createDataFrame([("go", "", "", "")], "name string, class_name string, def_dir string, stem string")
+    got = sorted((r.file, r.line, r.code, r.context) for r in call_index.rank_call_sites(wanted, str(tmp_path)).collect())
+    assert got == [
+        ("a/x.cpp", 1, "go(1);", "go(1);\n  a;"), ("a/x.cpp", 3, "go(2);", "  d;\ngo(2);"),
+        ("a/y.cpp", 1, "go(3);", "go(3);\n  e;"), ("a/y.cpp", 1, "go(3);", "go(3);\n  e;"),
+    ]
