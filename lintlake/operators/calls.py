@@ -439,7 +439,9 @@ def attach_call_sites(
         seat = F.when(F.col("_name").isNull(), F.col("_slice")).otherwise(deal).cast("int")
         return rows.join(hot_names, "_name", "left").withColumn("_seat", seat).drop("_seats")
 
-    top = _ranked_sites(wanted, sources, max_call_sites, True).withColumnsRenamed({c: f"_{c}" for c in PROFILE})
+    # What ranking has shuffled is gone when the texts are read.
+    top = hand_over(_ranked_sites(wanted, sources, max_call_sites, True), "ranked-sites")
+    top = top.withColumnsRenamed({c: f"_{c}" for c in PROFILE})
     texts = hand_over(_site_texts(seated(repeated(top.dropna(subset=keys), hot, keys)), sources, context_window), "site-texts")
     keyed = found.withColumns(
         {
