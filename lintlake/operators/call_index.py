@@ -170,23 +170,24 @@ def rank_call_sites(wanted: DataFrame, folder: str, max_call_sites: int = 20, lo
     carried = not several.isEmpty()
     tokens = _found(spark, folder, wanted, lambda rows: calls.with_scopes(rows, carried, "shelf", "generation"))
     top = calls.top_pairs(wanted, calls.in_buckets(tokens.drop("generation"), stems), max_call_sites)
-    top = hand_over(top, "ranked-sites")
-    of_file = ["file", "generation", *["text"] * carried]
-    place = ["name", "line", "context_start", "context_end", "context", *of_file]
-    around = _found(spark, folder, wanted, lambda rows: rows.select("shelf", *place))
-    texts = _files(spark, folder, generations, LINES).withColumn("text", _text_id(F.col("sha")))
+    texts = _files(spark, folder, generations, LINES)
     shown = F.slice("lines", F.col("context_start"), F.col("context_end") - F.col("context_start") + 1)
-    context = F.coalesce("context", F.array_join(shown, "\n")).alias("context")
+    shown = F.array_join(shown, "\n")
+    place = ["shelf", "name", "file", "line", "generation", "context_start", "context_end"]
     if carried:
+        top = hand_over(top, "ranked-sites")
         # A text that comes twice counts once here, since each of its call lines is filed twice.
-        texts = texts.groupBy(*of_file).agg(F.first("lines").alias("lines"))
-        around = around.join(texts, of_file, "left").select("name", "file", "line", "context_start", "context_end", context)
+        of_text = ["file", "generation", "text"]
+        texts = texts.withColumn("text", _text_id(F.col("sha"))).groupBy(*of_text).agg(F.first("lines").alias("lines"))
+        around = _found(spark, folder, wanted, lambda rows: rows.select(*place, "context", "text")).join(texts, of_text, "left")
+        around = around.select("name", "file", "line", *place[-2:], F.coalesce("context", shown).alias("context"))
         return top.join(around, ["name", "file", "line"]).join(files.select("file", "includes"), "file").select(
-            *top.columns, "context_start", "context_end", "context", "includes"
+            *top.columns, *place[-2:], "context", "includes"
         )
+    around = _found(spark, folder, wanted, lambda rows: rows.select(*place, "code"))
+    sites = top.join(around.select("name", "file", "line", "code", "generation", *place[-2:]), ["name", "file", "line"])
+    sites = hand_over(sites.select("name", "file", "line", "code", *[c for c in sites.columns if c not in ("name", "file", "line", "code")]), "ranked-sites")
     before = top.columns.index("line") + 1
-    sites = top.join(around, ["name", "file", "line"])
-    return sites.join(texts.select(*of_file, "includes", "lines"), of_file).select(
-        *top.columns[:before], tx.strip(F.get("lines", F.col("line") - 1)).alias("code"), *top.columns[before:],
-        "context_start", "context_end", context, "includes",
-    )
+    return sites.join(texts.select("file", "generation", "includes", "lines"), ["file", "generation"]).select(
+        *top.columns[:before], "code", *top.columns[before:], *place[-2:], shown.alias("context"), "includes"
+    )

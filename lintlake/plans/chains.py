@@ -206,10 +206,10 @@ def landed_blocks(spark: SparkSession, path: str, sources: DataFrame, out_path:
 def landed_advice(
     spark: SparkSession, path: str, template: str, replies: DataFrame, out_path: str, level: str = "block",
     format: str = "auto", **choice,
-) -> dict[str, int]:
+) -> DataFrame:
     """Landed bugs with their context → JSON lines, each as it came with its advice, without `blocks`.
 
-    Returns the counters of the run.
+    Returns the counters of the run as one row: read, filtered, processed, written, errors.
     """
     schema = f"{BUG_SCHEMA}, blocks array<{BLOCK}>, creation_date string, update_date string"
     records = jsonl.read_records(spark, path, schema, format, REST)
@@ -218,7 +218,9 @@ def landed_advice(
     def write(advised: DataFrame) -> None:
         sinks.write_verbatim(advised, out_path, REST, [adv.ADVICE_COLUMN[level]], gone)
 
-    return write_advice_run(records, template, replies, write, level, **choice)
+    counters = write_advice_run(records, template, replies, write, level, **choice)
+    names = ("read", "filtered", "processed", "written", "errors")
+    return spark.range(1).select(*[F.lit(counters[n]).alias(n) for n in names])
 
 
 def bi_tables(measures: DataFrame, gate: DataFrame, issue_docs: DataFrame) -> dict[str, DataFrame]:
