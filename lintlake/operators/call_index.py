@@ -151,6 +151,11 @@ def _found(spark: SparkSession, folder: str, names: DataFrame, narrow: Callable[
     return found.join(now.where("not gone").select("file", "generation"), ["file", "generation"], "left_semi").drop("shelf")
 
 
+def _shown(rows: DataFrame, top: DataFrame) -> DataFrame:
+    """The call lines of files and lines that are ranked."""
+    return rows.join(top.select("name", "file", "line").distinct(), ["name", "file", "line"], "left_semi")
+
+
 def rank_call_sites(wanted: DataFrame, folder: str, max_call_sites: int = 20, longest: int = LONGEST) -> DataFrame:
     """As `calls.rank_call_sites`, from the index alone. `wanted` holds profiles and is read several times.
 
@@ -174,8 +179,8 @@ def rank_call_sites(wanted: DataFrame, folder: str, max_call_sites: int = 20, lo
     shown = F.slice("lines", F.col("context_start"), F.col("context_end") - F.col("context_start") + 1)
     shown = F.array_join(shown, "\n")
     place = ["shelf", "name", "file", "line", "generation", "context_start", "context_end"]
+    top = hand_over(top, "ranked-sites")
     if carried:
-        top = hand_over(top, "ranked-sites")
         # A text that comes twice counts once here, since each of its call lines is filed twice.
         of_text = ["file", "generation", "text"]
         texts = texts.withColumn("text", _text_id(F.col("sha"))).groupBy(*of_text).agg(F.first("lines").alias("lines"))
@@ -184,9 +189,11 @@ def rank_call_sites(wanted: DataFrame, folder: str, max_call_sites: int = 20, lo
         return top.join(around, ["name", "file", "line"]).join(files.select("file", "includes"), "file").select(
             *top.columns, *place[-2:], "context", "includes"
         )
-    around = _found(spark, folder, wanted, lambda rows: rows.select(*place, "code"))
+    # The code goes with the calls that are shown, and with no other.
+    around = _found(spark, folder, wanted, lambda rows: _shown(rows.select(*place, "code"), top))
     sites = top.join(around.select("name", "file", "line", "code", "generation", *place[-2:]), ["name", "file", "line"])
-    sites = hand_over(sites.select("name", "file", "line", "code", *[c for c in sites.columns if c not in ("name", "file", "line", "code")]), "ranked-sites")
+    first = ["name", "file", "line", "code"]
+    sites = hand_over(sites.select(*first, *[c for c in sites.columns if c not in first]), "shown-sites")
     before = top.columns.index("line") + 1
     return sites.join(texts.select("file", "generation", "includes", "lines"), ["file", "generation"]).select(
         *top.columns[:before], "code", *top.columns[before:], *place[-2:], shown.alias("context"), "includes"
